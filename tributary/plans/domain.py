@@ -171,14 +171,30 @@ def series_bronze(t: Tables, name: str, loaded_at: str = RUN_TS) -> DataFrame:
     return with_audit(rows, loaded_at, f"series_{SERIES[name]}")
 
 
+# Ship-date boundaries that split the line-item log into the
+# three loads the incremental queries replay (NULL dates go to the first).
+LOAD_BOUNDS = ("1997-01-01", "1999-06-01")
+
+
+def load_batches(df: DataFrame, date_col: str) -> list[DataFrame]:
+    """Split a log into consecutive loads by ``date_col``; together they hold
+    every row exactly once."""
+    d = F.col(date_col)
+    lo, hi = (F.lit(b).cast("timestamp") for b in LOAD_BOUNDS)
+    return [df.where(d.isNull() | (d < lo)), df.where((d >= lo) & (d < hi)),
+            df.where(d >= hi)]
+
+
 # ---------------------------------------------------------------- silver
 
 def silver_sales(t: Tables) -> DataFrame:
     return stage_sales(orders_log(t), completed=COMPLETED_ORDER)
 
 
-def silver_items(t: Tables) -> DataFrame:
-    return stage_items(items_log(t), keys=ITEM_KEYS, tiebreak=ITEM_TIEBREAK)
+def silver_items(t: Tables, log: DataFrame | None = None) -> DataFrame:
+    """Latest version per line item of ``log`` (default: the whole items log)."""
+    log = items_log(t) if log is None else log
+    return stage_items(log, keys=ITEM_KEYS, tiebreak=ITEM_TIEBREAK)
 
 
 def silver_customers(t: Tables) -> DataFrame:
@@ -204,14 +220,14 @@ def silver_indicators(t: Tables, key_mode: str = "first_two") -> DataFrame:
 
 # ---------------------------------------------------------------- gold
 
-def gold_sales_fact(t: Tables) -> DataFrame:
+def gold_sales_fact(t: Tables, items: DataFrame | None = None) -> DataFrame:
     """Sales fact with the store of each sale (the customer's nation).
 
     The store lookup joins after the item join: sales and item totals are
     both partitioned by sale id, and only the finished fact moves (or the
     lookup is broadcast when its estimate is small).
     """
-    fact = sales_fact(silver_sales(t), silver_items(t))
+    fact = sales_fact(silver_sales(t), silver_items(t, items))
     stores = broadcast_if_small(customer_store(t))
     return fact.join(stores, "cliente_id", "left").select(*FACT_COLUMNS)
 

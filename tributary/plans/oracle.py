@@ -329,3 +329,20 @@ select event_id, {_ISO.format(c='ts')} as ts, user_id, event_type, value, props,
        '2024-02-01T06:00:00' as _loaded_at, 'events' as _source
 from events
 """
+
+ORACLE_SQL["csv_roundtrip"] = ORACLE_SQL["stage_targets"]
+ORACLE_SQL["rest_series_source"] = ORACLE_SQL["series_parse"]
+ORACLE_SQL["layered_build"] = ORACLE_SQL["sales_vs_target_monthly"]
+ORACLE_SQL["incremental_upsert"] = ORACLE_SQL["latest_version"]
+ORACLE_SQL["stream_upsert"] = ORACLE_SQL["latest_version"]
+ORACLE_SQL["partition_refresh"] = ORACLE_SQL["sales_fact"]
+
+ORACLE_SQL["bronze_append"] = f"""
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       {_ISO.format(c='o_orderdate')} as o_orderdate, o_orderpriority,
+       case when o_orderdate < timestamp '1997-01-01' then '2024-02-01T06:00:00'
+            when o_orderdate < timestamp '1999-01-01' then '2024-02-02T06:00:00'
+            else '2024-02-03T06:00:00' end as _loaded_at,
+       'erp.orders' as _source
+from orders
+"""

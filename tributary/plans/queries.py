@@ -20,9 +20,12 @@ from tributary.operators import (attainment, calendar_covering, conform_dimensio
                                  orphan_rows, parse_series, stage_sales, store_ranking,
                                  target_plan, unique_violations)
 from tributary.plans import domain as D
-from tributary.session import configure
+from tributary.session import configure, scratch_path
 from tributary.sources.bronze import coerce_cells, normalise_types, with_audit
-from tributary.sources.relational import high_water_mark, incremental_extract
+from tributary.sources.files import ingest_files, write_csv
+from tributary.sources.relational import (high_water_mark, incremental_extract,
+                                          watermark_or_epoch)
+from tributary.sources.bronze import write_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,6 +184,118 @@ def q_normalise_types(spark, sf_dir):
     return with_audit(normalise_types(t.events), D.RUN_TS, "events")
 
 
+# ---------------------------------------------------------------- written tables
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_shipdate"]
+LINE_TIEBREAK = ["l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Targets land as a CSV file, are truncate-loaded to bronze and staged.
+
+    Only ``metas_vendas.csv`` is landed; the missing ``lojas.csv`` is skipped.
+    """
+    from tributary.operators.staging import stage_targets
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "csv_roundtrip")
+    write_csv(D.targets_log(t), f"{root}/landing/metas_vendas.csv")
+    ingest_files(spark, f"{root}/landing", f"{root}/bronze", D.RUN_TS)
+    return stage_targets(spark.read.parquet(f"{root}/bronze/drive_metas_vendas"))
+
+
+def q_rest_series_source(spark, sf_dir):
+    """Series API replayed from recorded responses through the data source.
+
+    The recorded responses are derived from ``events`` (one folder per series
+    code); ingestion reads them with one partition per (series, year slice),
+    truncate-loads bronze and the silver parser types them.
+    """
+    from tributary.sources.rest_series import ingest_series
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "rest_series")
+    payload = None
+    for name, code in D.SERIES.items():
+        rows = D.series_api_rows(t, name).withColumn("codigo", F.lit(code))
+        payload = rows if payload is None else payload.unionByName(rows)
+    payload.write.partitionBy("codigo").json(f"{root}/api")
+    run_date = t.events.agg(F.max(F.to_date("ts"))).first()[0]
+    url = "file://" + f"{root}/api".replace("file:", "") + "/codigo={code}"
+    ingest_series(spark, D.SERIES, run_date, url, f"{root}/bronze/series", D.RUN_TS)
+    bronze = spark.read.parquet(f"{root}/bronze/series")
+    out = None
+    for name, code in D.SERIES.items():
+        parsed = parse_series(bronze.where(F.col("serie") == name), "valor").select(
+            F.lit(name).alias("serie"), F.lit(code).cast("bigint").alias("codigo"),
+            "data", "valor")
+        out = parsed if out is None else out.unionByName(parsed)
+    return out
+
+
+# The source table as seen by four daily runs (orders placed
+# before each date) and each run's stamp; the fourth run finds nothing new.
+APPEND_RUNS = (("1997-01-01", "2024-02-01T06:00:00"), ("1999-01-01", "2024-02-02T06:00:00"),
+               (None, "2024-02-03T06:00:00"), (None, "2024-02-04T06:00:00"))
+
+
+def q_bronze_append(spark, sf_dir):
+    """Incremental append runs into a bronze log, cursor = the source column."""
+    t = _tables(spark, sf_dir)
+    path = scratch_path(spark, "bronze_append") + "/erp_orders"
+    for seen_before, stamp in APPEND_RUNS:
+        source = t.orders
+        if seen_before is not None:
+            source = source.where(F.col("o_orderdate") < F.lit(seen_before).cast("timestamp"))
+        since = watermark_or_epoch(spark, path, column="o_orderdate")
+        write_append(incremental_extract(source, "o_orderdate", since, stamp, "erp.orders"), path)
+    return spark.read.parquet(path)
+
+
+def q_layered_build(spark, sf_dir):
+    """Silver views + gold tables rebuilt in order; returns the stored mart."""
+    from tributary.plans.layers import build_gold
+    t = _tables(spark, sf_dir)
+    return build_gold(t, scratch_path(spark, "warehouse")).gold["vendas_vs_meta_mensal"]
+
+
+def q_incremental_upsert(spark, sf_dir):
+    """Three loads merged one by one into the current state (stored versions)."""
+    from tributary.streaming.upsert import incremental_upsert
+    t = _tables(spark, sf_dir)
+    return incremental_upsert(D.load_batches(t.lineitem, "l_shipdate"),
+                              scratch_path(spark, "upsert"), LINE_KEYS, LINE_ORDER,
+                              LINE_TIEBREAK)
+
+
+def q_stream_upsert(spark, sf_dir):
+    """Each load lands in bronze, then one availableNow streaming pass merges it."""
+    from tributary.streaming.upsert import stream_latest
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "stream_upsert")
+    schema = t.lineitem.schema
+    written: list[int] = []
+    for batch in D.load_batches(t.lineitem, "l_shipdate"):
+        batch.write.mode("append").parquet(f"{root}/bronze")
+        _, ids = stream_latest(spark, f"{root}/bronze", schema, f"{root}/state",
+                               f"{root}/_checkpoint", LINE_KEYS, LINE_ORDER, LINE_TIEBREAK)
+        written.extend(ids)
+    return spark.read.schema(schema).parquet(f"{root}/state/v{max(written)}")
+
+
+def q_partition_refresh(spark, sf_dir):
+    """Fact built from the first two loads, then only the months touched by the
+    third load are rewritten from the full data."""
+    from tributary.streaming.upsert import refresh_partitions
+    t = _tables(spark, sf_dir)
+    path = scratch_path(spark, "partition_refresh") + "/fct_vendas"
+    first, second, third = D.load_batches(D.items_log(t), "_loaded_at")
+    old = D.gold_sales_fact(t, first.unionByName(second))
+    old.write.mode("overwrite").partitionBy("ano", "mes").parquet(path)
+    new = D.gold_sales_fact(t)
+    touched = new.join(third.select(F.col("venda_id")).dropDuplicates(), "venda_id", "left_semi")
+    return refresh_partitions(new, path, touched.select("ano", "mes"))
+
+
 QUERIES: dict[str, Query] = {
     "sales_fact": q_sales_fact,
     "sales_vs_target_monthly": q_sales_vs_target_monthly,
@@ -206,4 +321,11 @@ QUERIES: dict[str, Query] = {
     "series_window": q_series_window,
     "numeric_coercion": q_numeric_coercion,
     "normalise_types": q_normalise_types,
+    "csv_roundtrip": q_csv_roundtrip,
+    "rest_series_source": q_rest_series_source,
+    "bronze_append": q_bronze_append,
+    "layered_build": q_layered_build,
+    "incremental_upsert": q_incremental_upsert,
+    "stream_upsert": q_stream_upsert,
+    "partition_refresh": q_partition_refresh,
 }

@@ -109,7 +109,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/ABFS) before running jobs that write intermediate tables")
     local = tempfile.mkdtemp(prefix="tributary-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
@@ -122,3 +121,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """
     base = checkpoint_dir(spark)
     return "/".join([base, "tributary", *parts, uuid.uuid4().hex])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (possibly remote) file system."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))

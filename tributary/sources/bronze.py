@@ -63,13 +63,13 @@ def coerce_cells(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def normalise_series_rows(rows: DataFrame, permissive: bool = False) -> DataFrame:
-    """API rows ``(data text, valor text)`` → ``(data text, valor double)``.
+    """API rows ``(data text, valor text, ...)`` → ``valor`` as double.
 
     A decimal comma becomes a point; a malformed number fails the load
-    unless ``permissive`` (then NULL).
+    unless ``permissive`` (then NULL).  Other columns pass through.
     """
-    return rows.select(F.col("data").cast("string").alias("data"),
-                       comma_decimal("valor", permissive).alias("valor"))
+    return rows.withColumns({"data": F.col("data").cast("string"),
+                             "valor": comma_decimal("valor", permissive)})
 
 
 @dataclass

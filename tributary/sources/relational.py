@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.dates import EPOCH_TEXT, iso_text
+from tributary.session import path_exists
 from tributary.sources.bronze import LoadResult, normalise_types, with_audit, write_append
 
 
@@ -63,13 +64,9 @@ def watermark_or_epoch(spark: SparkSession, bronze_path: str,
     Only a missing table falls back to the epoch (full load); any other
     error propagates instead of silently re-appending everything.
     """
-    try:
-        bronze = spark.read.parquet(bronze_path)
-    except Exception as exc:  # noqa: BLE001 - narrowed below
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return EPOCH_TEXT
-        raise
-    return high_water_mark(bronze, column).first()["watermark"]
+    if not path_exists(spark, bronze_path):
+        return EPOCH_TEXT
+    return high_water_mark(spark.read.parquet(bronze_path), column).first()["watermark"]
 
 
 def incremental_extract(source: DataFrame, cursor: str, since: str,
