@@ -48,6 +48,25 @@ def decimal_comma_text(c: ColumnOrName) -> Column:
     return F.replace(_col(c).cast("string"), F.lit("."), F.lit(","))
 
 
+# An integer cell as Python's int() reads it: optional blanks and sign, digits.
+_INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def coerce_long(c: ColumnOrName) -> Column:
+    """The cell as bigint when it is an integer, else NULL.
+
+    The pattern test runs first, so non-numeric text never reaches the cast
+    (a failed cast is far more expensive than a regex test).
+    """
+    v = _col(c)
+    return F.when(v.rlike(_INT_TEXT), F.trim(v).try_cast("bigint"))
+
+
+def coerce_double(c: ColumnOrName) -> Column:
+    """The cell as double when it is any number (integer or not), else NULL."""
+    return F.trim(_col(c)).try_cast("double")
+
+
 def coerce_kind(c: ColumnOrName) -> Column:
     """Which type a text cell parses as: ``int``, then ``float``, else ``string``.
 
@@ -56,21 +75,11 @@ def coerce_kind(c: ColumnOrName) -> Column:
     """
     v = _col(c)
     return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(F.trim(v).try_cast("bigint").isNotNull(), F.lit("int"))
-            .when(F.trim(v).try_cast("double").isNotNull(), F.lit("float"))
+            .when(coerce_long(v).isNotNull(), F.lit("int"))
+            .when(coerce_double(v).isNotNull(), F.lit("float"))
             .otherwise(F.lit("string")))
 
 
-def coerce_long(c: ColumnOrName) -> Column:
-    """The cell as bigint when it is an integer, else NULL."""
-    return F.trim(_col(c)).try_cast("bigint")
-
-
-def coerce_double(c: ColumnOrName) -> Column:
-    """The cell as double when it is any number (integer or not), else NULL."""
-    return F.trim(_col(c)).try_cast("double")
-
-
 def growth_factor(year: ColumnOrName, base_year: ColumnOrName | int,
                   rate: float) -> Column:
     """Compound growth ``(1 + rate) ** (year - base_year)``."""
