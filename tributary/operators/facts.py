@@ -56,16 +56,20 @@ def sales_fact(sales: DataFrame, items: DataFrame) -> DataFrame:
 
 def attainment(actual: DataFrame, targets: DataFrame,
                keys: Sequence[str] = ATTAINMENT_KEYS, actual_col: str = "total",
-               target_col: str = "meta_valor") -> DataFrame:
+               target_col: str = "meta_valor", with_count: bool = False) -> DataFrame:
     """Actual vs target per key; every key of either side appears once.
 
     Both sides are aggregated to the key grain first, so the full outer join
     sees at most one row per key on each side.  NULL keys never match (plain
     equality), and ``pct_meta`` is NULL when the target is zero or missing.
     Both aggregates are hash-partitioned on the join keys, so the join itself
-    does not shuffle again.
+    does not shuffle again.  ``with_count`` adds ``n_vendas``, the number of
+    actual rows per key.
     """
-    v = actual.groupBy(*keys).agg(money_sum(actual_col).alias("total_vendas")).alias("v")
+    measures = [money_sum(actual_col).alias("total_vendas")]
+    if with_count:
+        measures.append(F.count(F.lit(1)).alias("n_vendas"))
+    v = actual.groupBy(*keys).agg(*measures).alias("v")
     m = targets.groupBy(*keys).agg(money_sum(target_col).alias("meta_total")).alias("m")
     cond = [F.col(f"v.{k}") == F.col(f"m.{k}") for k in keys]
     joined = v.join(m, cond, "full_outer")
@@ -74,4 +78,5 @@ def attainment(actual: DataFrame, targets: DataFrame,
         F.col("v.total_vendas").alias("total_vendas"),
         F.col("m.meta_total").alias("meta_total"),
         safe_ratio_pct(F.col("v.total_vendas"), F.col("m.meta_total")).alias("pct_meta"),
+        *([F.col("v.n_vendas").alias("n_vendas")] if with_count else []),
     )

@@ -20,7 +20,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df``'s optimized plan, if available."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # Spark Connect or an estimate that is not computable
         return None
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.numeric import (growth_factor, money_sum, safe_ratio_pct,
                                          seasonal_factor)
+from tributary.operators.facts import ATTAINMENT_KEYS, attainment
 
 # Fixed values of the target rule: a base of 15,000 per store, month and
 # category, 5 % growth per year, November and December x1.4, January and
@@ -18,23 +19,25 @@ TARGET_GROWTH = 0.05
 TARGET_SEASONALITY = {11: 1.4, 12: 1.4, 1: 0.85, 2: 0.85}
 
 
-def kpi_overview(fact: DataFrame, attainment: DataFrame) -> DataFrame:
-    """One row: total sales, number of sales, average ticket, % of target.
+def kpi_overview(actual: DataFrame, targets: DataFrame,
+                 keys: Sequence[str] = ATTAINMENT_KEYS) -> DataFrame:
+    """One row: total sales, number of sales, average ticket, target, % of target.
 
-    The percentage is total sales over total target across the attainment
-    mart.  The mart total enters as a scalar subquery, so the two global
-    aggregates are combined without a join.
+    Computed from the attainment detail (already aggregated to month x
+    store, with a sales count), so it is a single global aggregate over a
+    small frame: the fact is read once and no join of one-row frames is
+    needed.  Every sale is in exactly one detail row (keys of either side
+    are kept by the full outer join), so the totals equal the fact's.
     """
-    target_total = attainment.select(money_sum("meta_total")).scalar()
-    sales_on_mart = attainment.select(money_sum("total_vendas")).scalar()
-    base = fact.agg(money_sum("total").alias("total_vendas"),
-                    F.count(F.lit(1)).alias("n_vendas"))
-    return base.select(
-        "total_vendas", "n_vendas",
-        F.try_divide(F.col("total_vendas"), F.col("n_vendas")).alias("ticket_medio"),
-        target_total.alias("meta_total"),
-        safe_ratio_pct(sales_on_mart, target_total).alias("pct_meta"),
-    )
+    detail = attainment(actual, targets, keys, with_count=True)
+    total = money_sum("total_vendas")
+    target = money_sum("meta_total")
+    count = F.coalesce(F.sum("n_vendas"), F.lit(0)).cast("bigint")
+    return detail.agg(
+        total.alias("total_vendas"), count.alias("n_vendas"),
+        F.try_divide(total, count).alias("ticket_medio"),
+        target.alias("meta_total"),
+        safe_ratio_pct(total, target).alias("pct_meta"))
 
 
 def monthly_vs_indicator(sales: DataFrame, indicators: DataFrame,

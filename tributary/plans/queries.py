@@ -103,8 +103,7 @@ def q_stage_targets(spark, sf_dir):
 
 def q_kpi_overview(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    fact = D.gold_sales_fact(t)
-    return kpi_overview(fact, attainment(fact, D.silver_targets(t)))
+    return kpi_overview(D.gold_sales_fact(t), D.silver_targets(t))
 
 
 def q_monthly_vs_indicator(spark, sf_dir):
