@@ -26,7 +26,8 @@ def _log(spark, n=400, keys=37, seed=3):
 
 
 def _sorted(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()),
+                  key=lambda t: tuple((v is None, v) for v in t))
 
 
 def test_upsert_equals_full_recompute(spark, scratch):
@@ -37,6 +38,16 @@ def test_upsert_equals_full_recompute(spark, scratch):
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
 
 
+def test_upsert_null_keys_and_untouched_rows(spark, scratch):
+    log = spark.createDataFrame(
+        [(None, 1, "a"), (1, 1, "b"), (2, 5, "c"), (None, 3, "d"), (1, 0, "e"), (3, 9, "f")],
+        SCHEMA)
+    batches = [log.where(F.col("ts") < 2), log.where(F.col("ts") >= 2)]
+    got = incremental_upsert(batches, scratch("upsert_null"), ["k"], ["ts"], ["v"])
+    assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
+    assert got.count() == 4  # one NULL-key group, like the full recompute
+
+
 def test_stream_upsert_resumes_and_matches(spark, scratch):
     log = _log(spark, seed=5)
     root = scratch("stream")

@@ -3,7 +3,7 @@
 * ``upsert_latest``: current state + new batch → newest version per key.
   The result equals de-duplicating the whole history, because the newest
   row of a union is the newest of the per-part newest rows; each run
-  shuffles only ``current + batch`` instead of the full append log.
+  re-ranks only the keys the batch touches instead of the full append log.
 * ``stream_latest``: the same, driven by Structured Streaming over the
   bronze folder (``availableNow`` trigger, ``foreachBatch``).  Every
   micro-batch writes its own version folder ``v<batch id>``; a replayed batch
@@ -24,14 +24,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.operators.dedup import latest_version
+from tributary.operators.joins import broadcast_if_small
 
 
 def upsert_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
                   order_by: Sequence[Column | str],
                   tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
-    """Newest version per key over ``current`` ∪ ``batch``."""
-    merged = batch if current is None else current.unionByName(batch)
-    return latest_version(merged, keys, order_by, tiebreak)
+    """Newest version per key over ``current`` ∪ ``batch``.
+
+    Only keys present in the batch can change.  The batch's distinct keys
+    split the current state into untouched rows (passed through as they
+    are) and touched rows (re-ranked together with the batch), so the
+    window's shuffle carries the touched part only.  When the key set is
+    small enough to broadcast (size checked), the untouched state is not
+    shuffled at all.  Keys are matched NULL-safely, as the window groups
+    NULL keys together.  A key set above the broadcast limit falls back to
+    one window over ``current`` ∪ ``batch``.
+    """
+    if current is None:
+        return latest_version(batch, keys, order_by, tiebreak)
+    key_set = batch.select(*[F.col(k).alias(f"__bk_{k}") for k in keys]).dropDuplicates()
+    batch_keys = broadcast_if_small(key_set)
+    if batch_keys is key_set:
+        # Too large to broadcast: semi/anti joins would shuffle the state twice,
+        # one window over the union shuffles it once.
+        return latest_version(current.unionByName(batch), keys, order_by, tiebreak)
+    match = None
+    for k in keys:
+        cond = F.col(k).eqNullSafe(F.col(f"__bk_{k}"))
+        match = cond if match is None else match & cond
+    untouched = current.join(batch_keys, match, "left_anti")
+    touched = current.join(batch_keys, match, "left_semi")
+    changed = latest_version(touched.unionByName(batch), keys, order_by, tiebreak)
+    return untouched.unionByName(changed)
 
 
 def write_version(df: DataFrame, root: str, version: int | str) -> DataFrame:
