@@ -123,3 +123,31 @@ def test_series_source_partitions_and_parsing(spark, scratch, tmp_path):
     assert res.rows == 2
     vals = sorted(r.valor for r in spark.read.parquet(path).collect())
     assert vals == [5.25, 5.5]
+
+
+def test_ingest_incremental_loop_both_watermarks(spark, scratch):
+    from tributary.sources.relational import TableSpec, ingest_incremental
+    src = spark.createDataFrame(
+        [(1, dt.datetime(2020, 1, 1)), (2, dt.datetime(2020, 1, 2))],
+        "id long, updated_at timestamp")
+    specs = (TableSpec("vendas", "updated_at"),)
+    for on_cursor, expect_second in ((False, 0), (True, 1)):
+        root = scratch(f"erp_{on_cursor}")
+        first = ingest_incremental(spark, lambda s: src, root, "2024-01-01T07:00:00", specs,
+                                   watermark_on_cursor=on_cursor)
+        assert first["vendas"].rows == 2
+        # a row committed late: its cursor is older than the last run's clock
+        late = src.unionByName(spark.createDataFrame(
+            [(3, dt.datetime(2020, 1, 3))], "id long, updated_at timestamp"))
+        second = ingest_incremental(spark, lambda s: late, root, "2024-01-02T07:00:00", specs,
+                                    watermark_on_cursor=on_cursor)
+        assert second["vendas"].rows == expect_second
+
+
+def test_normalise_types_decimal_and_date(spark):
+    from decimal import Decimal
+    from tributary.sources.bronze import normalise_types
+    df = spark.createDataFrame([(Decimal("10.50"), dt.date(2024, 3, 1), "x")],
+                               "p decimal(10,2), d date, s string")
+    r = normalise_types(df).first()
+    assert (r.p, r.d, r.s) == (10.5, "2024-03-01", "x")

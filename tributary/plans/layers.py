@@ -10,6 +10,7 @@ Facts are partitioned by year and month, so readers prune partitions.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,14 @@ def materialize(df: DataFrame, root: str, layer: str, name: str,
                 partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Full rebuild of a model as Parquet; returns the stored table."""
     path = layer_path(root, layer, name)
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # Rebalance on the partition columns: each task writes few partitions
+        # (no task x partition explosion of small files), and AQE splits a
+        # month that holds much more data than the others.
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(
+            *partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     stored = df.sparkSession.read.parquet(path)
     if partition_by:  # partition values come back with inferred types
         types = dict(df.dtypes)
@@ -80,23 +85,36 @@ def build_silver(t: D.Tables) -> dict[str, DataFrame]:
     return {name: publish_view(df, SILVER, name) for name, df in models.items()}
 
 
-def build_gold(t: D.Tables, root: str, silver: dict[str, DataFrame] | None = None) -> Build:
-    """Rebuild every gold model under ``root`` in dependency order."""
+def build_gold(t: D.Tables, root: str, silver: dict[str, DataFrame] | None = None,
+               threads: int = 4) -> Build:
+    """Rebuild every gold model under ``root`` in dependency order.
+
+    Models that do not depend on each other are submitted as concurrent
+    Spark jobs from ``threads`` driver threads (the scheduler interleaves
+    their tasks, so small jobs do not leave executors idle); the mart starts
+    once the stored fact exists.
+    """
     silver = build_silver(t) if silver is None else silver
-    gold: dict[str, DataFrame] = {}
-    for name, df in D.gold_dimensions(t).items():
-        gold[name] = materialize(df, root, GOLD, name)
-    gold["dim_calendario"] = materialize(calendar_covering(t.orders, "o_orderdate"),
-                                         root, GOLD, "dim_calendario")
-    gold["fct_indicadores_economicos"] = materialize(
-        silver["stg_indicadores"], root, GOLD, "fct_indicadores_economicos")
-    gold["fct_vendas"] = materialize(D.gold_sales_fact(t).select(*FACT_COLUMNS),
-                                     root, GOLD, "fct_vendas", FACT_PARTITIONS)
+    first_wave = {name: (df, ()) for name, df in D.gold_dimensions(t).items()}
+    first_wave["dim_calendario"] = (calendar_covering(t.orders, "o_orderdate"), ())
+    first_wave["fct_indicadores_economicos"] = (silver["stg_indicadores"], ())
+    first_wave["fct_vendas"] = (D.gold_sales_fact(t).select(*FACT_COLUMNS), FACT_PARTITIONS)
+    gold = _materialize_all(first_wave, root, threads)
     gold["vendas_vs_meta_mensal"] = materialize(
         attainment(gold["fct_vendas"], silver["stg_drive_metas"]),
         root, GOLD, "vendas_vs_meta_mensal")
     return Build(silver, gold)
 
 
+def _materialize_all(models: dict[str, tuple[DataFrame, tuple[str, ...]]], root: str,
+                     threads: int) -> dict[str, DataFrame]:
+    if threads <= 1:
+        return {n: materialize(df, root, GOLD, n, parts) for n, (df, parts) in models.items()}
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = {n: pool.submit(materialize, df, root, GOLD, n, parts)
+                   for n, (df, parts) in models.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def run_layers(spark: SparkSession, sf_dir: str, root: str) -> Build:
     return build_gold(D.Tables(spark, sf_dir), root)

@@ -105,17 +105,24 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, key: str,
 
 
 def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
-                       loaded_at: str, tables=ERP_TABLES,
-                       source_prefix: str = "erp") -> dict[str, LoadResult]:
+                       loaded_at: str, tables=ERP_TABLES, source_prefix: str = "erp",
+                       watermark_on_cursor: bool = False) -> dict[str, LoadResult]:
     """Load every table's new rows into ``<bronze_root>/erp_<table>`` (append).
 
     ``read_source(spec) -> DataFrame`` returns the source table (JDBC, files,
     ...).  ``loaded_at`` is fixed once per run.  Empty batches write nothing.
+
+    The watermark is ``max(_loaded_at)`` of the bronze table (the extraction
+    clock), compared with the source's cursor column, as in the original
+    loader.  That misses rows whose cursor is older than the previous run's
+    clock (late commits, clock skew); ``watermark_on_cursor=True`` uses the
+    largest loaded *cursor* value instead.
     """
     results = {}
     for spec in tables:
         path = f"{bronze_root.rstrip('/')}/erp_{spec.name}"
-        since = watermark_or_epoch(spark, path)
+        since = watermark_or_epoch(spark, path,
+                                   spec.cursor if watermark_on_cursor else "_loaded_at")
         batch = incremental_extract(read_source(spec), spec.cursor, since, loaded_at,
                                     f"{source_prefix}.{spec.name}")
         results[spec.name] = write_append(batch, path)

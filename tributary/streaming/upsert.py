@@ -122,7 +122,7 @@ def refresh_partitions(fact: DataFrame, path: str, touched: DataFrame,
     """
     keys = touched.select(*partition_cols).dropDuplicates()
     rows = fact.join(F.broadcast(keys), list(partition_cols), "left_semi")
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
     types = dict(fact.dtypes)
     stored = fact.sparkSession.read.parquet(path)
