@@ -38,6 +38,21 @@ def test_upsert_equals_full_recompute(spark, scratch):
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
 
 
+def test_upsert_split_path_small_batch(spark, scratch):
+    from tributary.streaming.upsert import upsert_latest, write_version
+    history = spark.range(20000).select(
+        (F.col("id") % 5000).alias("k"), (F.col("id") % 50).alias("ts"),
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    daily = spark.createDataFrame([(k, 60 + k % 3, f"new{k}") for k in range(0, 5000, 250)]
+                                  + [(None, 1, "nk")], SCHEMA)
+    current = write_version(latest_version(history, ["k"], ["ts"], ["v"]), scratch("split"), 0)
+    batch = write_version(daily, scratch("split_batch"), 0)  # stored: real size estimate
+    merged = upsert_latest(current, batch, ["k"], ["ts"], ["v"])
+    assert "LeftAnti" in merged._jdf.queryExecution().optimizedPlan().toString()
+    full = latest_version(history.unionByName(daily), ["k"], ["ts"], ["v"])
+    assert _sorted(merged) == _sorted(full)
+
+
 def test_upsert_null_keys_and_untouched_rows(spark, scratch):
     log = spark.createDataFrame(
         [(None, 1, "a"), (1, 1, "b"), (2, 5, "c"), (None, 3, "d"), (1, 0, "e"), (3, 9, "f")],

@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.operators.dedup import latest_version
-from tributary.operators.joins import broadcast_if_small
+from tributary.operators.joins import broadcast_if_small, estimated_bytes
+
+# The key split pays off when a batch is small next to the state (daily
+# loads into years of history); below this ratio a plain union is used.
+SPLIT_RATIO = 4
 
 
 def upsert_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
@@ -38,16 +42,21 @@ def upsert_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[st
     window's shuffle carries the touched part only.  When the key set is
     small enough to broadcast (size checked), the untouched state is not
     shuffled at all.  Keys are matched NULL-safely, as the window groups
-    NULL keys together.  A key set above the broadcast limit falls back to
-    one window over ``current`` ∪ ``batch``.
+    NULL keys together.  A key set above the broadcast limit, or a batch
+    larger than 1/SPLIT_RATIO of the state, falls back to one window over
+    ``current`` ∪ ``batch``.
     """
     if current is None:
         return latest_version(batch, keys, order_by, tiebreak)
     key_set = batch.select(*[F.col(k).alias(f"__bk_{k}") for k in keys]).dropDuplicates()
     batch_keys = broadcast_if_small(key_set)
-    if batch_keys is key_set:
-        # Too large to broadcast: semi/anti joins would shuffle the state twice,
-        # one window over the union shuffles it once.
+    batch_size, state_size = estimated_bytes(batch), estimated_bytes(current)
+    small_batch = (batch_size is not None and state_size is not None
+                   and batch_size * SPLIT_RATIO <= state_size)
+    if batch_keys is key_set or not small_batch:
+        # A large key set would make the semi/anti joins shuffle the state
+        # twice, and a batch comparable to the state touches most of it: one
+        # window over the union (one shuffle) is cheaper then.
         return latest_version(current.unionByName(batch), keys, order_by, tiebreak)
     match = None
     for k in keys:
