@@ -246,7 +246,8 @@ def q_bronze_append(spark, sf_dir):
         if seen_before is not None:
             source = source.where(F.col("o_orderdate") < F.lit(seen_before).cast("timestamp"))
         since = watermark_or_epoch(spark, path, column="o_orderdate")
-        write_append(incremental_extract(source, "o_orderdate", since, stamp, "erp.orders"), path)
+        write_append(incremental_extract(source, "o_orderdate", since, stamp, "erp.orders"),
+                     path, cluster_by=["o_orderdate"])
     return spark.read.parquet(path)
 
 

@@ -81,11 +81,16 @@ class LoadResult:
 
 def _observed_write(df: DataFrame, path: str, mode: str, fmt: str,
                     partition_by: list[str] | None, skip_empty: bool,
-                    options: dict[str, str] | None) -> LoadResult:
-    obs = Observation("load")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+                    options: dict[str, str] | None,
+                    cluster_by: list[str] | None = None) -> LoadResult:
     if skip_empty and df.isEmpty():
         return LoadResult(path, 0, False)
+    if cluster_by:
+        # Rows sorted by the cursor inside each file: Parquet min/max
+        # statistics then let later cursor filters skip whole row groups.
+        df = df.sortWithinPartitions(*cluster_by)
+    obs = Observation("load")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -97,13 +102,21 @@ def _observed_write(df: DataFrame, path: str, mode: str, fmt: str,
 
 def write_truncate(df: DataFrame, path: str, fmt: str = "parquet",
                    partition_by: list[str] | None = None, skip_empty: bool = False,
-                   options: dict[str, str] | None = None) -> LoadResult:
+                   options: dict[str, str] | None = None,
+                   cluster_by: list[str] | None = None) -> LoadResult:
     """Replace the table at ``path`` (truncate-load) and report the row count."""
-    return _observed_write(df, path, "overwrite", fmt, partition_by, skip_empty, options)
+    return _observed_write(df, path, "overwrite", fmt, partition_by, skip_empty, options,
+                           cluster_by)
 
 
 def write_append(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: list[str] | None = None, skip_empty: bool = True,
-                 options: dict[str, str] | None = None) -> LoadResult:
-    """Append a batch to the table at ``path``; an empty batch writes nothing."""
-    return _observed_write(df, path, "append", fmt, partition_by, skip_empty, options)
+                 options: dict[str, str] | None = None,
+                 cluster_by: list[str] | None = None) -> LoadResult:
+    """Append a batch to the table at ``path``; an empty batch writes nothing.
+
+    ``cluster_by`` sorts rows within each written file (the extraction's
+    ``ORDER BY cursor`` becomes file clustering; a table keeps no order).
+    """
+    return _observed_write(df, path, "append", fmt, partition_by, skip_empty, options,
+                           cluster_by)

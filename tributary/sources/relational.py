@@ -125,5 +125,23 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
                                    spec.cursor if watermark_on_cursor else "_loaded_at")
         batch = incremental_extract(read_source(spec), spec.cursor, since, loaded_at,
                                     f"{source_prefix}.{spec.name}")
-        results[spec.name] = write_append(batch, path)
+        results[spec.name] = write_append(batch, path, cluster_by=[spec.cursor])
     return results
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000,
+               mode: str = "append", num_partitions: int | None = None,
+               properties: dict[str, str] | None = None) -> None:
+    """Insert ``df`` into a relational table in multi-row batches.
+
+    Every task opens its own connection and sends ``batch_size`` rows per
+    round trip; ``num_partitions`` caps the concurrent connections (the
+    frame is coalesced, not shuffled, to that many tasks).
+    """
+    if num_partitions is not None:
+        df = df.coalesce(num_partitions)
+    writer = (df.write.mode(mode).format("jdbc").option("url", url).option("dbtable", table)
+              .option("batchsize", str(batch_size)))
+    for k, v in (properties or {}).items():
+        writer = writer.option(k, v)
+    writer.save()
