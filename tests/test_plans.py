@@ -46,3 +46,46 @@ def test_broadcast_only_under_limit(spark):
     assert "broadcast" in str(broadcast_if_small(small)._jdf.queryExecution().analyzed()).lower()
     big = spark.read.parquet(f"{SF}/lineitem.parquet")
     assert broadcast_if_small(big, limit_bytes=10) is big
+
+
+def _shuffle_records(df):
+    """Run ``df``'s own plan and return the records written by its exchanges."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+
+    def walk(node, acc):
+        if "Exchange" in node.nodeName() and "Broadcast" not in node.nodeName():
+            acc.append(node.metrics().apply("shuffleRecordsWritten").value())
+        it = node.children().iterator()
+        while it.hasNext():
+            walk(it.next(), acc)
+        return acc
+    return walk(qe.executedPlan(), [])
+
+
+@pytest.fixture
+def no_aqe(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _hot_log(spark):
+    from pyspark.sql import functions as F
+    # a third of 90,000 rows share key 0; 6 map tasks
+    return spark.range(0, 90000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("ts"))
+
+
+def test_hot_key_dedup_shuffles_one_row_per_map_task(spark, no_aqe):
+    from tributary.operators import latest_version
+    out = latest_version(_hot_log(spark), ["k"], ["ts"])
+    assert _shuffle_records(out) == [60000 + 6]
+
+
+def test_hot_group_is_pre_aggregated(spark, no_aqe):
+    from tributary.operators import unique_violations
+    out = unique_violations(_hot_log(spark), ["k"])
+    assert _shuffle_records(out) == [60000 + 6]
+    assert [tuple(r) for r in out.collect()] == [(0, 30000)]
