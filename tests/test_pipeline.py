@@ -1,0 +1,105 @@
+"""Two daily runs of the whole pipeline on handwritten sources.
+
+Edge rows (FIXTURES.md): a completed sale cancelled the next day (B1), a
+sale without items (B8), a zero target and a target month without sales
+(B7), a monthly series date without daily rows (B4), decimal commas (B15),
+a missing landing file (B17), incremental appends and empty extractions.
+"""
+
+import datetime as dt
+import json
+from decimal import Decimal as Dec
+
+from pyspark.sql import functions as F
+
+from tributary.plans.pipeline import DailyRun, run_daily
+from tributary.sources.files import write_csv
+from tributary.sources.schemas import ERP_SOURCE
+
+T = dt.datetime
+
+
+def _sources(spark, day2: bool):
+    t0 = T(2024, 1, 1, 9)
+    vendas = [(1, 1, 1, T(2024, 1, 10, 10), "concluida", Dec("60.00"), t0, T(2024, 1, 10, 10)),
+              (2, 2, 2, T(2024, 1, 11, 11), "concluida", Dec("30.00"), t0, T(2024, 1, 11, 11)),
+              (3, 1, 1, T(2024, 1, 12, 12), "cancelada", Dec("30.00"), t0, T(2024, 1, 12, 12))]
+    itens = [(1, 1, 1, 2, Dec("30.00"), Dec("60.00"), t0),
+             (2, 3, 2, 1, Dec("30.00"), Dec("30.00"), t0)]
+    if day2:
+        vendas[0] = vendas[0][:4] + ("cancelada",) + vendas[0][5:7] + (T(2024, 1, 31, 12),)
+        vendas.append((4, 2, 2, T(2024, 1, 31, 15), "concluida", Dec("10.00"),
+                       T(2024, 1, 31, 15), T(2024, 1, 31, 15)))
+        itens.append((3, 4, 2, 1, Dec("10.00"), Dec("10.00"), T(2024, 1, 31, 15)))
+    rows = {
+        "lojas": [(1, "Loja Centro", "São Paulo", "SP", "Sudeste", t0),
+                  (2, "Loja Sul", "Curitiba", "PR", "Sul", t0)],
+        "produtos": [(1, "SKU0001", "Produto 1", "Móveis", Dec("20.00"), Dec("30.00"), t0),
+                     (2, "SKU0002", "Produto 2", "Esportes", Dec("9.00"), Dec("10.00"), t0)],
+        "clientes": [(1, "Ana", "ana@example.com", "Recife", "PE", t0, t0),
+                     (2, "Bruno", "bruno@example.com", "Manaus", "AM", t0, t0)],
+        "vendas": vendas,
+        "itens_venda": itens,
+    }
+    frames = {k: spark.createDataFrame(v, ERP_SOURCE[k]) for k, v in rows.items()}
+    return lambda spec: frames[spec.name]
+
+
+def _series_api(tmp_path):
+    api = tmp_path / "api"
+    api.mkdir()
+    payloads = {1: [{"data": "10/01/2024", "valor": "4,90"}, {"data": "11/01/2024", "valor": "4,95"}],
+                11: [{"data": "10/01/2024", "valor": "0,04"}, {"data": "12/01/2024", "valor": "0,05"}],
+                433: [{"data": "01/12/2023", "valor": "0,56"}]}
+    for code, rows in payloads.items():
+        (api / f"s{code}.json").write_text(json.dumps(rows))
+    return f"file://{api}/s{{code}}.json"
+
+
+def _rows(df, *order):
+    return [tuple(r) for r in df.orderBy(*order).collect()]
+
+
+def test_two_daily_runs(spark, scratch, tmp_path):
+    root = scratch("pipeline")
+    landing = f"{root}/landing"
+    targets = spark.createDataFrame(
+        [(2024, 1, 1, "Móveis", 100.0), (2024, 1, 1, "Esportes", 20.0),
+         (2024, 1, 2, "Móveis", 0.0), (2024, 2, 1, "Móveis", 50.0)],
+        "ano long, mes long, loja_id long, categoria string, meta_valor double")
+    write_csv(targets, f"{landing}/metas_vendas.csv")   # lojas.csv never lands
+    url = _series_api(tmp_path)
+
+    def run(day, stamp, day2):
+        return run_daily(spark, DailyRun(
+            run_date=day, bronze_root=f"{root}/bronze", warehouse_root=f"{root}/gold_{day2}",
+            loaded_at=stamp, erp_source=_sources(spark, day2), landing_dir=landing,
+            series_url=url))
+
+    first = run(dt.date(2024, 1, 31), "2024-01-31T07:00:00", False).gold
+    fact = first["fct_vendas"]
+    assert _rows(fact.select("venda_id", "loja_id", "ano", "mes", "total", "total_itens",
+                             "total_quantidade", "qtd_itens"), "venda_id") == [
+        (1, 1, 2024, 1, 60.0, 60.0, 2, 1),
+        (2, 2, 2024, 1, 30.0, None, None, None)]          # B8: no items -> NULLs
+    assert _rows(first["vendas_vs_meta_mensal"], "ano", "mes", "loja_id") == [
+        (2024, 1, 1, 60.0, 120.0, 50.0),
+        (2024, 1, 2, 30.0, 0.0, None),                   # B7: zero target
+        (2024, 2, 1, None, 50.0, None)]                  # target without sales
+    ind = _rows(first["fct_indicadores_economicos"], F.col("data").asc_nulls_first())
+    assert ind == [(None, None, None, 0.56),             # B4: monthly-only date
+                   (dt.date(2024, 1, 10), 4.9, 0.04, None),
+                   (dt.date(2024, 1, 11), 4.95, None, None),
+                   (dt.date(2024, 1, 12), None, 0.05, None)]
+    assert first["dim_calendario"].count() == 1096
+    assert first["dim_loja"].count() == 2 and first["dim_cliente"].count() == 2
+
+    second = run(dt.date(2024, 2, 1), "2024-02-01T07:00:00", True).gold
+    # B1: sale 1's newest version is cancelled -> gone; sale 4 arrived
+    assert _rows(second["fct_vendas"].select("venda_id", "total_itens"), "venda_id") == [
+        (2, None), (4, 10.0)]
+    bronze = spark.read.parquet(f"{root}/bronze/erp_vendas")
+    assert bronze.count() == 5                            # 3 + 2 appended versions
+    assert spark.read.parquet(f"{root}/bronze/erp_clientes").count() == 2  # nothing new
+    assert sorted(r[0] for r in bronze.select("_loaded_at").distinct().collect()) == [
+        "2024-01-31T07:00:00", "2024-02-01T07:00:00"]

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import series_date_text
 from tributary.functions.numeric import decimal_comma_text, money_sum
+from tributary.operators.calendar import calendar_covering
 from tributary.operators.dedup import conform_dimension
 from tributary.operators.facts import FACT_COLUMNS, sales_fact
 from tributary.operators.joins import broadcast_if_small
@@ -238,3 +239,33 @@ def gold_dimensions(t: Tables) -> dict[str, DataFrame]:
         "dim_loja": conform_dimension(silver_stores(t), "loja_id"),
         "dim_produto": conform_dimension(silver_products(t), "produto_id"),
     }
+
+
+class BenchmarkBinding:
+    """The benchmark tables seen through the retail model, for the layered
+    build (``tributary.plans.layers``)."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+        self.spark = t.spark
+
+    def silver(self) -> dict[str, DataFrame]:
+        t = self.t
+        return {
+            "stg_erp_vendas": silver_sales(t),
+            "stg_erp_itens_venda": silver_items(t),
+            "stg_erp_clientes": silver_customers(t),
+            "stg_erp_lojas": silver_stores(t),
+            "stg_erp_produtos": silver_products(t),
+            "stg_drive_metas": silver_targets(t),
+            "stg_indicadores": silver_indicators(t),
+        }
+
+    def sales_fact(self, silver: dict[str, DataFrame]) -> DataFrame:
+        return gold_sales_fact(self.t)
+
+    def dimensions(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return gold_dimensions(self.t)
+
+    def calendar(self) -> DataFrame:
+        return calendar_covering(self.t.orders, "o_orderdate")

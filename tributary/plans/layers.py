@@ -13,12 +13,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.operators.calendar import calendar_covering
 from tributary.operators.facts import FACT_COLUMNS, attainment
-from tributary.plans import domain as D
 
 SILVER, GOLD = "silver", "gold"
 FACT_PARTITIONS = ("ano", "mes")
@@ -72,33 +70,29 @@ class Build:
     gold: dict[str, DataFrame]
 
 
-def build_silver(t: D.Tables) -> dict[str, DataFrame]:
-    models = {
-        "stg_erp_vendas": D.silver_sales(t),
-        "stg_erp_itens_venda": D.silver_items(t),
-        "stg_erp_clientes": D.silver_customers(t),
-        "stg_erp_lojas": D.silver_stores(t),
-        "stg_erp_produtos": D.silver_products(t),
-        "stg_drive_metas": D.silver_targets(t),
-        "stg_indicadores": D.silver_indicators(t),
-    }
-    return {name: publish_view(df, SILVER, name) for name, df in models.items()}
+def build_silver(binding) -> dict[str, DataFrame]:
+    """Publish every silver model of ``binding`` as a lazy view."""
+    return {name: publish_view(df, SILVER, name) for name, df in binding.silver().items()}
 
 
-def build_gold(t: D.Tables, root: str, silver: dict[str, DataFrame] | None = None,
+def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
                threads: int = 4) -> Build:
-    """Rebuild every gold model under ``root`` in dependency order.
+    """Rebuild every gold model of ``binding`` under ``root`` in dependency order.
 
+    ``binding`` supplies the silver models, the sales fact, the dimensions
+    and the calendar (``plans.erp.ErpBinding`` over ingested bronze tables,
+    or ``plans.domain.BenchmarkBinding`` over the benchmark tables).
     Models that do not depend on each other are submitted as concurrent
     Spark jobs from ``threads`` driver threads (the scheduler interleaves
     their tasks, so small jobs do not leave executors idle); the mart starts
-    once the stored fact exists.
+    once the stored fact exists and reads it back from storage.
     """
-    silver = build_silver(t) if silver is None else silver
-    first_wave = {name: (df, ()) for name, df in D.gold_dimensions(t).items()}
-    first_wave["dim_calendario"] = (calendar_covering(t.orders, "o_orderdate"), ())
+    silver = build_silver(binding) if silver is None else silver
+    first_wave = {name: (df, ()) for name, df in binding.dimensions(silver).items()}
+    first_wave["dim_calendario"] = (binding.calendar(), ())
     first_wave["fct_indicadores_economicos"] = (silver["stg_indicadores"], ())
-    first_wave["fct_vendas"] = (D.gold_sales_fact(t).select(*FACT_COLUMNS), FACT_PARTITIONS)
+    first_wave["fct_vendas"] = (binding.sales_fact(silver).select(*FACT_COLUMNS),
+                                FACT_PARTITIONS)
     gold = _materialize_all(first_wave, root, threads)
     gold["vendas_vs_meta_mensal"] = materialize(
         attainment(gold["fct_vendas"], silver["stg_drive_metas"]),
@@ -115,6 +109,3 @@ def _materialize_all(models: dict[str, tuple[DataFrame, tuple[str, ...]]], root:
                    for n, (df, parts) in models.items()}
         return {n: f.result() for n, f in futures.items()}
 
-
-def run_layers(spark: SparkSession, sf_dir: str, root: str) -> Build:
-    return build_gold(D.Tables(spark, sf_dir), root)

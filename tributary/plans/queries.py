@@ -254,8 +254,8 @@ def q_bronze_append(spark, sf_dir):
 def q_layered_build(spark, sf_dir):
     """Silver views + gold tables rebuilt in order; returns the stored mart."""
     from tributary.plans.layers import build_gold
-    t = _tables(spark, sf_dir)
-    return build_gold(t, scratch_path(spark, "warehouse")).gold["vendas_vs_meta_mensal"]
+    binding = D.BenchmarkBinding(_tables(spark, sf_dir))
+    return build_gold(binding, scratch_path(spark, "warehouse")).gold["vendas_vs_meta_mensal"]
 
 
 def q_incremental_upsert(spark, sf_dir):
