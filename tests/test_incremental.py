@@ -2,9 +2,7 @@
 
 import datetime as dt
 import json
-import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from tributary.functions.dates import EPOCH_TEXT

@@ -5,8 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.functions import (coerce_kind, comma_decimal, day_name, iso_text,
-                                 month_name, parse_series_date, safe_ratio_pct, sunday_week)
+from tributary.functions import (coerce_kind, comma_decimal, iso_text, parse_series_date,
+                                 safe_ratio_pct)
 from tributary.operators import (align_series, attainment, calendar, conform_dimension,
                                  latest_version, orphan_rows, sales_fact, stage_sales,
                                  stage_targets, target_plan, unique_violations)

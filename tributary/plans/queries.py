@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import series_date_text, window_start
 from tributary.functions.numeric import money_sum
-from tributary.operators import (attainment, calendar_covering, conform_dimension,
+from tributary.operators import (attainment, calendar_covering,
                                  kpi_overview, latest_version, monthly_vs_indicator,
-                                 orphan_rows, parse_series, stage_sales, store_ranking,
-                                 target_plan, unique_violations)
+                                 orphan_rows, parse_series, stage_sales, stage_targets,
+                                 store_ranking, target_plan, unique_violations)
 from tributary.plans import domain as D
 from tributary.session import configure, scratch_path
-from tributary.sources.bronze import coerce_cells, normalise_types, with_audit
+from tributary.sources.bronze import coerce_cells, normalise_types, with_audit, write_append
 from tributary.sources.files import ingest_files, write_csv
 from tributary.sources.relational import (high_water_mark, incremental_extract,
                                           watermark_or_epoch)
-from tributary.sources.bronze import write_append
+from tributary.sources.rest_series import ingest_series
+from tributary.plans.layers import build_gold
+from tributary.streaming.upsert import incremental_upsert, refresh_partitions, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,7 +197,6 @@ def q_csv_roundtrip(spark, sf_dir):
 
     Only ``metas_vendas.csv`` is landed; the missing ``lojas.csv`` is skipped.
     """
-    from tributary.operators.staging import stage_targets
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "csv_roundtrip")
     write_csv(D.targets_log(t), f"{root}/landing/metas_vendas.csv")
@@ -210,7 +211,6 @@ def q_rest_series_source(spark, sf_dir):
     code); ingestion reads them with one partition per (series, year slice),
     truncate-loads bronze and the silver parser types them.
     """
-    from tributary.sources.rest_series import ingest_series
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "rest_series")
     payload = None
@@ -253,14 +253,12 @@ def q_bronze_append(spark, sf_dir):
 
 def q_layered_build(spark, sf_dir):
     """Silver views + gold tables rebuilt in order; returns the stored mart."""
-    from tributary.plans.layers import build_gold
     binding = D.BenchmarkBinding(_tables(spark, sf_dir))
     return build_gold(binding, scratch_path(spark, "warehouse")).gold["vendas_vs_meta_mensal"]
 
 
 def q_incremental_upsert(spark, sf_dir):
     """Three loads merged one by one into the current state (stored versions)."""
-    from tributary.streaming.upsert import incremental_upsert
     t = _tables(spark, sf_dir)
     return incremental_upsert(D.load_batches(t.lineitem, "l_shipdate"),
                               scratch_path(spark, "upsert"), LINE_KEYS, LINE_ORDER,
@@ -269,7 +267,6 @@ def q_incremental_upsert(spark, sf_dir):
 
 def q_stream_upsert(spark, sf_dir):
     """Each load lands in bronze, then one availableNow streaming pass merges it."""
-    from tributary.streaming.upsert import stream_latest
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "stream_upsert")
     schema = t.lineitem.schema
@@ -285,7 +282,6 @@ def q_stream_upsert(spark, sf_dir):
 def q_partition_refresh(spark, sf_dir):
     """Fact built from the first two loads, then only the months touched by the
     third load are rewritten from the full data."""
-    from tributary.streaming.upsert import refresh_partitions
     t = _tables(spark, sf_dir)
     path = scratch_path(spark, "partition_refresh") + "/fct_vendas"
     first, second, third = D.load_batches(D.items_log(t), "_loaded_at")
