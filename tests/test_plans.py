@@ -89,3 +89,25 @@ def test_hot_group_is_pre_aggregated(spark, no_aqe):
     out = unique_violations(_hot_log(spark), ["k"])
     assert _shuffle_records(out) == [60000 + 6]
     assert [tuple(r) for r in out.collect()] == [(0, 30000)]
+
+
+def test_broadcast_limit_follows_session(spark):
+    from tributary.operators.joins import broadcast_limit, parse_bytes
+    assert parse_bytes("10m") == 10 << 20 and parse_bytes("10485760b") == 10 << 20
+    df = spark.range(10)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert broadcast_limit(df) == -1 and broadcast_if_small(df) is df
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_size_shuffle_partitions(spark):
+    from tributary.session import size_shuffle_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = size_shuffle_partitions(spark, [f"{SF}/lineitem.parquet"], target_bytes=1 << 10)
+        assert n > spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

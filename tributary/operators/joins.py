@@ -10,10 +10,29 @@ AQE skew splitting).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_LIMIT = 64 * 1024 * 1024
+# Spark's own default for spark.sql.autoBroadcastJoinThreshold.
+DEFAULT_LIMIT = 10 * 1024 * 1024
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    """``"10485760"``, ``"10m"``, ``"64MB"`` ... → bytes."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text)
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold (``-1`` disables broadcasting)."""
+    value = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    return DEFAULT_LIMIT if value is None else parse_bytes(value)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -25,13 +44,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is at most ``limit_bytes``.
+def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is at most ``limit_bytes``
+    (default: the session's ``spark.sql.autoBroadcastJoinThreshold``).
 
     Beyond the limit (or without an estimate) ``df`` is returned unchanged
     and the optimizer picks a shuffle join.
     """
+    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
     size = estimated_bytes(df)
-    if size is not None and size <= limit_bytes:
+    if size is not None and 0 <= size <= limit:
         return F.broadcast(df)
     return df

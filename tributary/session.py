@@ -9,6 +9,7 @@ in keys that are still unset, so cluster-level settings always win.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -31,8 +32,6 @@ PERF_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
@@ -129,3 +128,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).exists(p))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size on storage of the files under ``paths``."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = 128 << 20, expansion: float = 3.0) -> int:
+    """Set the initial shuffle partition count from the input size.
+
+    ``expansion`` approximates how much larger the shuffled rows are than
+    the compressed columnar input.  AQE then coalesces small partitions, so
+    over-estimating is cheap while under-estimating means spilling tasks.
+    Never below the cluster's default parallelism.
+    """
+    wanted = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
+    n = max(spark.sparkContext.defaultParallelism, wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
