@@ -32,6 +32,10 @@ PERF_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Broadcast decisions from *measured* shuffle sizes (AQE) may use a higher
+    # limit than static ones from estimates; the static threshold stays at
+    # Spark's default.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
