@@ -15,22 +15,28 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import series_date_text, window_start
 from tributary.functions.numeric import money_sum
-from tributary.operators import (attainment, calendar_covering,
-                                 kpi_overview, latest_version, monthly_vs_indicator,
-                                 orphan_rows, parse_series, stage_sales, stage_targets,
-                                 store_ranking, target_plan, unique_violations)
+from tributary.operators import (attainment, calendar_covering, kpi_overview,
+                                 latest_version, monthly_vs_indicator, orphan_rows,
+                                 parse_series, stage_sales, stage_targets, store_ranking,
+                                 target_plan, unique_violations)
 from tributary.plans import domain as D
+from tributary.plans.layers import build_gold
 from tributary.session import configure, scratch_path
 from tributary.sources.bronze import coerce_cells, normalise_types, with_audit, write_append
 from tributary.sources.files import ingest_files, write_csv
 from tributary.sources.relational import (high_water_mark, incremental_extract,
                                           watermark_or_epoch)
 from tributary.sources.rest_series import ingest_series
-from tributary.plans.layers import build_gold
 from tributary.streaming.upsert import incremental_upsert, refresh_partitions, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The line-item log as a change log: key, newest first by ship date, ties
+# broken by part, supplier and price (unique together with the key).
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_shipdate"]
+LINE_TIEBREAK = ["l_partkey", "l_suppkey", "l_extendedprice"]
+
 
 def _tables(spark: SparkSession, sf_dir: str) -> D.Tables:
     configure(spark)
@@ -50,8 +56,7 @@ def q_sales_vs_target_monthly(spark, sf_dir):
 
 def q_latest_version(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return latest_version(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate"],
-                          tiebreak=["l_partkey", "l_suppkey", "l_extendedprice"])
+    return latest_version(t.lineitem, LINE_KEYS, LINE_ORDER, tiebreak=LINE_TIEBREAK)
 
 
 def q_latest_completed(spark, sf_dir):
@@ -129,7 +134,7 @@ def q_target_plan(spark, sf_dir):
 
 def q_unique_violations(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return unique_violations(t.lineitem, ["l_orderkey", "l_linenumber"])
+    return unique_violations(t.lineitem, LINE_KEYS)
 
 
 def q_orphan_rows(spark, sf_dir):
@@ -151,6 +156,7 @@ def q_high_water_mark(spark, sf_dir):
 
 
 def q_incremental_extract(spark, sf_dir):
+    """New orders since the watermark a previous run stored (fixed here)."""
     t = _tables(spark, sf_dir)
     return incremental_extract(t.orders, "o_orderdate", "2000-01-01T00:00:00",
                                loaded_at=D.RUN_TS, source_tag="erp.orders")
@@ -187,11 +193,6 @@ def q_normalise_types(spark, sf_dir):
 
 # ---------------------------------------------------------------- written tables
 
-LINE_KEYS = ["l_orderkey", "l_linenumber"]
-LINE_ORDER = ["l_shipdate"]
-LINE_TIEBREAK = ["l_partkey", "l_suppkey", "l_extendedprice"]
-
-
 def q_csv_roundtrip(spark, sf_dir):
     """Targets land as a CSV file, are truncate-loaded to bronze and staged.
 
