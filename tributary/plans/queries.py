@@ -220,7 +220,7 @@ def q_rest_series_source(spark, sf_dir):
         payload = rows if payload is None else payload.unionByName(rows)
     payload.write.partitionBy("codigo").json(f"{root}/api")
     run_date = t.events.agg(F.max(F.to_date("ts"))).first()[0]
-    url = "file://" + f"{root}/api".replace("file:", "") + "/codigo={code}"
+    url = f"{root}/api/codigo={{code}}"
     ingest_series(spark, D.SERIES, run_date, url, f"{root}/bronze/series", D.RUN_TS)
     bronze = spark.read.parquet(f"{root}/bronze/series")
     out = None

@@ -5,9 +5,10 @@
 executors instead of one after another in the driver.  Each partition makes
 one GET ``url`` request, with ``{code}``, ``{start}`` and ``{end}``
 (``dd/MM/yyyy``) filled in, and expects a JSON array of
-``{"data": "dd/MM/yyyy", "valor": "<number>"}``.  ``file://`` URLs are
-accepted as well (a JSON file, or a folder of JSON-lines part files, e.g. a
-recorded response), which is how the tests replay it offline.
+``{"data": "dd/MM/yyyy", "valor": "<number>"}``.  Storage locations
+(local, ``file:``, ``hdfs://``, ``s3://`` ... through ``pyarrow.fs``) are
+accepted as well: a JSON file, or a folder of JSON-lines part files such as
+a recorded response, which is how the tests replay it offline.
 
 Options: ``series`` (``name:code,name:code``), ``start``/``end``
 (``yyyy-MM-dd``), ``url``, ``slice_days`` (default 365) and ``timeout``
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 import urllib.parse
 import urllib.request
 
@@ -49,17 +49,8 @@ def _parse_br(text: str) -> dt.date:
     return dt.date(year, month, day)
 
 
-def _fetch(url: str, timeout: float) -> list[dict]:
-    """GET ``url`` and return its records; raises on HTTP errors."""
-    parsed = urllib.parse.urlparse(url)
-    if parsed.scheme == "file" and os.path.isdir(parsed.path):
-        rows: list[dict] = []
-        for fn in sorted(os.listdir(parsed.path)):
-            if fn.endswith(".json"):
-                rows.extend(_fetch(f"file://{os.path.join(parsed.path, fn)}", timeout))
-        return rows
-    with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310 - caller's URL
-        body = resp.read().decode("utf-8").strip()
+def _records(body: str) -> list[dict]:
+    body = body.strip()
     if not body:
         return []
     if body.startswith("["):
@@ -67,6 +58,35 @@ def _fetch(url: str, timeout: float) -> list[dict]:
     return [json.loads(line) for line in body.splitlines() if line.strip()]
 
 
+def _fetch(url: str, timeout: float) -> list[dict]:
+    """GET ``url`` and return its records; raises on HTTP errors.
+
+    Non-HTTP locations (local paths, ``file:``, ``hdfs://``, ``s3://`` ...)
+    are read with ``pyarrow.fs``; a folder yields all its ``*.json`` files
+    (JSON arrays or JSON lines), e.g. a replay written by Spark.
+    """
+    scheme = urllib.parse.urlparse(url).scheme
+    if scheme in ("http", "https"):
+        with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310
+            return _records(resp.read().decode("utf-8"))
+    from pyarrow import fs as pafs
+    if scheme == "file" or not scheme:
+        filesystem, path = pafs.LocalFileSystem(), urllib.parse.urlparse(url).path or url
+    else:
+        filesystem, path = pafs.FileSystem.from_uri(url)
+    info = filesystem.get_file_info(path)
+    if info.type == pafs.FileType.Directory:
+        files = sorted(f.path for f in filesystem.get_file_info(pafs.FileSelector(path))
+                       if f.path.endswith(".json"))
+    else:
+        files = [path]
+    rows: list[dict] = []
+    for f in files:
+        with filesystem.open_input_stream(f) as stream:
+            rows.extend(_records(stream.read().decode("utf-8")))
+    return rows
+
+
 class SeriesReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.series = [(n.strip(), int(c)) for n, c in
