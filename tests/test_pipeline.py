@@ -103,3 +103,8 @@ def test_two_daily_runs(spark, scratch, tmp_path):
     assert spark.read.parquet(f"{root}/bronze/erp_clientes").count() == 2  # nothing new
     assert sorted(r[0] for r in bronze.select("_loaded_at").distinct().collect()) == [
         "2024-01-31T07:00:00", "2024-02-01T07:00:00"]
+    # the command line rebuilds silver and gold from the bronze tables present
+    from tributary.__main__ import main
+    assert main(["--bronze", f"{root}/bronze", "--warehouse", f"{root}/gold_cli"]) == 0
+    cli_fact = spark.read.parquet(f"{root}/gold_cli/gold/fct_vendas")
+    assert sorted(r.venda_id for r in cli_fact.collect()) == [2, 4]
