@@ -257,7 +257,7 @@ class BenchmarkBinding:
             "stg_erp_clientes": silver_customers(t),
             "stg_erp_lojas": silver_stores(t),
             "stg_erp_produtos": silver_products(t),
-            "stg_drive_metas": silver_targets(t),
+            "stg_metas": silver_targets(t),
             "stg_indicadores": silver_indicators(t),
         }
 

@@ -2,7 +2,7 @@
 
 Bronze layout under one root (what ``plans.pipeline.run_daily`` writes):
 ``erp_<table>`` append logs (ISO text timestamps, ``_loaded_at``),
-``drive_metas_vendas`` / ``drive_lojas`` from the landing files, and
+``files_metas_vendas`` / ``files_lojas`` from the landing files, and
 ``series`` (partitioned by ``serie``) from the series API.
 """
 
@@ -54,7 +54,7 @@ class ErpBinding:
             "stg_erp_clientes": stage_customers(self.table("erp_clientes")),
             "stg_erp_lojas": stage_stores(self.table("erp_lojas")),
             "stg_erp_produtos": stage_products(self.table("erp_produtos")),
-            "stg_drive_metas": stage_targets(self.table("drive_metas_vendas")),
+            "stg_metas": stage_targets(self.table("files_metas_vendas")),
             "stg_indicadores": self.indicators(),
         }
 

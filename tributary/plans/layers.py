@@ -95,7 +95,7 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
                                 FACT_PARTITIONS)
     gold = _materialize_all(first_wave, root, threads)
     gold["vendas_vs_meta_mensal"] = materialize(
-        attainment(gold["fct_vendas"], silver["stg_drive_metas"]),
+        attainment(gold["fct_vendas"], silver["stg_metas"]),
         root, GOLD, "vendas_vs_meta_mensal")
     return Build(silver, gold)
 

@@ -202,7 +202,7 @@ def q_csv_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "csv_roundtrip")
     write_csv(D.targets_log(t), f"{root}/landing/metas_vendas.csv")
     ingest_files(spark, f"{root}/landing", f"{root}/bronze", D.RUN_TS)
-    return stage_targets(spark.read.parquet(f"{root}/bronze/drive_metas_vendas"))
+    return stage_targets(spark.read.parquet(f"{root}/bronze/files_metas_vendas"))
 
 
 def q_rest_series_source(spark, sf_dir):

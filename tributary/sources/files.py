@@ -35,8 +35,8 @@ STORES_CSV_SCHEMA = T.StructType([
 
 # Landing file name -> bronze table it replaces.
 LANDING_FILES = {
-    "metas_vendas.csv": ("drive_metas_vendas", TARGETS_CSV_SCHEMA),
-    "lojas.csv": ("drive_lojas", STORES_CSV_SCHEMA),
+    "metas_vendas.csv": ("files_metas_vendas", TARGETS_CSV_SCHEMA),
+    "lojas.csv": ("files_lojas", STORES_CSV_SCHEMA),
 }
 FILES_SOURCE_TAG = "landing_files"
 
