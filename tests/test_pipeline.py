@@ -57,7 +57,7 @@ def _series_api(tmp_path):
 
 
 def _rows(df, *order):
-    return [tuple(r) for r in df.orderBy(*order).collect()]
+    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
 
 
 def test_two_daily_runs(spark, scratch, tmp_path):
@@ -92,6 +92,12 @@ def test_two_daily_runs(spark, scratch, tmp_path):
                    (dt.date(2024, 1, 11), 4.95, None, None),
                    (dt.date(2024, 1, 12), None, 0.05, None)]
     assert first["dim_calendario"].count() == 1096
+    # dashboard marts
+    assert _rows(first["kpi_visao_geral"]) == [(90.0, 2, 45.0, 170.0, 52.94)]
+    assert _rows(first["vendas_vs_dolar_mensal"]) == [(2024, 1, 90.0, 2, 4.925)]
+    assert _rows(first["ranking_lojas"].select("ano", "mes", "loja_id", "posicao"),
+                 "ano", "mes", "posicao", "loja_id") == [
+        (2024, 1, 1, 1), (2024, 1, 2, 2), (2024, 2, 1, 1)]
     assert first["dim_loja"].count() == 2 and first["dim_cliente"].count() == 2
 
     second = run(dt.date(2024, 2, 1), "2024-02-01T07:00:00", True).gold

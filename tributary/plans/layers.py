@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.facts import FACT_COLUMNS, attainment
+from tributary.operators.marts import kpi_overview, monthly_vs_indicator, store_ranking
 
 SILVER, GOLD = "silver", "gold"
 FACT_PARTITIONS = ("ano", "mes")
@@ -76,7 +77,7 @@ def build_silver(binding) -> dict[str, DataFrame]:
 
 
 def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
-               threads: int = 4) -> Build:
+               threads: int = 4, marts: bool = False) -> Build:
     """Rebuild every gold model of ``binding`` under ``root`` in dependency order.
 
     ``binding`` supplies the silver models, the sales fact, the dimensions
@@ -85,7 +86,9 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
     Models that do not depend on each other are submitted as concurrent
     Spark jobs from ``threads`` driver threads (the scheduler interleaves
     their tasks, so small jobs do not leave executors idle); the mart starts
-    once the stored fact exists and reads it back from storage.
+    once the stored fact exists and reads it back from storage.  With
+    ``marts`` the dashboard marts (KPIs, monthly sales vs the dollar, store
+    ranking) are materialized from the stored gold tables as a third wave.
     """
     silver = build_silver(binding) if silver is None else silver
     first_wave = {name: (df, ()) for name, df in binding.dimensions(silver).items()}
@@ -97,6 +100,15 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
     gold["vendas_vs_meta_mensal"] = materialize(
         attainment(gold["fct_vendas"], silver["stg_metas"]),
         root, GOLD, "vendas_vs_meta_mensal")
+    if marts:
+        fact = gold["fct_vendas"]
+        third_wave = {
+            "kpi_visao_geral": (kpi_overview(fact, silver["stg_metas"]), ()),
+            "vendas_vs_dolar_mensal": (
+                monthly_vs_indicator(fact, gold["fct_indicadores_economicos"]), ()),
+            "ranking_lojas": (store_ranking(gold["vendas_vs_meta_mensal"]), ()),
+        }
+        gold.update(_materialize_all(third_wave, root, threads))
     return Build(silver, gold)
 
 

@@ -35,6 +35,8 @@ class DailyRun:
     # Series API URL template with {code}, {start}, {end}.
     series_url: str | None = None
     series: dict[str, int] | None = None
+    # Also materialize the dashboard marts (KPIs, sales vs dollar, ranking).
+    marts: bool = True
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> Build:
@@ -49,4 +51,5 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
         ingest_incremental(spark, run.erp_source, bronze, loaded_at, ERP_TABLES)
     if run.landing_dir:
         ingest_files(spark, run.landing_dir, bronze, loaded_at)
-    return build_gold(ErpBinding(spark, bronze, series=series), run.warehouse_root)
+    return build_gold(ErpBinding(spark, bronze, series=series), run.warehouse_root,
+                      marts=run.marts)
