@@ -7,6 +7,7 @@ collected by an ``Observation`` on the same pass as the write.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -19,6 +20,8 @@ from tributary.functions.numeric import (coerce_double, coerce_kind, coerce_long
 
 AUDIT_COLUMNS = ("_loaded_at", "_source")
 
+log = logging.getLogger(__name__)
+
 
 def with_audit(df: DataFrame, loaded_at: str, source: str) -> DataFrame:
     """Add ``_loaded_at`` (one ISO stamp per run) and ``_source`` columns."""
@@ -84,6 +87,7 @@ def _observed_write(df: DataFrame, path: str, mode: str, fmt: str,
                     options: dict[str, str] | None,
                     cluster_by: list[str] | None = None) -> LoadResult:
     if skip_empty and df.isEmpty():
+        log.info("%s: nothing to load", path)
         return LoadResult(path, 0, False)
     if cluster_by:
         # Rows sorted by the cursor inside each file: Parquet min/max
@@ -97,7 +101,9 @@ def _observed_write(df: DataFrame, path: str, mode: str, fmt: str,
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path)
-    return LoadResult(path, int(obs.get["rows"]), True)
+    rows = int(obs.get["rows"])
+    log.info("%s: %d rows loaded (%s)", path, rows, mode)
+    return LoadResult(path, rows, True)
 
 
 def write_truncate(df: DataFrame, path: str, fmt: str = "parquet",
