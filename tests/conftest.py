@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ def spark():
     from tributary.session import configure
     session = (SparkSession.builder.master("local[*]")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tributary-wh-"))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .getOrCreate())

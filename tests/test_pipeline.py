@@ -92,6 +92,8 @@ def test_two_daily_runs(spark, scratch, tmp_path):
                    (dt.date(2024, 1, 11), 4.95, None, None),
                    (dt.date(2024, 1, 12), None, 0.05, None)]
     assert first["dim_calendario"].count() == 1096
+    # gold tables are in the catalog (partitioned fact included)
+    assert spark.sql("select count(*) from gold.fct_vendas where mes = 1").first()[0] == 2
     # dashboard marts
     assert _rows(first["kpi_visao_geral"]) == [(90.0, 2, 45.0, 170.0, 52.94)]
     assert _rows(first["vendas_vs_dolar_mensal"]) == [(2024, 1, 90.0, 2, 4.925)]

@@ -45,9 +45,31 @@ def publish_view(df: DataFrame, layer: str, name: str) -> DataFrame:
     return df
 
 
+def register_table(spark, layer: str, name: str, path: str, partitioned: bool) -> str:
+    """Expose a stored model as the external table ``<layer>.<name>``.
+
+    The table only points at ``path`` (dropping it never deletes data);
+    partition folders are recovered into the catalog.
+    """
+    qualified = layer_table(layer, name)
+    schema = qualified.split(".")[0]
+    # The database's own folder is the layer folder: nothing is written to
+    # the session's default warehouse directory.
+    layer_root = path.rsplit("/", 1)[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{layer_root}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+    spark.catalog.createTable(qualified, path=path, source="parquet")
+    if partitioned:
+        spark.catalog.recoverPartitions(qualified)
+    return qualified
+
+
 def materialize(df: DataFrame, root: str, layer: str, name: str,
-                partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Full rebuild of a model as Parquet; returns the stored table."""
+                partition_by: tuple[str, ...] = (), register: bool = False) -> DataFrame:
+    """Full rebuild of a model as Parquet; returns the stored table.
+
+    ``register`` also exposes it as the catalog table ``<layer>.<name>``.
+    """
     path = layer_path(root, layer, name)
     if partition_by:
         # Rebalance on the partition columns: each task writes few partitions
@@ -62,6 +84,8 @@ def materialize(df: DataFrame, root: str, layer: str, name: str,
         types = dict(df.dtypes)
         stored = stored.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns])
     publish_view(stored, layer, name)
+    if register:
+        register_table(df.sparkSession, layer, name, path, bool(partition_by))
     return stored
 
 
@@ -77,7 +101,7 @@ def build_silver(binding) -> dict[str, DataFrame]:
 
 
 def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
-               threads: int = 4, marts: bool = False) -> Build:
+               threads: int = 4, marts: bool = False, register: bool = False) -> Build:
     """Rebuild every gold model of ``binding`` under ``root`` in dependency order.
 
     ``binding`` supplies the silver models, the sales fact, the dimensions
@@ -88,7 +112,9 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
     their tasks, so small jobs do not leave executors idle); the mart starts
     once the stored fact exists and reads it back from storage.  With
     ``marts`` the dashboard marts (KPIs, monthly sales vs the dollar, store
-    ranking) are materialized from the stored gold tables as a third wave.
+    ranking) are materialized from the stored gold tables as a third wave;
+    with ``register`` every gold model becomes the catalog table
+    ``gold.<model>``.
     """
     silver = build_silver(binding) if silver is None else silver
     first_wave = {name: (df, ()) for name, df in binding.dimensions(silver).items()}
@@ -96,10 +122,10 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
     first_wave["fct_indicadores_economicos"] = (silver["stg_indicadores"], ())
     first_wave["fct_vendas"] = (binding.sales_fact(silver).select(*FACT_COLUMNS),
                                 FACT_PARTITIONS)
-    gold = _materialize_all(first_wave, root, threads)
+    gold = _materialize_all(first_wave, root, threads, register)
     gold["vendas_vs_meta_mensal"] = materialize(
         attainment(gold["fct_vendas"], silver["stg_metas"]),
-        root, GOLD, "vendas_vs_meta_mensal")
+        root, GOLD, "vendas_vs_meta_mensal", register=register)
     if marts:
         fact = gold["fct_vendas"]
         third_wave = {
@@ -108,16 +134,17 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
                 monthly_vs_indicator(fact, gold["fct_indicadores_economicos"]), ()),
             "ranking_lojas": (store_ranking(gold["vendas_vs_meta_mensal"]), ()),
         }
-        gold.update(_materialize_all(third_wave, root, threads))
+        gold.update(_materialize_all(third_wave, root, threads, register))
     return Build(silver, gold)
 
 
 def _materialize_all(models: dict[str, tuple[DataFrame, tuple[str, ...]]], root: str,
-                     threads: int) -> dict[str, DataFrame]:
+                     threads: int, register: bool = False) -> dict[str, DataFrame]:
     if threads <= 1:
-        return {n: materialize(df, root, GOLD, n, parts) for n, (df, parts) in models.items()}
+        return {n: materialize(df, root, GOLD, n, parts, register)
+                for n, (df, parts) in models.items()}
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        futures = {n: pool.submit(materialize, df, root, GOLD, n, parts)
+        futures = {n: pool.submit(materialize, df, root, GOLD, n, parts, register)
                    for n, (df, parts) in models.items()}
         return {n: f.result() for n, f in futures.items()}
 

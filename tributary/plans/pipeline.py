@@ -37,6 +37,8 @@ class DailyRun:
     series: dict[str, int] | None = None
     # Also materialize the dashboard marts (KPIs, sales vs dollar, ranking).
     marts: bool = True
+    # Expose the gold tables as gold.<model> in the session catalog.
+    register: bool = True
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> Build:
@@ -52,4 +54,4 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
     if run.landing_dir:
         ingest_files(spark, run.landing_dir, bronze, loaded_at)
     return build_gold(ErpBinding(spark, bronze, series=series), run.warehouse_root,
-                      marts=run.marts)
+                      marts=run.marts, register=run.register)
