@@ -25,7 +25,8 @@ def _sources(spark, day2: bool):
               (2, 2, 2, T(2024, 1, 11, 11), "concluida", Dec("30.00"), t0, T(2024, 1, 11, 11)),
               (3, 1, 1, T(2024, 1, 12, 12), "cancelada", Dec("30.00"), t0, T(2024, 1, 12, 12))]
     itens = [(1, 1, 1, 2, Dec("30.00"), Dec("60.00"), t0),
-             (2, 3, 2, 1, Dec("30.00"), Dec("30.00"), t0)]
+             (2, 3, 2, 1, Dec("30.00"), Dec("30.00"), t0),
+             (9, 99, 1, 1, Dec("30.00"), Dec("30.00"), t0)]      # unknown sale
     if day2:
         vendas[0] = vendas[0][:4] + ("cancelada",) + vendas[0][5:7] + (T(2024, 1, 31, 12),)
         vendas.append((4, 2, 2, T(2024, 1, 31, 15), "concluida", Dec("10.00"),
@@ -35,7 +36,8 @@ def _sources(spark, day2: bool):
         "lojas": [(1, "Loja Centro", "São Paulo", "SP", "Sudeste", t0),
                   (2, "Loja Sul", "Curitiba", "PR", "Sul", t0)],
         "produtos": [(1, "SKU0001", "Produto 1", "Móveis", Dec("20.00"), Dec("30.00"), t0),
-                     (2, "SKU0002", "Produto 2", "Esportes", Dec("9.00"), Dec("10.00"), t0)],
+                     (2, "SKU0002", "Produto 2", "Esportes", Dec("9.00"), Dec("10.00"), t0),
+                     (3, "SKU0001", "Produto 3", "Móveis", Dec("5.00"), Dec("8.00"), t0)],
         "clientes": [(1, "Ana", "ana@example.com", "Recife", "PE", t0, t0),
                      (2, "Bruno", "bruno@example.com", "Manaus", "AM", t0, t0)],
         "vendas": vendas,
@@ -92,6 +94,11 @@ def test_two_daily_runs(spark, scratch, tmp_path):
                    (dt.date(2024, 1, 11), 4.95, None, None),
                    (dt.date(2024, 1, 12), None, 0.05, None)]
     assert first["dim_calendario"].count() == 1096
+    # data-quality tables: duplicate SKU, item of an unknown sale
+    assert _rows(first["dq_sku_duplicado"]) == [("SKU0001", 2)]
+    assert [r.item_id for r in first["dq_itens_sem_venda"].collect()] == [9]
+    assert first["dq_venda_duplicada"].count() == 0
+    assert first["dq_vendas_sem_cliente"].count() == 0
     # gold tables are in the catalog (partitioned fact included)
     assert spark.sql("select count(*) from gold.fct_vendas where mes = 1").first()[0] == 2
     # dashboard marts

@@ -267,5 +267,8 @@ class BenchmarkBinding:
     def dimensions(self, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
         return gold_dimensions(self.t)
 
+    def sale_ids(self) -> DataFrame:
+        return orders_log(self.t).select(F.col("id").alias("venda_id"))
+
     def calendar(self) -> DataFrame:
         return calendar_covering(self.t.orders, "o_orderdate")

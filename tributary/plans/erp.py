@@ -68,5 +68,9 @@ class ErpBinding:
             "dim_produto": conform_dimension(silver["stg_erp_produtos"], "produto_id"),
         }
 
+    def sale_ids(self) -> DataFrame:
+        """Every sale id ever loaded (all versions, any status)."""
+        return self.table("erp_vendas").select(F.col("id").alias("venda_id"))
+
     def calendar(self) -> DataFrame:
         return calendar(self.spark, self.calendar_start, self.calendar_days)

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tributary.operators.facts import FACT_COLUMNS, attainment
 from tributary.operators.marts import kpi_overview, monthly_vs_indicator, store_ranking
+from tributary.plans.quality import quality_checks
 
-SILVER, GOLD = "silver", "gold"
+SILVER, GOLD, QUALITY = "silver", "gold", "quality"
 FACT_PARTITIONS = ("ano", "mes")
 
 
@@ -101,7 +102,8 @@ def build_silver(binding) -> dict[str, DataFrame]:
 
 
 def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
-               threads: int = 4, marts: bool = False, register: bool = False) -> Build:
+               threads: int = 4, marts: bool = False, register: bool = False,
+               checks: bool = False) -> Build:
     """Rebuild every gold model of ``binding`` under ``root`` in dependency order.
 
     ``binding`` supplies the silver models, the sales fact, the dimensions
@@ -114,7 +116,8 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
     ``marts`` the dashboard marts (KPIs, monthly sales vs the dollar, store
     ranking) are materialized from the stored gold tables as a third wave;
     with ``register`` every gold model becomes the catalog table
-    ``gold.<model>``.
+    ``gold.<model>``; with ``checks`` the data-quality tables
+    (``plans.quality``) are written to the ``quality`` layer.
     """
     silver = build_silver(binding) if silver is None else silver
     first_wave = {name: (df, ()) for name, df in binding.dimensions(silver).items()}
@@ -135,6 +138,9 @@ def build_gold(binding, root: str, silver: dict[str, DataFrame] | None = None,
             "ranking_lojas": (store_ranking(gold["vendas_vs_meta_mensal"]), ()),
         }
         gold.update(_materialize_all(third_wave, root, threads, register))
+    if checks:
+        for name, df in quality_checks(silver, binding.sale_ids()).items():
+            gold[name] = materialize(df, root, QUALITY, name, register=register)
     return Build(silver, gold)
 
 

@@ -39,6 +39,8 @@ class DailyRun:
     marts: bool = True
     # Expose the gold tables as gold.<model> in the session catalog.
     register: bool = True
+    # Write the data-quality tables (quality layer).
+    checks: bool = True
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> Build:
@@ -54,4 +56,4 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
     if run.landing_dir:
         ingest_files(spark, run.landing_dir, bronze, loaded_at)
     return build_gold(ErpBinding(spark, bronze, series=series), run.warehouse_root,
-                      marts=run.marts, register=run.register)
+                      marts=run.marts, register=run.register, checks=run.checks)
