@@ -50,3 +50,20 @@ def test_attainment_keys_are_union(spark, sales, targets):
     null_groups = {(r[0], r[1], "s") for r in sales if r[2] is None} | \
                   {(r[0], r[1], "t") for r in targets if r[2] is None}
     assert len([k for k in out if k[2] is None]) == len(null_groups)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ROWS, st.lists(st.integers(0, 9), min_size=1, max_size=3, unique=True))
+def test_incremental_upsert_equals_full_recompute(spark, scratch, data, cuts):
+    from pyspark.sql import functions as F
+    from tributary.streaming.upsert import incremental_upsert
+    df = spark.createDataFrame(data, "k int, ts int, v string")
+    bounds = [-1] + sorted(cuts) + [10]
+    batches = [df.where((F.col("ts") > lo) & (F.col("ts") <= hi))
+               for lo, hi in zip(bounds, bounds[1:])]
+    got = incremental_upsert(batches, scratch("prop_upsert"), ["k"], ["ts"])
+    want = latest_version(df, ["k"], ["ts"])
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == \
+        sorted(map(tuple, want.collect()), key=key)
