@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tributary.sources.bronze import LoadResult, normalise_series_rows, write_truncate
+from tributary.sources.schemas import SERIES_BRONZE
 
 SOURCE_NAME = "series_api"
 SCHEMA = "serie string, codigo bigint, data string, valor string"
@@ -161,7 +162,10 @@ def ingest_series(spark: SparkSession, series: dict[str, int], run_date: dt.date
     """
     start, end = extraction_window(run_date)
     rows = normalise_series_rows(read_series(spark, series, start, end, url), permissive)
-    bronze = rows.withColumns({
+    stamped = rows.withColumns({
         "_loaded_at": F.lit(loaded_at),
         "_source": F.concat(F.lit("series_"), F.col("codigo").cast("string"))})
+    # Declared bronze schema (plus the series name the table is partitioned by).
+    bronze = stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                              for f in SERIES_BRONZE.fields], "serie")
     return write_truncate(bronze, bronze_path, partition_by=["serie"])
