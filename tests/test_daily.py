@@ -12,7 +12,7 @@ from decimal import Decimal as Dec
 
 from pyspark.sql import functions as F
 
-from tributary.plans.pipeline import DailyRun, run_daily
+from tributary.plans.daily import DailyRun, run_daily
 from tributary.sources.files import write_csv
 from tributary.sources.schemas import ERP_SOURCE
 

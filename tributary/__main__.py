@@ -15,7 +15,7 @@ import argparse
 import datetime as dt
 import os
 
-from tributary.plans.pipeline import DailyRun, run_daily
+from tributary.plans.daily import DailyRun, run_daily
 from tributary.session import build_session
 from tributary.sources.relational import jdbc_source
 

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.plans.erp import SERIES, ErpBinding
+from tributary.plans.erp import ErpBinding
 from tributary.plans.layers import Build, build_gold
 from tributary.sources.files import ingest_files
 from tributary.sources.relational import ERP_TABLES, TableSpec, ingest_incremental
-from tributary.sources.rest_series import ingest_series
+from tributary.sources.rest_series import SERIES, ingest_series
 
 
 @dataclass

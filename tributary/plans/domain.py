@@ -44,6 +44,7 @@ from tributary.operators.staging import (parse_series, stage_customers, stage_it
                                          stage_products, stage_sales, stage_stores,
                                          stage_targets)
 from tributary.sources.bronze import normalise_series_rows, with_audit
+from tributary.sources.rest_series import SERIES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events")
@@ -53,9 +54,7 @@ COMPLETED_EVENT = "purchase"
 ITEM_KEYS = ("venda_id", "id")
 ITEM_TIEBREAK = ("produto_id", "fornecedor_id", "subtotal")
 
-# The three economic series, name -> series code, and the
-# event type each one is derived from here.
-SERIES = {"dolar": 1, "selic": 11, "ipca": 433}
+# The event type each economic series is derived from in this binding.
 SERIES_EVENT = {"dolar": "click", "selic": "error", "ipca": "purchase"}
 MONTHLY_SERIES = ("ipca",)
 

@@ -1,6 +1,6 @@
 """The retail model over the bronze tables written by the ingestion jobs.
 
-Bronze layout under one root (what ``plans.pipeline.run_daily`` writes):
+Bronze layout under one root (what ``plans.daily.run_daily`` writes):
 ``erp_<table>`` append logs (ISO text timestamps, ``_loaded_at``),
 ``files_metas_vendas`` / ``files_lojas`` from the landing files, and
 ``series`` (partitioned by ``serie``) from the series API.
@@ -20,9 +20,8 @@ from tributary.operators.series import align_series
 from tributary.operators.staging import (parse_series, stage_customers, stage_items,
                                          stage_products, stage_sales, stage_stores,
                                          stage_targets)
+from tributary.sources.rest_series import SERIES
 
-# The three series loaded by the series ingestion (name -> code).
-SERIES = {"dolar": 1, "selic": 11, "ipca": 433}
 COMPLETED = "concluida"
 
 

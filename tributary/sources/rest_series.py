@@ -30,6 +30,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from tributary.sources.bronze import LoadResult, normalise_series_rows, write_truncate
 from tributary.sources.schemas import SERIES_BRONZE
 
+# The economic series loaded every run, name -> series code
+# (dollar selling rate, daily; Selic rate, daily; IPCA inflation, monthly).
+SERIES = {"dolar": 1, "selic": 11, "ipca": 433}
+
 SOURCE_NAME = "series_api"
 SCHEMA = "serie string, codigo bigint, data string, valor string"
 WINDOW_DAYS = 3 * 365
