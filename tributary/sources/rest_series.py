@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import sys
 import urllib.parse
 import urllib.request
 
@@ -137,6 +138,13 @@ class SeriesDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Register the data source with the session.
+
+    The reader classes are shipped to the Python workers by value, so the
+    workers do not need this package installed or on their path.
+    """
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(SeriesDataSource)
 
 
