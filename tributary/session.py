@@ -126,18 +126,50 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "tributary", *parts, uuid.uuid4().hex])
 
 
+def _arrow_fs(path: str):
+    from pyarrow import fs as pafs
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path.removeprefix("file:")
+    if path.startswith("file://"):
+        return pafs.LocalFileSystem(), path[len("file://"):]
+    return pafs.FileSystem.from_uri(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its (possibly remote) file system."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Whether ``path`` exists on its (possibly remote) file system.
+
+    Uses the session's Hadoop file system (same credentials and schemes as
+    Spark's readers); without a JVM gateway (Spark Connect) it falls back
+    to ``pyarrow.fs``.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no py4j gateway
+        from pyarrow import fs as pafs
+        filesystem, local = _arrow_fs(path)
+        return filesystem.get_file_info(local).type != pafs.FileType.NotFound
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).exists(p))
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size on storage of the files under ``paths``."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no py4j gateway: pyarrow.fs
+        from pyarrow import fs as pafs
+        total = 0
+        for path in paths:
+            filesystem, local = _arrow_fs(path)
+            info = filesystem.get_file_info(local)
+            if info.type == pafs.FileType.Directory:
+                infos = filesystem.get_file_info(pafs.FileSelector(local, recursive=True))
+                total += sum(i.size or 0 for i in infos if i.type == pafs.FileType.File)
+            elif info.type == pafs.FileType.File:
+                total += info.size or 0
+        return int(total)
     total = 0
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
