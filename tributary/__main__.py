@@ -2,7 +2,7 @@
 
     python -m tributary --run-date 2024-02-01 --bronze s3a://lake/bronze \\
         --warehouse s3a://lake/warehouse --landing s3a://lake/landing \\
-        --series-url 'https://<api>/{code}/dados?formato=json&dataInicial={start}&dataFinal={end}' \\
+        --series-url 'https://<series-api>/series/{code}?start={start}&end={end}' \\
         --jdbc-url jdbc:postgresql://host/db --jdbc-user etl --jdbc-password-env PGPASSWORD
 
 Every source is optional; without any the run rebuilds silver and gold from
