@@ -139,8 +139,10 @@ def sales_lines(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     s = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
     p = broadcast_if_small(t.part.select("p_partkey", "p_type"))
-    return (li.join(s, li.l_suppkey == s.s_suppkey)
-            .join(p, li.l_partkey == p.p_partkey)
+    # Left joins: a line whose supplier or part is unknown keeps its revenue
+    # under a NULL store / category instead of disappearing.
+    return (li.join(s, li.l_suppkey == s.s_suppkey, "left")
+            .join(p, li.l_partkey == p.p_partkey, "left")
             .select(F.year("l_shipdate").alias("ano"), F.month("l_shipdate").alias("mes"),
                     F.col("s_nationkey").alias("loja_id"), F.col("p_type").alias("categoria"),
                     "l_extendedprice"))

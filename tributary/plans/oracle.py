@@ -46,8 +46,8 @@ sales_lines as (
     select year(l_shipdate) as ano, month(l_shipdate) as mes, s_nationkey as loja_id,
            p_type as categoria, l_extendedprice
     from lineitem
-    join supplier on l_suppkey = s_suppkey
-    join part on l_partkey = p_partkey
+    left join supplier on l_suppkey = s_suppkey
+    left join part on l_partkey = p_partkey
 ),
 targets as (
     select cast(ano as bigint) as ano, cast(mes as bigint) as mes,
