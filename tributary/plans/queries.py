@@ -128,7 +128,9 @@ def q_store_ranking(spark, sf_dir):
 def q_target_plan(spark, sf_dir):
     t = _tables(spark, sf_dir)
     keys = D.sales_lines(t).select("ano", "mes", "loja_id", "categoria")
-    base_year = keys.select(F.min("ano")).scalar()
+    # Every line yields a key (left joins), so the first year is a one-column
+    # scalar subquery over the lines, without repeating the joins.
+    base_year = t.lineitem.select(F.min(F.year("l_shipdate"))).scalar()
     return target_plan(keys, base_year)
 
 
