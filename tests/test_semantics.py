@@ -172,3 +172,20 @@ def test_quality_checks(spark):
 def test_layer_table_name():
     assert layer_table(" gold ", "fct_vendas") == "gold.fct_vendas"
     assert layer_table(None, "x") == "gold.x"
+
+
+def test_align_series_long_equals_join_chain(spark):
+    from tributary.operators import align_series_long
+    rows = [("dolar", D(2024, 1, 2), 5.0), ("selic", D(2024, 1, 2), 0.1),
+            ("selic", D(2024, 1, 3), 0.2), ("ipca", D(2023, 12, 1), 0.5),
+            ("ipca", D(2024, 1, 3), 0.7), ("dolar", None, 9.0), ("ipca", None, 8.0),
+            ("other", D(2024, 1, 2), 1.0)]
+    long = spark.createDataFrame(rows, "serie string, data date, valor double")
+    names = ["dolar", "selic", "ipca"]
+    parts = [(long.where(F.col("serie") == n).select("data", F.col("valor").alias(n)), n)
+             for n in names]
+    key = lambda r: tuple((v is None, v) for v in r)
+    for mode in ("first_two", "all"):
+        want = sorted(map(tuple, align_series(parts, mode).collect()), key=key)
+        got = sorted(map(tuple, align_series_long(long, names, mode).collect()), key=key)
+        assert got == want, mode

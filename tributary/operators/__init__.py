@@ -7,14 +7,14 @@ from tributary.operators.facts import attainment, item_totals, sales_fact
 from tributary.operators.joins import broadcast_if_small, estimated_bytes
 from tributary.operators.marts import (kpi_overview, monthly_vs_indicator, store_ranking,
                                        target_plan)
-from tributary.operators.series import align_series
+from tributary.operators.series import align_series, align_series_long
 from tributary.operators.staging import (parse_series, project, stage_customers, stage_items,
                                          stage_products, stage_sales, stage_stores,
                                          stage_targets)
 
 __all__ = [
-    "align_series", "attainment", "broadcast_if_small", "calendar", "calendar_covering",
-    "calendar_from_dates", "conform_dimension", "estimated_bytes", "item_totals",
+    "align_series", "align_series_long", "attainment", "broadcast_if_small", "calendar",
+    "calendar_covering", "calendar_from_dates", "conform_dimension", "estimated_bytes", "item_totals",
     "kpi_overview", "latest_version", "monthly_vs_indicator", "orphan_rows",
     "parse_series", "project", "sales_fact", "stage_customers", "stage_items",
     "stage_products", "stage_sales", "stage_stores", "stage_targets", "store_ranking",

@@ -137,10 +137,12 @@ def stage_targets(bronze: DataFrame, spec: Spec = TARGETS_SPEC) -> DataFrame:
 
 
 def parse_series(bronze: DataFrame, value_name: str, date_col: str = "data",
-                 value_col: str = "valor", permissive: bool = False) -> DataFrame:
-    """Bronze series ``(data text, valor)`` → ``(data date, <value_name> double)``."""
+                 value_col: str = "valor", permissive: bool = False,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Bronze series ``(data text, valor)`` → ``(data date, <value_name> double)``,
+    plus the ``keep`` columns (e.g. the series name of a long table)."""
     value = F.col(value_col).cast("double")
     if permissive:
         value = F.col(value_col).try_cast("double")
-    return bronze.select(parse_series_date(date_col, permissive).alias("data"),
+    return bronze.select(*keep, parse_series_date(date_col, permissive).alias("data"),
                          value.alias(value_name))

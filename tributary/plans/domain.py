@@ -39,11 +39,11 @@ from tributary.operators.calendar import calendar_covering
 from tributary.operators.dedup import conform_dimension
 from tributary.operators.facts import FACT_COLUMNS, sales_fact
 from tributary.operators.joins import broadcast_if_small
-from tributary.operators.series import align_series
+from tributary.operators.series import align_series_long
 from tributary.operators.staging import (parse_series, stage_customers, stage_items,
                                          stage_products, stage_sales, stage_stores,
                                          stage_targets)
-from tributary.sources.bronze import normalise_series_rows, with_audit
+from tributary.sources.bronze import normalise_series_rows
 from tributary.sources.rest_series import SERIES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -154,23 +154,37 @@ def targets_log(t: Tables) -> DataFrame:
             .agg(money_sum("l_extendedprice").alias("meta_valor")))
 
 
-def series_api_rows(t: Tables, name: str) -> DataFrame:
-    """Rows as the series API returns them: ``data`` dd/MM/yyyy, ``valor`` with a
-    decimal comma."""
-    e = t.events.where(F.col("event_type") == SERIES_EVENT[name])
-    if name in MONTHLY_SERIES:
-        day = F.add_months(F.trunc(F.col("ts"), "month"), -1)
-    else:
-        day = F.to_date("ts")
-    daily = e.groupBy(day.alias("d")).agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("v"))
-    return daily.select(series_date_text("d").alias("data"),
+def series_api_long(t: Tables) -> DataFrame:
+    """All three series as the API would return them, in one long frame:
+    ``(serie, codigo, data dd/MM/yyyy, valor with a decimal comma)``.
+
+    One filtered scan of ``events`` and one aggregate on (series, day); the
+    monthly series is dated on the first day of the previous month.
+    """
+    by_event = list(SERIES_EVENT.items())
+    serie = F.when(F.col("event_type") == by_event[0][1], F.lit(by_event[0][0]))
+    for name, event in by_event[1:]:
+        serie = serie.when(F.col("event_type") == event, F.lit(name))
+    code = F.when(F.col("serie") == by_event[0][0], F.lit(SERIES[by_event[0][0]]))
+    for name, _ in by_event[1:]:
+        code = code.when(F.col("serie") == name, F.lit(SERIES[name]))
+    monthly = serie.isin(list(MONTHLY_SERIES))
+    day = F.when(monthly, F.add_months(F.trunc(F.col("ts"), "month"), -1)) \
+        .otherwise(F.to_date("ts"))
+    events = t.events.where(F.col("event_type").isin([e for _, e in by_event]))
+    daily = events.groupBy(serie.alias("serie"), day.alias("d")).agg(
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("v"))
+    return daily.select("serie", code.cast("bigint").alias("codigo"),
+                        series_date_text("d").alias("data"),
                         decimal_comma_text("v").alias("valor"))
 
 
-def series_bronze(t: Tables, name: str, loaded_at: str = RUN_TS) -> DataFrame:
-    """Bronze series table: normalised value plus audit columns."""
-    rows = normalise_series_rows(series_api_rows(t, name))
-    return with_audit(rows, loaded_at, f"series_{SERIES[name]}")
+def series_bronze_long(t: Tables, loaded_at: str = RUN_TS) -> DataFrame:
+    """Bronze series table (all series): normalised value plus audit columns."""
+    rows = normalise_series_rows(series_api_long(t))
+    return rows.withColumns({
+        "_loaded_at": F.lit(loaded_at),
+        "_source": F.concat(F.lit("series_"), F.col("codigo").cast("string"))})
 
 
 # Ship-date boundaries that split the line-item log into the
@@ -215,9 +229,16 @@ def silver_targets(t: Tables) -> DataFrame:
     return stage_targets(targets_log(t))
 
 
+def silver_parsed_series(t: Tables) -> DataFrame:
+    """``(serie, codigo, data date, valor double)`` for all series."""
+    return parse_series(series_bronze_long(t), "valor", keep=["serie", "codigo"])
+
+
 def silver_indicators(t: Tables, key_mode: str = "first_two") -> DataFrame:
-    parsed = [(parse_series(series_bronze(t, n), n), n) for n in SERIES]
-    return align_series(parsed, key_mode=key_mode)
+    """Aligned series.  The series here come from one aggregate (unique per
+    series and date), so the single-aggregate form of the alignment applies;
+    the SQL oracle states it as the chained full outer joins."""
+    return align_series_long(silver_parsed_series(t), list(SERIES), key_mode=key_mode)
 
 
 # ---------------------------------------------------------------- gold

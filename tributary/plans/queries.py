@@ -89,14 +89,7 @@ def q_indicator_align_all_keys(spark, sf_dir):
 
 
 def q_series_parse(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    out = None
-    for name, code in D.SERIES.items():
-        parsed = parse_series(D.series_bronze(t, name), "valor").select(
-            F.lit(name).alias("serie"), F.lit(code).cast("bigint").alias("codigo"),
-            "data", "valor")
-        out = parsed if out is None else out.unionByName(parsed)
-    return out
+    return D.silver_parsed_series(_tables(spark, sf_dir))
 
 
 def q_calendar(spark, sf_dir):
@@ -216,22 +209,15 @@ def q_rest_series_source(spark, sf_dir):
     """
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "rest_series")
-    payload = None
-    for name, code in D.SERIES.items():
-        rows = D.series_api_rows(t, name).withColumn("codigo", F.lit(code))
-        payload = rows if payload is None else payload.unionByName(rows)
-    payload.write.partitionBy("codigo").json(f"{root}/api")
+    D.series_api_long(t).select("codigo", "data", "valor").write.partitionBy(
+        "codigo").json(f"{root}/api")
     run_date = t.events.agg(F.max(F.to_date("ts"))).first()[0]
     url = f"{root}/api/codigo={{code}}"
     ingest_series(spark, D.SERIES, run_date, url, f"{root}/bronze/series", D.RUN_TS)
     bronze = spark.read.parquet(f"{root}/bronze/series")
-    out = None
-    for name, code in D.SERIES.items():
-        parsed = parse_series(bronze.where(F.col("serie") == name), "valor").select(
-            F.lit(name).alias("serie"), F.lit(code).cast("bigint").alias("codigo"),
-            "data", "valor")
-        out = parsed if out is None else out.unionByName(parsed)
-    return out
+    codes = F.create_map(*[F.lit(x) for kv in D.SERIES.items() for x in kv])
+    return parse_series(bronze, "valor", keep=["serie"]).select(
+        "serie", codes[F.col("serie")].cast("bigint").alias("codigo"), "data", "valor")
 
 
 # The source table as seen by four daily runs (orders placed
