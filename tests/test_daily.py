@@ -123,3 +123,8 @@ def test_two_daily_runs(spark, scratch, tmp_path):
     assert main(["--bronze", f"{root}/bronze", "--warehouse", f"{root}/gold_cli"]) == 0
     cli_fact = spark.read.parquet(f"{root}/gold_cli/gold/fct_vendas")
     assert sorted(r.venda_id for r in cli_fact.collect()) == [2, 4]
+    # the corrected key mode keeps the monthly-only date
+    from tributary.plans.erp import ErpBinding
+    aligned = ErpBinding(spark, f"{root}/bronze", key_mode="all").indicators()
+    assert _rows(aligned.where(F.col("ipca").isNotNull()).select("data", "ipca")) == [
+        (dt.date(2023, 12, 1), 0.56)]

@@ -164,3 +164,16 @@ def test_normalise_types_decimal_and_date(spark):
                                "p decimal(10,2), d date, s string")
     r = normalise_types(df).first()
     assert (r.p, r.d, r.s) == (10.5, "2024-03-01", "x")
+
+
+def test_stream_upsert_many_micro_batches_in_one_run(spark, scratch):
+    log = _log(spark, seed=11)
+    root = scratch("stream_many")
+    for lo, hi in ((0, 10), (10, 25), (25, 40), (40, 50)):
+        (log.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1)
+         .write.mode("append").parquet(f"{root}/bronze"))
+    _, merged = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
+                              f"{root}/ckpt", ["k"], ["ts"], ["v"], max_files_per_trigger=1)
+    assert merged == [0, 1, 2, 3]        # one file per micro-batch, chained versions
+    got = spark.read.parquet(f"{root}/state/v3")
+    assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
