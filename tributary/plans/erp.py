@@ -47,13 +47,15 @@ class ErpBinding:
         return align_series(parsed, key_mode=self.key_mode)
 
     def silver(self) -> dict[str, DataFrame]:
+        """Every silver model as a lazy chain ``bronze.transform(stager)``."""
         return {
-            "stg_erp_vendas": stage_sales(self.table("erp_vendas"), completed=self.completed),
-            "stg_erp_itens_venda": stage_items(self.table("erp_itens_venda")),
-            "stg_erp_clientes": stage_customers(self.table("erp_clientes")),
-            "stg_erp_lojas": stage_stores(self.table("erp_lojas")),
-            "stg_erp_produtos": stage_products(self.table("erp_produtos")),
-            "stg_metas": stage_targets(self.table("files_metas_vendas")),
+            "stg_erp_vendas": self.table("erp_vendas").transform(
+                stage_sales, completed=self.completed),
+            "stg_erp_itens_venda": self.table("erp_itens_venda").transform(stage_items),
+            "stg_erp_clientes": self.table("erp_clientes").transform(stage_customers),
+            "stg_erp_lojas": self.table("erp_lojas").transform(stage_stores),
+            "stg_erp_produtos": self.table("erp_produtos").transform(stage_products),
+            "stg_metas": self.table("files_metas_vendas").transform(stage_targets),
             "stg_indicadores": self.indicators(),
         }
 
