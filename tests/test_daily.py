@@ -128,3 +128,13 @@ def test_two_daily_runs(spark, scratch, tmp_path):
     aligned = ErpBinding(spark, f"{root}/bronze", key_mode="all").indicators()
     assert _rows(aligned.where(F.col("ipca").isNotNull()).select("data", "ipca")) == [
         (dt.date(2023, 12, 1), 0.56)]
+
+
+def test_first_run_with_sources_missing(spark, scratch):
+    from tributary.plans.erp import ErpBinding
+    from tributary.plans.layers import build_gold
+    root = scratch("empty")
+    gold = build_gold(ErpBinding(spark, f"{root}/bronze"), f"{root}/gold", marts=True).gold
+    assert gold["fct_vendas"].count() == 0 and gold["vendas_vs_meta_mensal"].count() == 0
+    assert gold["dim_calendario"].count() == 1096
+    assert [tuple(r) for r in gold["kpi_visao_geral"].collect()] == [(None, 0, None, None, None)]

@@ -20,7 +20,9 @@ from tributary.operators.series import align_series
 from tributary.operators.staging import (parse_series, stage_customers, stage_items,
                                          stage_products, stage_sales, stage_stores,
                                          stage_targets)
+from tributary.session import path_exists
 from tributary.sources.rest_series import SERIES
+from tributary.sources.schemas import BRONZE
 
 COMPLETED = "concluida"
 
@@ -38,7 +40,13 @@ class ErpBinding:
         self.calendar_start, self.calendar_days = calendar_start, calendar_days
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        """A bronze table; one that was never loaded reads as empty (with its
+        declared schema), so a first run with a source missing still builds
+        every model."""
+        path = f"{self.root}/{name}"
+        if name in BRONZE and not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], BRONZE[name])
+        return self.spark.read.parquet(path)
 
     def indicators(self) -> DataFrame:
         bronze = self.table("series")

@@ -14,7 +14,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tributary.operators.facts import FACT_COLUMNS, attainment
 from tributary.operators.marts import kpi_overview, monthly_vs_indicator, store_ranking
@@ -80,10 +79,9 @@ def materialize(df: DataFrame, root: str, layer: str, name: str,
             *partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    if partition_by:  # partition values come back with inferred types
-        types = dict(df.dtypes)
-        stored = stored.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns])
+    # Read back with the written schema: no inference (an empty partitioned
+    # table has no file to infer from) and partition columns keep their types.
+    stored = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
     publish_view(stored, layer, name)
     if register:
         register_table(df.sparkSession, layer, name, path, bool(partition_by))

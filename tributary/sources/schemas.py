@@ -53,3 +53,17 @@ def bronze_of(source: T.StructType) -> T.StructType:
 ERP_BRONZE = {name: bronze_of(schema) for name, schema in ERP_SOURCE.items()}
 
 SERIES_BRONZE = _struct(("data", _S), ("valor", _D), *AUDIT)
+
+# Landing-file bronze tables (CSV columns plus audit columns).
+TARGETS_BRONZE = _struct(("ano", _L), ("mes", _L), ("loja_id", _L), ("categoria", _S),
+                         ("meta_valor", _D), *AUDIT)
+STORES_FILE_BRONZE = _struct(("id", _L), ("nome", _S), ("cidade", _S), ("uf", _S),
+                             ("regiao", _S), *AUDIT)
+
+# Every bronze table the daily run writes, by table name.
+BRONZE = {
+    **{f"erp_{name}": schema for name, schema in ERP_BRONZE.items()},
+    "files_metas_vendas": TARGETS_BRONZE,
+    "files_lojas": STORES_FILE_BRONZE,
+    "series": T.StructType(SERIES_BRONZE.fields + [T.StructField("serie", _S)]),
+}

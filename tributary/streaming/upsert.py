@@ -133,6 +133,5 @@ def refresh_partitions(fact: DataFrame, path: str, touched: DataFrame,
     rows = fact.join(F.broadcast(keys), list(partition_cols), "left_semi")
     (rows.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
-    types = dict(fact.dtypes)
-    stored = fact.sparkSession.read.parquet(path)
-    return stored.select(*[F.col(c).cast(types[c]).alias(c) for c in fact.columns])
+    stored = fact.sparkSession.read.schema(fact.schema).parquet(path)
+    return stored.select(*fact.columns)
