@@ -2,4 +2,59 @@
 
 from __future__ import annotations
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+_MIX = r"""
+WITH docs AS (
+    SELECT doc_id, source, coalesce(text, '') AS body,
+           CAST(CASE WHEN text IS NULL THEN 0
+                     ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size
+    FROM documents
+),
+keyed AS (
+    SELECT doc_id, source, size,
+           -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || body), 1, 13)
+                          AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+           / CASE WHEN length(body) = 0 THEN 0.1
+                  ELSE greatest(0.1, 1 - CAST(length(body) - length(translate(body, '#*$%&|<>', '')) AS DOUBLE)
+                                         / length(body)) END AS key
+    FROM docs
+),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+    FROM docs GROUP BY source
+),
+levels AS (
+    SELECT *, CAST(source_size * 3 AS DOUBLE) / weight AS stop_level,
+           CAST(sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (
+                    ORDER BY CAST(source_size * 3 AS DOUBLE) / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+           / sum(weight) OVER (ORDER BY CAST(source_size * 3 AS DOUBLE) / weight, source NULLS LAST
+                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM sources
+),
+goals AS (
+    SELECT source, source_size,
+           CASE WHEN stop_level <= level THEN CAST(source_size * 3 AS DOUBLE)
+                ELSE weight * (SELECT level FROM levels WHERE stop_level > level
+                               ORDER BY stop_level, source NULLS LAST LIMIT 1) END AS target
+    FROM levels
+),
+budgets AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs,
+           target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END * source_size AS budget
+    FROM goals
+),
+placed AS (
+    SELECT k.doc_id, k.size, b.source_size, b.target, b.epochs, b.budget,
+           coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM keyed k JOIN budgets b ON k.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (epochs + CASE WHEN start + size / 2.0 <= budget THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op8_mixing": _MIX,
+}

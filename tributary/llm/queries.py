@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .mixing import mix
 from .simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op8_mixing": op8_mixing,
 }
