@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .mixing import mix
 from .simhash import simhash_components
+from .token_files import token_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"))
@@ -26,5 +31,6 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op5_simple8b": op5_simple8b,
     "op8_mixing": op8_mixing,
 }
