@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .mixing import mix
+from .packing import pack
 from .simhash import simhash_components
 from .token_files import token_digests
 
@@ -29,8 +30,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op5_simple8b": op5_simple8b,
     "op8_mixing": op8_mixing,
+    "op10_packing": op10_packing,
 }
