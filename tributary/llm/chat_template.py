@@ -267,18 +267,22 @@ def fold(nodes: tuple, controls: list[str]) -> tuple:
         return Call(node.op, args)
 
     out: list = []
+
+    def put(node) -> None:
+        if isinstance(node, Print) and isinstance(node.expr, Const):
+            text = _text(node.expr.value)
+            if out and isinstance(out[-1], Print) and isinstance(out[-1].expr, Const):
+                text = out.pop().expr.value + text
+            if not text:
+                return
+            node = Print(Const(text))
+        out.append(node)
+
     for node in nodes:
         if isinstance(node, Control):
             node = Print(Const(node.text))
         if isinstance(node, Print):
             node = Print(expression(node.expr))
-            if isinstance(node.expr, Const):
-                text = _text(node.expr.value)
-                if out and isinstance(out[-1], Print) and isinstance(out[-1].expr, Const):
-                    text = out.pop().expr.value + text
-                node = Print(Const(text))
-                if not text:
-                    continue
         elif isinstance(node, If):
             branches = []
             for condition, body in node.branches:
@@ -291,14 +295,15 @@ def fold(nodes: tuple, controls: list[str]) -> tuple:
             if not branches:
                 continue
             if isinstance(branches[0][0], Const):
-                out.extend(branches[0][1])
+                for inner in branches[0][1]:
+                    put(inner)
                 continue
             node = If(tuple(branches))
         elif isinstance(node, For):
             node = For(node.name, fold(node.body, controls))
         elif isinstance(node, Generation):
             node = Generation(fold(node.body, controls))
-        out.append(node)
+        put(node)
     return tuple(out)
 
 

@@ -55,6 +55,25 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+# The formatted length follows from the escapes: one backslash more per backslash or control string.
+_CHAT = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn, role, said)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(said) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN said END, '' ORDER BY turn, role, said), ''))
+           AS loss_sha256,
+       CAST(sum(length('<turn><text></turn>') + 1
+                + length(regexp_replace(role, '(\\|<turn>|<text>|</turn>)', '\\\1', 'g'))
+                + length(regexp_replace(said, '(\\|<turn>|<text>|</turn>)', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op3_chat": _CHAT,
     "op8_mixing": _MIX,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .chat_template import format_conversations, read_back
+from .common import stored, table
 from .mixing import mix
 from .packing import pack
 from .simhash import simhash_components
@@ -21,6 +22,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: The conversation that op3 adds: control strings inside the texts.
+PROBE = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    written = stored(format_conversations(rows.unionByName(probe)), "chat")
+    return read_back(written.repartition("conv_id").sortWithinPartitions("conv_id", "part"))
+
+
 def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -36,6 +48,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_chat": op3_chat,
     "op5_simple8b": op5_simple8b,
     "op8_mixing": op8_mixing,
     "op10_packing": op10_packing,
