@@ -34,6 +34,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.kept = kept
+        self.ends_word = np.zeros(self.model.get_vocab_size(), bool)
+        for token, i in self.model.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
         self.ids_of: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -51,15 +54,32 @@ class WordTokenizer:
                 new.append(word)
             else:
                 self.ids_of[word] = ids
+        plain = [w for w in new if w.decode().isalpha()]
+        for at in range(0, len(plain), 4096):
+            self._learn_plain(plain[at:at + 4096])
+        new = [w for w in new if w not in self.ids_of]
         for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            text = [w.decode() for w in part]
-            found = self.model.encode(" ".join(text), add_special_tokens=False)
-            first = np.array([start for start, _ in found.offsets], np.int64)
-            begins = np.cumsum([0] + [len(w) + 1 for w in text])
-            cuts = (4 * np.searchsorted(first, begins)).tolist()
-            raw = np.array(found.ids, "<u4").tobytes()
-            self.ids_of.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            self._learn_by_offsets(new[at:at + 4096])
+
+    def _learn_plain(self, words: list[bytes]) -> None:
+        """Words of letters alone are one piece each, and a piece ends with a token that ends a word."""
+        found = self.model.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return  # some are more than one piece after all
+        cuts = [0, *(4 * ends).tolist()]
+        raw = ids.tobytes()
+        self.ids_of.update(zip(words, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+
+    def _learn_by_offsets(self, words: list[bytes]) -> None:
+        text = [w.decode() for w in words]
+        found = self.model.encode(" ".join(text), add_special_tokens=False)
+        first = np.array([start for start, _ in found.offsets], np.int64)
+        begins = np.cumsum([0] + [len(w) + 1 for w in text])
+        cuts = (4 * np.searchsorted(first, begins)).tolist()
+        raw = np.array(found.ids, "<u4").tobytes()
+        self.ids_of.update(zip(words, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
