@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .chat_template import format_conversations, read_back
 from .common import stored, table
+from .fingerprint import edit_likeness
 from .mixing import mix
 from .packing import pack
+from .quality_rules import judge
 from .simhash import simhash_components
 from .token_files import token_digests
 
@@ -22,6 +24,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "quality")
+
+
 #: The conversation that op3 adds: control strings inside the texts.
 PROBE = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -37,6 +45,10 @@ def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"))
@@ -48,8 +60,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_quality_rules": op2_quality_rules,
     "op3_chat": op3_chat,
     "op5_simple8b": op5_simple8b,
+    "op6_fingerprints": op6_fingerprints,
     "op8_mixing": op8_mixing,
     "op10_packing": op10_packing,
 }
