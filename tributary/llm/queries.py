@@ -15,6 +15,7 @@ from .packing import pack
 from .quality_rules import judge
 from .simhash import simhash_components
 from .token_files import token_digests
+from .toxicity import THRESHOLD, held_out, learn, with_score
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,14 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(written.repartition("conv_id").sortWithinPartitions("conv_id", "part"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = learn(docs, table(spark, sf_dir, "labels"))
+    scored = with_score(docs.select("doc_id", "text"), lexicon)
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -62,6 +71,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op3_chat": op3_chat,
+    "op4_toxicity": op4_toxicity,
     "op5_simple8b": op5_simple8b,
     "op6_fingerprints": op6_fingerprints,
     "op8_mixing": op8_mixing,
