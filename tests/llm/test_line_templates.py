@@ -1,0 +1,82 @@
+"""Operator 7 against plain Python."""
+
+import re
+from collections import defaultdict
+from itertools import combinations
+
+from tributary.llm import line_templates as T
+
+
+def plain(rows):
+    """rows: (id, text); the kept texts in order."""
+    seen = defaultdict(list)
+    own = {}
+    for i, (doc, text) in enumerate(rows):
+        doc = T.NO_ID if doc is None else doc
+        for at, line in enumerate((text or "").split("\n")):
+            t = ["<*>" if re.search("[0-9@]", w) else w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
+            n = len(t)
+            if n < 3:
+                continue
+            groups = [tuple(t[g::4]) for g in range(4)]
+            keys = [((0, 1, 2, 3), 2 if n >= 8 else 5)]
+            if n >= 8:
+                keys += [(k, 5) for k in combinations(range(4), 3 if n < 16 else 2)]
+            own[i, at] = [((n, tuple(t[:3]), k, tuple(groups[g] for g in k)), need) for k, need in keys]
+            for key, _ in own[i, at]:
+                seen[key].append((doc, text, at))
+    out = []
+    for i, (doc, text) in enumerate(rows):
+        number = T.NO_ID if doc is None else doc
+        kept = []
+        for at, line in enumerate((text or "").split("\n")):
+            drop = False
+            for key, need in own.get((i, at), []):
+                found = seen[key]
+                docs = {d for d, _, _ in found}
+                drop |= len(docs) > 1 and len(found) >= need and number != min(docs)
+            if not drop:
+                kept.append(line)
+        out.append((doc, None if text is None else "\n".join(kept), (text or "").count("\n") + 1))
+    return out
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((v is None, v or 0) if not isinstance(v, str) else (False, v) for v in r))
+
+
+def check(spark, docs, rows):
+    got = [(r.doc_id, r.text, r.n_lines) for r in T.dedup_lines(docs, marks=True).collect()]
+    assert ordered(got) == ordered(plain(rows))
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    check(spark, docs, rows)
+
+
+NAMES = "ann bob cid dan eve fay gus hal".split()
+
+
+def test_variable_fields():
+    rows = [(i, f"own words of document number {n} are kept\nhello {i} dear reader {n} of page "
+                f"{i * 7} thanks\nwe had a visit from {n} to the shop of the town on the hill and it was good today")
+            for i, n in enumerate(NAMES)]
+    kept = plain(rows)
+    assert all("visit" in text for _, text, _ in kept[:1]) and not any("visit" in text for _, text, _ in kept[1:])
+    assert all("own words" in text for _, text, _ in kept[:1])
+
+
+def test_odd_rows(spark):
+    long = "\n".join(f"line {i} of a very long text with its own number w{'x' * (i % 7)}" for i in range(5000))
+    rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d e f g h i\nx y"), (5, "a b c d e f g h i\nx y"),
+            (5, "a b c d e f g h i\nx y"), (None, "a b c d e f g h i"), (None, "a b c d e f g h i\nz"),
+            (6, " a  b\tc d e f g h i \n"), (7, long), (8, long + "\nend of it"), (9, "q r s"), (9, "q r s\nq r s"),
+            *[(20 + i, f"we had a visit from {n} to the shop of the town on the hill and it was good today\nown {n}")
+              for i, n in enumerate(NAMES)], *[(40 + i, "just four short words") for i in range(5)]]
+    docs = spark.createDataFrame([(i, t, 1, "x", 0) for i, t in rows],
+                                 "doc_id long, text string, line int, leaf string, doc int")
+    check(spark, docs, rows)
+    assert T.dedup_lines(docs).columns == docs.columns
+    assert T.dedup_lines(docs.limit(0)).count() == 0

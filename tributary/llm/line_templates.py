@@ -1,0 +1,112 @@
+"""Operator 7: line dedup by log templates [DataFrame functions only].
+
+Lines are parsed as log messages are.  Tokens that hold a digit or an @ are
+variable from the start (``<*>``).  A tree of fixed depth leads a line to its
+leaf by its number of tokens and its leading tokens.  Below a leaf, positions are
+dealt to four groups (by position modulo 4); a template is what is left when one
+group is generalised to variable fields (lines of 8 to 15 tokens: three quarters
+of the positions must agree) or two (from 16 tokens on: half of them), besides
+the whole line itself.  So every template a line can belong to is a hash that the
+line gives by itself, and finding recurring templates is counting.
+
+A template recurs if lines of several documents fall under it (five lines, or two
+for whole lines of eight tokens and more).  Its lines stay in the document with
+the smallest id and are dropped from all others.  Lines of fewer than three
+tokens belong to no template and stay.
+"""
+
+from __future__ import annotations
+
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import BLANK_CLASS, stored, text_or_empty
+
+GROUPS = 4
+#: Leading tokens that the tree branches on.
+LEADING = 3
+LEAST_TOKENS = 3
+#: Tokens from which a line may be generalised, and from which two groups may vary.
+ONE_VARIES, TWO_VARY = 8, 16
+#: Lines under a template that recurs; whole lines of ``ONE_VARIES`` tokens and more.
+LINES, LINES_WHOLE = 5, 2
+#: Documents without an id count as one, after all others.
+NO_ID = (1 << 63) - 1
+
+
+def masked_tokens(line: Column) -> Column:
+    tokens = F.filter(F.split(line, BLANK_CLASS + "+"), lambda t: t != "")
+    return F.when(line.rlike("[0-9@]"), F.transform(
+        tokens, lambda t: F.when(t.rlike("[0-9@]"), F.lit("<*>")).otherwise(t))).otherwise(tokens)
+
+
+def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, text_hash, line, leaf, keys): the leaf and templates of every line with enough tokens."""
+    exploded = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+                            F.xxhash64(F.col(text_col)).alias("text_hash"),
+                            F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("line", "body"))
+                .withColumn("t", masked_tokens(F.col("body"))).drop("body")
+                .withColumn("n", F.size("t")).filter(F.col("n") >= LEAST_TOKENS))
+    group = lambda g: F.xxhash64(F.filter("t", lambda _, i: i % GROUPS == g))
+    hashed = exploded.select(
+        "doc", "text_hash", "line", "n", F.xxhash64("n", F.slice("t", 1, LEADING)).alias("leaf"),
+        *[group(g).alias(f"g{g}") for g in range(GROUPS)])
+
+    def key(kept: tuple[int, ...], need: Column) -> Column:
+        return F.struct(F.xxhash64(F.lit(",".join(map(str, kept))), "leaf", *[f"g{g}" for g in kept]).alias("key"),
+                        need.cast("int").alias("need"))
+
+    whole = key(tuple(range(GROUPS)), F.when(F.col("n") >= ONE_VARIES, LINES_WHOLE).otherwise(LINES))
+    some = lambda size: [key(kept, F.lit(LINES)) for kept in combinations(range(GROUPS), size)]
+    keys = (F.when(F.col("n") < ONE_VARIES, F.array(whole))
+            .when(F.col("n") < TWO_VARY, F.array(whole, *some(GROUPS - 1)))
+            .otherwise(F.array(whole, *some(GROUPS - 2))))
+    return hashed.select("doc", "text_hash", "line", "leaf", keys.alias("keys"))
+
+
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, text_hash, dropped): places of the lines to drop, per document that loses any.
+
+    Leaves that only one document reaches are put aside first, so that templates
+    are counted for few of the lines.  Counting combines in the map tasks; a line
+    in very many documents is one row per task.
+    """
+    parsed = stored(lines(docs, id_col, text_col), "line_leaves")
+    shared = (parsed.groupBy("leaf").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+              .filter("low <> high").select("leaf"))
+    keyed = stored(parsed.join(shared, "leaf", "left_semi")
+                   .select("doc", "text_hash", "line", F.explode("keys").alias("k"))
+                   .select("doc", "text_hash", "line", "k.key", "k.need"), "line_templates")
+    recurring = (keyed.groupBy("key", "need").agg(F.min("doc").alias("first"), F.max("doc").alias("high"),
+                                                  F.count(F.lit(1)).alias("n"))
+                 .filter("first <> high and n >= need").select("key", "first"))
+    return (keyed.join(recurring, "key").filter("doc <> first").groupBy("doc", "text_hash")
+            .agg(F.collect_set("line").alias("dropped")))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                marks: bool = False) -> DataFrame:
+    """``docs`` without the lines of templates that recur in an earlier document.
+
+    All rows and columns stay; a document may be left with an empty text.  With
+    ``marks`` the columns n_lines and n_dropped are added.  Rows equal in id and
+    text are one document, so are rows of one id as to what counts as several
+    documents; rows without an id count as one document after all others.  Null
+    and empty texts have one empty line and stay as they are.  An empty table
+    gives an empty result.
+    """
+    found = dropped_lines(docs, id_col, text_col).select(
+        F.col("doc").alias("__line_doc"), F.col("text_hash").alias("__line_hash"), F.col("dropped").alias("__dropped"))
+    joined = docs.join(found, (F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == found["__line_doc"])
+                       & (F.xxhash64(docs[text_col]) == found["__line_hash"]), "left")
+    parts = F.split(F.col(text_col), "\n")
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__dropped")),
+                                    lambda i: F.get(F.col("__parts"), i)), "\n")
+    out = (joined.withColumn("__parts", F.when(F.col("__dropped").isNotNull(), parts))
+           .withColumn("__n", F.size(F.split(text_or_empty(text_col), "\n")).cast("long"))
+           .withColumn(text_col, F.when(F.col("__dropped").isNotNull(), kept).otherwise(F.col(text_col))))
+    extra = [F.col("__n").alias("n_lines"),
+             F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped")).cast("long").alias("n_dropped")]
+    return out.select(*docs.columns, *(extra if marks else []))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat_template import format_conversations, read_back
 from .common import stored, table
 from .fingerprint import edit_likeness
+from .line_templates import dedup_lines
 from .mixing import mix
 from .packing import pack
 from .quality_rules import judge
@@ -58,6 +59,13 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
 
 
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, marks=True).select(
+        "doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"))
@@ -74,6 +82,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_simple8b": op5_simple8b,
     "op6_fingerprints": op6_fingerprints,
+    "op7_line_templates": op7_line_templates,
     "op8_mixing": op8_mixing,
     "op10_packing": op10_packing,
 }
