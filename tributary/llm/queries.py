@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .chat_template import format_conversations, read_back
 from .common import stored, table
+from .cotraining import learn as learn_quality
+from .cotraining import with_quality
 from .fingerprint import edit_likeness
 from .line_templates import dedup_lines
 from .mixing import mix
@@ -71,6 +73,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"))
 
 
+def op9_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn_quality(docs, table(spark, sf_dir, "labels"))
+    scored = with_quality(docs.select("doc_id", "text", "source", "lang"), model, "score")
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).alias("kept"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -84,5 +94,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_line_templates": op7_line_templates,
     "op8_mixing": op8_mixing,
+    "op9_cotraining": op9_cotraining,
     "op10_packing": op10_packing,
 }
