@@ -188,9 +188,10 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     variant = lambda kind, text: F.struct(F.lit(kind).alias("kind"), F.col(text).alias("body"))
     variants = F.when(F.col("last"), F.array(variant(0, "text"), variant(1, "edited"), variant(2, "next_text"))
                       ).otherwise(F.array(variant(0, "text"), variant(1, "edited")))
-    facts = [F.col("doc_id"), F.length("text").cast("long").alias("n_chars"),
-             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")]
-    spread = (rows.select(*keys, *facts, F.explode(variants).alias("v"))
+    # The facts are worked out before the variants are cut apart, so that none of them carries the others' texts.
+    whole = rows.select(*keys, "doc_id", F.length("text").cast("long").alias("n_chars"),
+                        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), variants.alias("variants"))
+    spread = (whole.select(*keys, "doc_id", "n_chars", "edited_sha256", F.explode("variants").alias("v"))
               .select(*keys, "doc_id", "n_chars", "edited_sha256", "v.kind", "v.body"))
     prints = fingerprints(spread, [*keys, "doc_id", "n_chars", "edited_sha256", "kind"], "body")
     part = lambda kind, what: F.max(F.when(F.col("kind") == kind, F.col(what)))
