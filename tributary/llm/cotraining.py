@@ -29,9 +29,9 @@ from .common import ship_package
 from .toxicity import fit_logistic, held_out
 
 #: Labelled and unlabelled documents that the classifiers see, at most; drawn by hash of the id.
-LABELLED, UNLABELLED = 6000, 6000
+LABELLED, UNLABELLED = 4000, 2000
 #: Hashed features of the text view.
-TEXT_DIMENSIONS = 1 << 12
+TEXT_DIMENSIONS = 1 << 11
 ROUNDS = 4
 #: Share of the unlabelled pool that each view hands over per round and class, and how sure it has to be.
 SHARE, SURE = 0.05, 0.9
@@ -137,9 +137,9 @@ def _clip(x: float) -> float:
 
 def _gradient_logistic(x: np.ndarray, y: np.ndarray, steps: int = 150, ridge: float = 1e-4) -> np.ndarray:
     """Logistic regression on dense rows by gradient steps with momentum; constant first."""
-    x = np.hstack([np.ones((len(x), 1)), x])
-    w, move = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    rate = np.where(y > 0.5, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))  # classes weigh the same
+    x = np.hstack([np.ones((len(x), 1), x.dtype), x])
+    w, move = np.zeros(x.shape[1], x.dtype), np.zeros(x.shape[1], x.dtype)
+    rate = np.where(y > 0.5, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum())).astype(x.dtype)  # classes weigh the same
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         move = 0.9 * move - 4.0 * (x.T @ (rate * (p - y)) + ridge * w)
@@ -159,7 +159,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int
     for r in range(rounds + 1):
         for v in (0, 1):
             rows = given[v] >= 0
-            weights[v] = _gradient_logistic(views[v][rows], given[v][rows].astype(float))
+            weights[v] = _gradient_logistic(views[v][rows], given[v][rows].astype(np.float32))
         if r == rounds:
             break
         for v in (0, 1):  # view v teaches the other
@@ -218,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     text = np.zeros((len(rows), TEXT_DIMENSIONS), np.float32)
     for i, (places, values) in enumerate(zip(rows["places"], rows["vals"])):
         text[i, np.asarray(places, np.int64)] = values
-    meta = np.array(rows["meta"].tolist()).reshape(len(rows), LAYOUT + HASHED)
+    meta = np.array(rows["meta"].tolist(), np.float32).reshape(len(rows), LAYOUT + HASHED)
     train = ~calibrate
     if len({*label[train & (label >= 0)]}) < 2:
         return Model((0.0,) * (TEXT_DIMENSIONS + 1), (0.0,) * (LAYOUT + HASHED + 1), (0.0, 0.0, 0.0))

@@ -43,12 +43,13 @@ def masked_tokens(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, text_hash, line, leaf, keys): the leaf and templates of every line with enough tokens."""
-    exploded = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                            F.xxhash64(F.col(text_col)).alias("text_hash"),
-                            F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("line", "body"))
-                .withColumn("t", masked_tokens(F.col("body"))).drop("body")
-                .withColumn("n", F.size("t")).filter(F.col("n") >= LEAST_TOKENS))
+    """(doc, text_hash, line, leaf, keys): the leaf and templates of every line; null for lines of few tokens."""
+    # The hash is taken before the lines are cut apart, so that none of them carries its whole text along.
+    whole_texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+                              F.xxhash64(F.col(text_col)).alias("text_hash"),
+                              F.split(text_or_empty(text_col), "\n").alias("bodies"))
+    exploded = (whole_texts.select("doc", "text_hash", F.posexplode("bodies").alias("line", "body"))
+                .withColumn("t", masked_tokens(F.col("body"))).withColumn("n", F.size("t")))
     group = lambda g: F.xxhash64(F.filter("t", lambda _, i: i % GROUPS == g))
     hashed = exploded.select(
         "doc", "text_hash", "line", "n", F.xxhash64("n", F.slice("t", 1, LEADING)).alias("leaf"),
@@ -63,7 +64,8 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     keys = (F.when(F.col("n") < ONE_VARIES, F.array(whole))
             .when(F.col("n") < TWO_VARY, F.array(whole, *some(GROUPS - 1)))
             .otherwise(F.array(whole, *some(GROUPS - 2))))
-    return hashed.select("doc", "text_hash", "line", "leaf", keys.alias("keys"))
+    return hashed.select("doc", "text_hash", "line", F.when(F.col("n") >= LEAST_TOKENS, F.col("leaf")).alias("leaf"),
+                         F.when(F.col("n") >= LEAST_TOKENS, keys).alias("keys"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,7 +76,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     in very many documents is one row per task.
     """
     parsed = stored(lines(docs, id_col, text_col), "line_leaves")
-    shared = (parsed.groupBy("leaf").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    shared = (parsed.filter("leaf is not null").groupBy("leaf").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
               .filter("low <> high").select("leaf"))
     keyed = stored(parsed.join(shared, "leaf", "left_semi")
                    .select("doc", "text_hash", "line", F.explode("keys").alias("k"))
