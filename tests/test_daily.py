@@ -138,3 +138,24 @@ def test_first_run_with_sources_missing(spark, scratch):
     assert gold["fct_vendas"].count() == 0 and gold["vendas_vs_meta_mensal"].count() == 0
     assert gold["dim_calendario"].count() == 1096
     assert [tuple(r) for r in gold["kpi_visao_geral"].collect()] == [(None, 0, None, None, None)]
+
+
+def test_daily_run_with_default_settings_and_no_source(spark, scratch):
+    root = scratch("nothing")
+    gold = run_daily(spark, DailyRun(run_date=dt.date(2024, 1, 31), bronze_root=f"{root}/bronze",
+                                     warehouse_root=f"{root}/gold")).gold
+    assert gold["fct_vendas"].count() == 0
+    assert spark.sql("select count(*) from gold.fct_vendas").first()[0] == 0
+
+
+def test_calendar_covers_later_sales(spark, scratch):
+    from tributary.plans.erp import ErpBinding
+    from tributary.sources.schemas import BRONZE
+    root = scratch("late")
+    empty = spark.createDataFrame([], BRONZE["erp_vendas"])
+    row = empty.unionByName(spark.createDataFrame([("2027-03-04T10:00:00",)], "data_venda string"),
+                            allowMissingColumns=True)
+    row.write.parquet(f"{root}/bronze/erp_vendas")
+    days = ErpBinding(spark, f"{root}/bronze").calendar()
+    assert [str(x) for x in days.selectExpr("min(data)", "max(data)").first()] == ["2023-01-01", "2027-03-04"]
+    assert ErpBinding(spark, f"{root}/bronze", calendar_covers_sales=False).calendar().count() == 1096

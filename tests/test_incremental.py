@@ -11,7 +11,8 @@ from tributary.sources.bronze import write_append, write_truncate
 from tributary.sources.files import LANDING_FILES, ingest_files, write_csv
 from tributary.sources.relational import incremental_extract, watermark_or_epoch
 from tributary.sources.rest_series import ingest_series, read_series
-from tributary.streaming.upsert import incremental_upsert, refresh_partitions, stream_latest
+from tributary.streaming.upsert import (KeyedState, incremental_upsert, refresh_partitions,
+                                        stream_latest)
 
 SCHEMA = "k long, ts long, v string"
 
@@ -36,19 +37,26 @@ def test_upsert_equals_full_recompute(spark, scratch):
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
 
 
-def test_upsert_split_path_small_batch(spark, scratch):
-    from tributary.streaming.upsert import upsert_latest, write_version
+def test_batch_rewrites_only_the_buckets_it_touches(spark, scratch):
     history = spark.range(20000).select(
         (F.col("id") % 5000).alias("k"), (F.col("id") % 50).alias("ts"),
         F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
-    daily = spark.createDataFrame([(k, 60 + k % 3, f"new{k}") for k in range(0, 5000, 250)]
-                                  + [(None, 1, "nk")], SCHEMA)
-    current = write_version(latest_version(history, ["k"], ["ts"], ["v"]), scratch("split"), 0)
-    batch = write_version(daily, scratch("split_batch"), 0)  # stored: real size estimate
-    merged = upsert_latest(current, batch, ["k"], ["ts"], ["v"])
-    assert "LeftAnti" in merged._jdf.queryExecution().optimizedPlan().toString()
+    daily = spark.createDataFrame([(7, 60, "new"), (7, 61, "newer"), (None, 1, "nk")], SCHEMA)
+    state = KeyedState(spark, scratch("buckets"), history.schema, ["k"], ["ts"], ["v"], buckets=8)
+    assert state.read().count() == 0 and state.versions() == []
+    assert state.merge(history, 0) == list(range(8))
+    before = state.manifest(0)
+    touched = state.merge(daily, 1)
+    after = state.manifest(1)
+    assert 1 <= len(touched) <= 2
+    assert {b for b in after if after[b] != before.get(b)} == set(touched)
     full = latest_version(history.unionByName(daily), ["k"], ["ts"], ["v"])
-    assert _sorted(merged) == _sorted(full)
+    assert _sorted(state.read()) == _sorted(full)
+    # a replayed batch gives the same state; old folders go, those still named stay
+    assert state.merge(daily, 1) == touched and _sorted(state.read()) == _sorted(full)
+    state.merge(daily.limit(0), 2)
+    state.merge(daily.limit(0), 3)
+    assert state.versions() == [2, 3] and _sorted(state.read()) == _sorted(full)
 
 
 def test_upsert_null_keys_and_untouched_rows(spark, scratch):
@@ -68,26 +76,123 @@ def test_stream_upsert_resumes_and_matches(spark, scratch):
     for lo, hi in ((0, 20), (20, 35), (35, 50)):
         log.where((F.col("ts") >= lo) & (F.col("ts") < hi)).write.mode("append").parquet(
             f"{root}/bronze")
-        _, merged = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
-                                  f"{root}/ckpt", ["k"], ["ts"], ["v"])
+        _, merged, _ = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
+                                     f"{root}/ckpt", ["k"], ["ts"], ["v"])
         ids.extend(merged)
     assert ids == [0, 1, 2]  # each run only processed the newly landed files
     # a run without new files merges nothing
-    _, merged = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
-                              f"{root}/ckpt", ["k"], ["ts"], ["v"])
+    _, merged, got = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
+                                   f"{root}/ckpt", ["k"], ["ts"], ["v"])
     assert merged == []
-    got = spark.read.parquet(f"{root}/state/v2")
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
 
 
-def test_refresh_only_touched_partitions(spark, scratch):
+FACT = "venda_id long, total double, ano long, mes long"
+
+
+def _files(path):
+    import glob
+    import os
+    return {f: os.path.getmtime(f) for f in glob.glob(path.removeprefix("file:") + "/*/*/part-*")}
+
+
+def test_refresh_moves_and_removes_rows(spark, scratch):
     path = scratch("fact") + "/t"
-    old = spark.createDataFrame([(2024, 1, 1.0), (2024, 2, 2.0)], "ano long, mes long, x double")
+    old = spark.createDataFrame([(1, 1.0, 2024, 1), (2, 2.0, 2024, 2), (4, 4.0, 2024, 4), (5, 5.0, None, None),
+                                 (6, 6.0, None, None)], FACT)
     old.write.partitionBy("ano", "mes").parquet(path)
-    new = spark.createDataFrame([(2024, 1, 9.0), (2024, 2, 8.0)], "ano long, mes long, x double")
-    touched = spark.createDataFrame([(2024, 2)], "ano long, mes long")
-    got = _sorted(refresh_partitions(new, path, touched))
-    assert got == [(2024, 1, 1.0), (2024, 2, 8.0)]
+    untouched = {f: t for f, t in _files(path).items() if "mes=4" in f}
+    # sale 1 is cancelled, 2 moves from February to March, 3 is new, 5 gets a date
+    now = spark.createDataFrame([(2, 2.5, 2024, 3), (3, 3.0, 2024, 3), (5, 5.0, 2024, 1), (4, 4.0, 2024, 4)], FACT)
+    changed = spark.createDataFrame([(1,), (2,), (2,), (3,), (5,)], "venda_id long")
+    got = refresh_partitions(lambda keys: now.join(keys, "venda_id", "left_semi"), path, old.schema, changed)
+    assert _sorted(got) == [(2, 2.5, 2024, 3), (3, 3.0, 2024, 3), (4, 4.0, 2024, 4), (5, 5.0, 2024, 1),
+                            (6, 6.0, None, None)]
+    assert {f: t for f, t in _files(path).items() if "mes=4" in f} == untouched
+    # the last sale of a month and of the NULL month goes: their folders go too
+    none = now.limit(0)
+    gone = spark.createDataFrame([(5,), (6,)], "venda_id long")
+    got = refresh_partitions(lambda keys: none, path, old.schema, gone)
+    assert [r[0] for r in _sorted(got)] == [2, 3, 4]
+    assert not any("mes=1/" in f or "HIVE" in f for f in _files(path))
+
+
+def test_failed_load_keeps_the_old_table(spark, scratch):
+    import pytest
+    path = scratch("safe") + "/t"
+    write_truncate(spark.createDataFrame([("1",)], "v string"), path)
+    bad = spark.createDataFrame([("2",), ("x",)], "v string").repartition(2).select(
+        F.col("v").cast("long").cast("string").alias("v"))
+    with pytest.raises(Exception):
+        write_truncate(bad, path)
+    assert [r.v for r in spark.read.parquet(path).collect()] == ["1"]
+    # a failing rebuild of a gold model, and a session that overwrites partitions dynamically
+    from tributary.plans.layers import materialize
+    root = scratch("safe_gold")
+    rows = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "x long, ano long, mes long")
+    materialize(rows, root, "gold", "t", ("ano", "mes"))
+    with pytest.raises(Exception):
+        materialize(rows.withColumn("x", F.concat(F.lit("q"), "x").cast("long")), root, "gold", "t", ("ano", "mes"))
+    assert spark.read.parquet(f"{root}/gold/t").count() == 2
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        again = materialize(rows.filter("mes = 2"), root, "gold", "t", ("ano", "mes"))
+        assert [r.x for r in again.collect()] == [2]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_csv_columns_by_header_name(spark, scratch, tmp_path):
+    import csv
+    import pytest
+    landing = tmp_path / "in"
+    landing.mkdir()
+    with open(landing / "metas_vendas.csv", "w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f)
+        writer.writerows([["mes", "ano", "extra", "meta_valor", "categoria", "loja_id"],
+                          [1, 2024, "x", 1.5, 'Moveis "Premium"', 3], [2, 2024, "", "", 'a "b", c', 4]])
+    with open(landing / "notes.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([["what"], ["12"], ["1.5"], ["5D"]])
+    root = scratch("headers")
+    files = {**LANDING_FILES, "notes.csv": ("files_notes", None)}
+    ingest_files(spark, f"file://{landing}", f"{root}/bronze", "run", files)
+    rows = spark.read.parquet(f"{root}/bronze/files_metas_vendas").orderBy("mes").collect()
+    assert [(r.ano, r.mes, r.loja_id, r.categoria, r.meta_valor) for r in rows] == [
+        (2024, 1, 3, 'Moveis "Premium"', 1.5), (2024, 2, 4, 'a "b", c', None)]
+    notes = spark.read.parquet(f"{root}/bronze/files_notes").collect()
+    assert sorted((r.what, r.what_kind, r.what_long, r.what_double) for r in notes) == [
+        ("1.5", "float", None, 1.5), ("12", "int", 12, 12.0), ("5D", "string", None, None)]
+    # a malformed cell fails the load and leaves the table
+    (landing / "metas_vendas.csv").write_text("ano,mes,loja_id,categoria,meta_valor\n2024,x,1,c,1\n")
+    with pytest.raises(Exception):
+        ingest_files(spark, f"file://{landing}", f"{root}/bronze", "run2")
+    assert spark.read.parquet(f"{root}/bronze/files_metas_vendas").count() == 2
+
+
+def test_series_http_answer_is_taken_whole(monkeypatch):
+    import io
+    from tributary.sources import rest_series as R
+    asked = []
+
+    def opener(url, timeout):
+        asked.append(url)
+        return io.BytesIO(b'[{"data": "31/12/2020", "valor": "1,5"}, {"data": "02/01/2021", "valor": null}]')
+
+    monkeypatch.setattr(R.urllib.request, "urlopen", opener)
+    reader = R.SeriesReader({"series": "dolar:1,ipca:433", "start": "2021-01-01", "end": "2024-01-01",
+                             "url": "https://x/{code}?from={start}&to={end}"})
+    parts = reader.partitions()
+    assert len(parts) == 2                        # one request per series
+    assert list(reader.read(parts[0])) == [("dolar", 1, "31/12/2020", "1,5"), ("dolar", 1, "02/01/2021", None)]
+    assert asked == ["https://x/1?from=01/01/2021&to=01/01/2024"]
+
+
+def test_indicator_mean_is_not_rounded(spark):
+    from tributary.operators import monthly_vs_indicator
+    sales = spark.createDataFrame([(dt.date(2024, 1, 5), 10.0)], "data date, total double")
+    rates = spark.createDataFrame([(dt.date(2024, 1, 1), 4.8916), (dt.date(2024, 1, 2), 4.9234)],
+                                  "data date, dolar double")
+    assert monthly_vs_indicator(sales, rates, indicator="dolar").first().dolar_medio == 4.9075
 
 
 def test_append_guard_watermark_and_counts(spark, scratch):
@@ -129,7 +234,7 @@ def test_series_source_partitions_and_parsing(spark, scratch, tmp_path):
         {"data": "01/01/2019", "valor": "1"}]))
     url = f"file://{api}/s{{code}}.json"
     raw = read_series(spark, {"dolar": 1}, dt.date(2022, 1, 1), dt.date(2024, 12, 30), url)
-    assert raw.rdd.getNumPartitions() == 3        # 1,095 days: one per 365-day slice
+    assert raw.rdd.getNumPartitions() == 1        # one request per series
     assert sorted(r.data for r in raw.collect()) == ["02/01/2023", "03/01/2024"]
     path = scratch("series") + "/series"
     res = ingest_series(spark, {"dolar": 1}, dt.date(2024, 12, 31), url, path, "run")
@@ -172,8 +277,7 @@ def test_stream_upsert_many_micro_batches_in_one_run(spark, scratch):
     for lo, hi in ((0, 10), (10, 25), (25, 40), (40, 50)):
         (log.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1)
          .write.mode("append").parquet(f"{root}/bronze"))
-    _, merged = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
-                              f"{root}/ckpt", ["k"], ["ts"], ["v"], max_files_per_trigger=1)
+    _, merged, got = stream_latest(spark, f"{root}/bronze", log.schema, f"{root}/state",
+                                   f"{root}/ckpt", ["k"], ["ts"], ["v"], max_files_per_trigger=1)
     assert merged == [0, 1, 2, 3]        # one file per micro-batch, chained versions
-    got = spark.read.parquet(f"{root}/state/v3")
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))

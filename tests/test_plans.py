@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tributary.operators.joins import broadcast_if_small
+from tributary.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Queries that write intermediate tables when called; their plans are
@@ -16,7 +16,7 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_cartesian_no_python_udf(spark, name):
     text = plan_text(entry.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
@@ -41,13 +41,6 @@ def test_scan_reads_only_needed_columns(spark):
     assert "l_comment" not in text and "l_discount" not in text
 
 
-def test_broadcast_only_under_limit(spark):
-    small = spark.range(10)
-    assert "broadcast" in str(broadcast_if_small(small)._jdf.queryExecution().analyzed()).lower()
-    big = spark.read.parquet(f"{SF}/lineitem.parquet")
-    assert broadcast_if_small(big, limit_bytes=10) is big
-
-
 def _shuffle_records(df):
     """Run ``df``'s own plan and return the records written by its exchanges."""
     qe = df._jdf.queryExecution()
@@ -91,18 +84,6 @@ def test_hot_group_is_pre_aggregated(spark, no_aqe):
     assert [tuple(r) for r in out.collect()] == [(0, 30000)]
 
 
-def test_broadcast_limit_follows_session(spark):
-    from tributary.operators.joins import broadcast_limit, parse_bytes
-    assert parse_bytes("10m") == 10 << 20 and parse_bytes("10485760b") == 10 << 20
-    df = spark.range(10)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert broadcast_limit(df) == -1 and broadcast_if_small(df) is df
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_size_shuffle_partitions(spark):
     from tributary.session import size_shuffle_partitions
     old = spark.conf.get("spark.sql.shuffle.partitions")

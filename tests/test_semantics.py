@@ -126,10 +126,10 @@ def test_iso_text_omits_zero_fraction(spark):
 
 
 def test_coerce_kind(spark):
-    df = spark.createDataFrame([(" 12 ",), ("1.5",), ("1e3",), ("abc",), (None,), ("-4",)],
-                               "v string")
+    df = spark.createDataFrame([(" 12 ",), ("1.5",), ("1e3",), ("abc",), (None,), ("-4",), ("5D",),
+                                ("12f",), (".5",), ("1.",), ("inf",)], "v string")
     assert [r[0] for r in df.select(coerce_kind("v")).collect()] == [
-        "int", "float", "float", "string", None, "int"]
+        "int", "float", "float", "string", None, "int", "string", "string", "float", "float", "float"]
 
 
 def test_safe_ratio_pct(spark):

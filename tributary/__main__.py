@@ -31,6 +31,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password-env", help="environment variable holding the password")
     ap.add_argument("--jdbc-partitions", type=int, default=16)
+    ap.add_argument("--watermark-on-cursor", action="store_true",
+                    help="compare with the newest loaded cursor, not the last run's clock")
+    ap.add_argument("--key-mode", choices=["first_two", "all"], default="first_two")
     args = ap.parse_args(argv)
 
     spark = build_session(app_name="tributary-daily")
@@ -44,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
         source = jdbc_source(spark, args.jdbc_url, props, args.jdbc_partitions)
     build = run_daily(spark, DailyRun(
         run_date=args.run_date, bronze_root=args.bronze, warehouse_root=args.warehouse,
-        erp_source=source, landing_dir=args.landing, series_url=args.series_url))
+        erp_source=source, landing_dir=args.landing, series_url=args.series_url,
+        watermark_on_cursor=args.watermark_on_cursor, key_mode=args.key_mode))
     for name, df in build.gold.items():
         print(f"{name}: {df.count()} rows")
     return 0

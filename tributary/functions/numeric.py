@@ -50,6 +50,8 @@ def decimal_comma_text(c: ColumnOrName) -> Column:
 
 # An integer cell as Python's int() reads it: optional blanks and sign, digits.
 _INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+# A decimal cell as Python's float() reads it.  The cast alone would also take type suffixes ("5D", "12f").
+_FLOAT_TEXT = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
 
 
 def coerce_long(c: ColumnOrName) -> Column:
@@ -64,7 +66,8 @@ def coerce_long(c: ColumnOrName) -> Column:
 
 def coerce_double(c: ColumnOrName) -> Column:
     """The cell as double when it is any number (integer or not), else NULL."""
-    return F.trim(_col(c)).try_cast("double")
+    v = _col(c)
+    return F.when(v.rlike(_FLOAT_TEXT), F.trim(v).try_cast("double"))
 
 
 def coerce_kind(c: ColumnOrName) -> Column:

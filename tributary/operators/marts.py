@@ -19,6 +19,11 @@ TARGET_GROWTH = 0.05
 TARGET_SEASONALITY = {11: 1.4, 12: 1.4, 1: 0.85, 2: 0.85}
 
 
+# Rates have four decimals; eight keep them whole, and decimal sums do not
+# depend on the order of partitions.
+RATE_TYPE = "decimal(28,8)"
+
+
 def kpi_overview(actual: DataFrame, targets: DataFrame,
                  keys: Sequence[str] = ATTAINMENT_KEYS) -> DataFrame:
     """One row: total sales, number of sales, average ticket, target, % of target.
@@ -55,7 +60,8 @@ def monthly_vs_indicator(sales: DataFrame, indicators: DataFrame,
     ind = indicators.where(F.col(indicator_date).isNotNull() & F.col(indicator).isNotNull())
     i = ind.groupBy(F.year(indicator_date).cast("bigint").alias("ano"),
                     F.month(indicator_date).cast("bigint").alias("mes")).agg(
-        (money_sum(indicator) / F.count(F.lit(1))).alias(f"{indicator}_medio"))
+        (F.sum(F.col(indicator).cast(RATE_TYPE)).cast("double") / F.count(F.lit(1)))
+        .alias(f"{indicator}_medio"))
     return s.join(i, ["ano", "mes"], "left")
 
 

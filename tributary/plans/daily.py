@@ -15,8 +15,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.operators.calendar import DEFAULT_DAYS, DEFAULT_START
 from tributary.plans.erp import ErpBinding
 from tributary.plans.layers import Build, build_gold
+from tributary.session import path_exists, size_shuffle_partitions
 from tributary.sources.files import ingest_files
 from tributary.sources.relational import ERP_TABLES, TableSpec, ingest_incremental
 from tributary.sources.rest_series import SERIES, ingest_series
@@ -41,6 +43,14 @@ class DailyRun:
     register: bool = True
     # Write the data-quality tables (quality layer).
     checks: bool = True
+    # Compare sources with the newest loaded cursor instead of the last run's clock.
+    watermark_on_cursor: bool = False
+    # Dates of the aligned series: "first_two" or "all" (see operators.series).
+    key_mode: str = "first_two"
+    # Calendar range; days of sales beyond it are added unless switched off.
+    calendar_start: str | dt.date = DEFAULT_START
+    calendar_days: int = DEFAULT_DAYS
+    calendar_covers_sales: bool = True
 
 
 def run_daily(spark: SparkSession, run: DailyRun) -> Build:
@@ -52,8 +62,14 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
         ingest_series(spark, series, run.run_date, run.series_url, f"{bronze}/series",
                       loaded_at)
     if run.erp_source is not None:
-        ingest_incremental(spark, run.erp_source, bronze, loaded_at, ERP_TABLES)
+        ingest_incremental(spark, run.erp_source, bronze, loaded_at, ERP_TABLES,
+                           watermark_on_cursor=run.watermark_on_cursor)
     if run.landing_dir:
         ingest_files(spark, run.landing_dir, bronze, loaded_at)
-    return build_gold(ErpBinding(spark, bronze, series=series), run.warehouse_root,
-                      marts=run.marts, register=run.register, checks=run.checks)
+    if path_exists(spark, bronze):
+        size_shuffle_partitions(spark, [bronze])
+    binding = ErpBinding(spark, bronze, series=series, key_mode=run.key_mode,
+                         calendar_start=run.calendar_start, calendar_days=run.calendar_days,
+                         calendar_covers_sales=run.calendar_covers_sales)
+    return build_gold(binding, run.warehouse_root, marts=run.marts, register=run.register,
+                      checks=run.checks)

@@ -38,7 +38,6 @@ from tributary.functions.numeric import decimal_comma_text, money_sum
 from tributary.operators.calendar import calendar_covering
 from tributary.operators.dedup import conform_dimension
 from tributary.operators.facts import FACT_COLUMNS, sales_fact
-from tributary.operators.joins import broadcast_if_small
 from tributary.operators.series import align_series_long
 from tributary.operators.staging import (parse_series, stage_customers, stage_items,
                                          stage_products, stage_sales, stage_stores,
@@ -97,7 +96,7 @@ def items_log(t: Tables) -> DataFrame:
         li.l_linenumber.alias("id"), li.l_orderkey.alias("venda_id"),
         li.l_partkey.alias("produto_id"), li.l_suppkey.alias("fornecedor_id"),
         li.l_quantity.alias("quantidade"),
-        (li.l_extendedprice / li.l_quantity).alias("preco_unit"),
+        F.try_divide(li.l_extendedprice, li.l_quantity).alias("preco_unit"),
         li.l_extendedprice.alias("subtotal"), li.l_shipdate.alias("_loaded_at"))
 
 
@@ -117,8 +116,7 @@ def customers_log(t: Tables) -> DataFrame:
 
 def stores_log(t: Tables) -> DataFrame:
     n, r = t.nation, t.region
-    # region has one row per region by definition (5 rows): a fixed-size side.
-    joined = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    joined = n.join(r, n.n_regionkey == r.r_regionkey, "left")
     return joined.select(n.n_nationkey.cast("bigint").alias("id"), n.n_name.alias("nome"),
                          r.r_name.alias("regiao"))
 
@@ -137,8 +135,8 @@ def customer_store(t: Tables) -> DataFrame:
 def sales_lines(t: Tables) -> DataFrame:
     """Line revenue with the supplier's nation (store) and the part type (category)."""
     li = t.lineitem.select("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-    s = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
-    p = broadcast_if_small(t.part.select("p_partkey", "p_type"))
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    p = t.part.select("p_partkey", "p_type")
     # Left joins: a line whose supplier or part is unknown keeps its revenue
     # under a NULL store / category instead of disappearing.
     return (li.join(s, li.l_suppkey == s.s_suppkey, "left")
@@ -203,8 +201,8 @@ def load_batches(df: DataFrame, date_col: str) -> list[DataFrame]:
 
 # ---------------------------------------------------------------- silver
 
-def silver_sales(t: Tables) -> DataFrame:
-    return stage_sales(orders_log(t), completed=COMPLETED_ORDER)
+def silver_sales(t: Tables, log: DataFrame | None = None) -> DataFrame:
+    return stage_sales(orders_log(t) if log is None else log, completed=COMPLETED_ORDER)
 
 
 def silver_items(t: Tables, log: DataFrame | None = None) -> DataFrame:
@@ -243,16 +241,16 @@ def silver_indicators(t: Tables, key_mode: str = "first_two") -> DataFrame:
 
 # ---------------------------------------------------------------- gold
 
-def gold_sales_fact(t: Tables, items: DataFrame | None = None) -> DataFrame:
+def gold_sales_fact(t: Tables, items: DataFrame | None = None,
+                    orders: DataFrame | None = None) -> DataFrame:
     """Sales fact with the store of each sale (the customer's nation).
 
     The store lookup joins after the item join: sales and item totals are
     both partitioned by sale id, and only the finished fact moves (or the
     lookup is broadcast when its estimate is small).
     """
-    fact = sales_fact(silver_sales(t), silver_items(t, items))
-    stores = broadcast_if_small(customer_store(t))
-    return fact.join(stores, "cliente_id", "left").select(*FACT_COLUMNS)
+    fact = sales_fact(silver_sales(t, orders), silver_items(t, items))
+    return fact.join(customer_store(t), "cliente_id", "left").select(*FACT_COLUMNS)
 
 
 def gold_dimensions(t: Tables) -> dict[str, DataFrame]:

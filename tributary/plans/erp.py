@@ -24,6 +24,7 @@ from tributary.session import path_exists
 from tributary.sources.rest_series import SERIES
 from tributary.sources.schemas import BRONZE
 
+# Fixed value: the status of a completed sale.
 COMPLETED = "concluida"
 
 
@@ -31,13 +32,14 @@ class ErpBinding:
     def __init__(self, spark: SparkSession, bronze_root: str, completed: str = COMPLETED,
                  series: dict[str, int] | None = None, key_mode: str = "first_two",
                  calendar_start: str | dt.date = DEFAULT_START,
-                 calendar_days: int = DEFAULT_DAYS):
+                 calendar_days: int = DEFAULT_DAYS, calendar_covers_sales: bool = True):
         self.spark = spark
         self.root = bronze_root.rstrip("/")
         self.completed = completed
         self.series = SERIES if series is None else series
         self.key_mode = key_mode
         self.calendar_start, self.calendar_days = calendar_start, calendar_days
+        self.calendar_covers_sales = calendar_covers_sales
 
     def table(self, name: str) -> DataFrame:
         """A bronze table; one that was never loaded reads as empty (with its
@@ -82,4 +84,11 @@ class ErpBinding:
         return self.table("erp_vendas").select(F.col("id").alias("venda_id"))
 
     def calendar(self) -> DataFrame:
-        return calendar(self.spark, self.calendar_start, self.calendar_days)
+        """The configured days, and those up to the first and last sale beyond them."""
+        start = dt.date.fromisoformat(str(self.calendar_start))
+        end = start + dt.timedelta(days=self.calendar_days - 1)
+        if self.calendar_covers_sales:
+            day = F.to_date(F.substring(F.col("data_venda").cast("string"), 1, 10))
+            low, high = self.table("erp_vendas").select(F.min(day), F.max(day)).first()
+            start, end = min(start, low or start), max(end, high or end)
+        return calendar(self.spark, start, (end - start).days + 1)

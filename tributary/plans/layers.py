@@ -14,10 +14,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from tributary.operators.facts import FACT_COLUMNS, attainment
 from tributary.operators.marts import kpi_overview, monthly_vs_indicator, store_ranking
 from tributary.plans.quality import quality_checks
+from tributary.session import replace_folder, staged_path
 
 SILVER, GOLD, QUALITY = "silver", "gold", "quality"
 FACT_PARTITIONS = ("ano", "mes")
@@ -45,21 +47,25 @@ def publish_view(df: DataFrame, layer: str, name: str) -> DataFrame:
     return df
 
 
-def register_table(spark, layer: str, name: str, path: str, partitioned: bool) -> str:
+def register_table(spark, layer: str, name: str, path: str, schema: StructType,
+                   partition_by: tuple[str, ...] = ()) -> str:
     """Expose a stored model as the external table ``<layer>.<name>``.
 
     The table only points at ``path`` (dropping it never deletes data);
     partition folders are recovered into the catalog.
     """
     qualified = layer_table(layer, name)
-    schema = qualified.split(".")[0]
+    schema_name = qualified.split(".")[0]
     # The database's own folder is the layer folder: nothing is written to
     # the session's default warehouse directory.
     layer_root = path.rsplit("/", 1)[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{layer_root}'")
-    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
-    spark.catalog.createTable(qualified, path=path, source="parquet")
-    if partitioned:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema_name}` LOCATION '{layer_root}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{schema_name}`.`{name}`")
+    # The declared schema: an empty table has no file to infer one from.
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE `{schema_name}`.`{name}` ({fields}) USING parquet{by} LOCATION '{path}'")
+    if partition_by:
         spark.catalog.recoverPartitions(qualified)
     return qualified
 
@@ -68,23 +74,27 @@ def materialize(df: DataFrame, root: str, layer: str, name: str,
                 partition_by: tuple[str, ...] = (), register: bool = False) -> DataFrame:
     """Full rebuild of a model as Parquet; returns the stored table.
 
+    The new content is written to a folder of its own and swapped in when it
+    is complete, so a rebuild that fails leaves the model as it was.
+
     ``register`` also exposes it as the catalog table ``<layer>.<name>``.
     """
     path = layer_path(root, layer, name)
+    staged = staged_path(path)
     if partition_by:
         # Rebalance on the partition columns: each task writes few partitions
         # (no task x partition explosion of small files), and AQE splits a
         # month that holds much more data than the others.
-        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(
-            *partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(staged)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(staged)
+    replace_folder(df.sparkSession, staged, path)
     # Read back with the written schema: no inference (an empty partitioned
     # table has no file to infer from) and partition columns keep their types.
     stored = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
     publish_view(stored, layer, name)
     if register:
-        register_table(df.sparkSession, layer, name, path, bool(partition_by))
+        register_table(df.sparkSession, layer, name, path, df.schema, partition_by)
     return stored
 
 

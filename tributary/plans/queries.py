@@ -8,6 +8,7 @@ column names match the DataFrame's.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from tributary.sources.bronze import coerce_cells, normalise_types, with_audit,
 from tributary.sources.files import ingest_files, write_csv
 from tributary.sources.relational import (high_water_mark, incremental_extract,
                                           watermark_or_epoch)
-from tributary.sources.rest_series import ingest_series
+from tributary.sources.rest_series import extraction_window, ingest_series
 from tributary.streaming.upsert import incremental_upsert, refresh_partitions, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,10 +163,14 @@ def q_series_window(spark, sf_dir):
     (the newest order date), with the window bounds as the API expects them."""
     t = _tables(spark, sf_dir)
     day = F.to_date("o_orderdate")
-    run_date = t.orders.select(F.max(day)).scalar()
+    newest = t.orders.select(F.max(day)).first()[0]
+    # Bounds on the raw timestamp, as literals: they reach the Parquet scan.
+    run_date = F.lit(newest).cast("date")
     start = window_start(run_date)
-    daily = (t.orders.where((day >= start) & (day <= run_date))
-             .groupBy(day.alias("d")).agg(money_sum("o_totalprice").alias("valor")))
+    low, high = extraction_window(newest) if newest else (None, None)
+    rows = t.orders.where((F.col("o_orderdate") >= F.lit(low).cast("timestamp"))
+                          & (F.col("o_orderdate") < F.lit(high and high + dt.timedelta(days=1)).cast("timestamp")))
+    daily = (rows.groupBy(day.alias("d")).agg(money_sum("o_totalprice").alias("valor")))
     return daily.select(series_date_text("d").alias("data"), "valor",
                         series_date_text(start).alias("data_inicio"),
                         series_date_text(run_date).alias("data_fim"))
@@ -177,8 +182,9 @@ def q_numeric_coercion(spark, sf_dir):
         "event_id",
         F.get_json_object("props", "$.k").alias("k_text"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("value_text"),
-        F.col("event_type").alias("type_text"))
-    return coerce_cells(cells, ["k_text", "value_text", "type_text"])
+        F.col("event_type").alias("type_text"),
+        F.concat(F.col("user_id").cast("string"), F.lit("D")).alias("suffix_text"))
+    return coerce_cells(cells, ["k_text", "value_text", "type_text", "suffix_text"])
 
 
 def q_normalise_types(spark, sf_dir):
@@ -191,13 +197,18 @@ def q_normalise_types(spark, sf_dir):
 def q_csv_roundtrip(spark, sf_dir):
     """Targets land as a CSV file, are truncate-loaded to bronze and staged.
 
+    The file has its columns in another order than the table and text with
+    quotes and commas around each category, which staging takes off.
     Only ``metas_vendas.csv`` is landed; the missing ``lojas.csv`` is skipped.
     """
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "csv_roundtrip")
-    write_csv(D.targets_log(t), f"{root}/landing/metas_vendas.csv")
+    quoted = D.targets_log(t).select(
+        F.concat(F.lit('a "b", '), "categoria").alias("categoria"), "meta_valor", "loja_id", "mes", "ano")
+    write_csv(quoted, f"{root}/landing/metas_vendas.csv")
     ingest_files(spark, f"{root}/landing", f"{root}/bronze", D.RUN_TS)
-    return stage_targets(spark.read.parquet(f"{root}/bronze/files_metas_vendas"))
+    bronze = spark.read.parquet(f"{root}/bronze/files_metas_vendas")
+    return stage_targets(bronze.withColumn("categoria", F.regexp_replace("categoria", '^a "b", ', "")))
 
 
 def q_rest_series_source(spark, sf_dir):
@@ -259,30 +270,44 @@ def q_stream_upsert(spark, sf_dir):
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "stream_upsert")
     schema = t.lineitem.schema
-    written: list[int] = []
+    state = None
     for batch in D.load_batches(t.lineitem, "l_shipdate"):
         batch.write.mode("append").parquet(f"{root}/bronze")
-        _, ids = stream_latest(spark, f"{root}/bronze", schema, f"{root}/state",
-                               f"{root}/_checkpoint", LINE_KEYS, LINE_ORDER, LINE_TIEBREAK)
-        written.extend(ids)
-    return spark.read.schema(schema).parquet(f"{root}/state/v{max(written)}")
+        _, _, state = stream_latest(spark, f"{root}/bronze", schema, f"{root}/state",
+                                    f"{root}/_checkpoint", LINE_KEYS, LINE_ORDER, LINE_TIEBREAK)
+    return state
 
 
 def q_partition_refresh(spark, sf_dir):
-    """Fact built from the first two loads, then only the months touched by the
-    third load are rewritten from the full data."""
+    """A stored fact is brought up to date after the last month of orders changed.
+
+    As stored, these orders were all completed (some are cancelled now), dated
+    forty days earlier (they move to another month) and had their first line
+    only (the others are new).  Only the months they had or have are rewritten.
+    """
     t = _tables(spark, sf_dir)
     path = scratch_path(spark, "partition_refresh") + "/fct_vendas"
-    first, second, third = D.load_batches(D.items_log(t), "_loaded_at")
-    old = D.gold_sales_fact(t, first.unionByName(second))
-    old.write.mode("overwrite").partitionBy("ano", "mes").parquet(path)
-    # Months whose sales got new item versions: the sale date decides the
-    # fact partition, so the small silver sales side is enough to find them.
-    changed = D.silver_sales(t).join(
-        third.select("venda_id").dropDuplicates(), "venda_id", "left_semi")
-    touched = changed.select(F.year("data_venda_date").cast("bigint").alias("ano"),
-                             F.month("data_venda_date").cast("bigint").alias("mes"))
-    return refresh_partitions(D.gold_sales_fact(t), path, touched)
+    orders, items = D.orders_log(t), D.items_log(t)
+    newest = orders.select(F.max("data_venda")).first()[0]
+    late = (F.col("data_venda") >= F.lit(newest) - F.expr("interval 30 days")
+            if newest is not None else F.lit(False))
+    changed = orders.where(late).select(F.col("id").alias("venda_id"))
+    orders_then = orders.withColumns({
+        "status": F.when(late, F.lit(D.COMPLETED_ORDER)).otherwise(F.col("status")),
+        "data_venda": F.when(late, F.col("data_venda") - F.expr("interval 40 days"))
+        .otherwise(F.col("data_venda"))})
+    later_lines = items.where(F.col("id") > 1).join(changed, "venda_id", "left_semi")
+    items_then = items.join(later_lines.select("venda_id", "id").distinct(), ["venda_id", "id"],
+                            "left_anti")
+    then = D.gold_sales_fact(t, items_then.select(*items.columns), orders_then)
+    then.hint("rebalance", "ano", "mes").write.partitionBy("ano", "mes").parquet(path)
+
+    def rebuild(keys):
+        return D.gold_sales_fact(
+            t, items.join(keys, "venda_id", "left_semi"),
+            orders.join(keys, orders.id == keys.venda_id, "left_semi"))
+
+    return refresh_partitions(rebuild, path, then.schema, changed)
 
 
 QUERIES: dict[str, Query] = {

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tributary.functions.dates import iso_date_text, iso_text
 from tributary.functions.numeric import (coerce_double, coerce_kind, coerce_long,
                                          comma_decimal)
+from tributary.session import replace_folder, staged_path
 
 AUDIT_COLUMNS = ("_loaded_at", "_source")
 
@@ -95,13 +96,18 @@ def _observed_write(df: DataFrame, path: str, mode: str, fmt: str,
         df = df.sortWithinPartitions(*cluster_by)
     obs = Observation("load")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode).format(fmt)
+    # A replaced table is written beside the old one and swapped in when the
+    # write has succeeded: a load that fails midway leaves the old table.
+    target = staged_path(path) if mode == "overwrite" else path
+    writer = observed.write.mode("error" if mode == "overwrite" else mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
-    writer.save(path)
+    writer.save(target)
     rows = int(obs.get["rows"])
+    if target != path:
+        replace_folder(df.sparkSession, target, path)
     log.info("%s: %d rows loaded (%s)", path, rows, mode)
     return LoadResult(path, rows, True)
 

@@ -2,7 +2,8 @@
 
 A file is looked up by its exact name in the landing folder; a missing file
 is reported and skipped, and the table it feeds keeps its previous content.
-Files are read with a declared schema (no inference pass over the data).
+Columns are taken by the names in the header and cast to the declared schema
+(no inference pass over the data).
 """
 
 from __future__ import annotations
@@ -10,10 +11,11 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.session import path_exists
-from tributary.sources.bronze import LoadResult, with_audit, write_truncate
+from tributary.sources.bronze import LoadResult, coerce_cells, with_audit, write_truncate
 
 log = logging.getLogger(__name__)
 
@@ -44,14 +46,35 @@ FILES_SOURCE_TAG = "landing_files"
 def write_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as UTF-8 CSV with a header row (one folder of part files)."""
     (df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8")
-     .option("quoteAll", False).csv(path))
+     .option("quoteAll", False).option("escape", '"').csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             mode: str = "FAILFAST") -> DataFrame:
-    """Read a landed CSV file (or folder of part files) with a declared schema."""
-    return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-            .option("multiLine", True).option("mode", mode).csv(path))
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             permissive: bool = False, multi_line: bool = False) -> DataFrame:
+    """Read a landed CSV file (or folder of part files) by the names in its header.
+
+    With ``schema`` its columns are taken by name in whatever order the file
+    has them and cast; a declared column that the file lacks is NULL, others
+    are left out.  A malformed value fails the load unless ``permissive`` (then
+    NULL).  Without ``schema`` all columns are kept and coerced cell by cell
+    (``coerce_cells``).  Quotes inside quoted text are doubled.  Files are split
+    among tasks unless cells hold line breaks (``multi_line``).
+    """
+    rows = (spark.read.option("header", True).option("encoding", "UTF-8").option("quote", '"')
+            .option("escape", '"').option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE" if permissive else "FAILFAST").csv(path))
+    if schema is None:
+        return coerce_cells(rows)
+    present = {c.strip().lower(): c for c in rows.columns}
+    columns = []
+    for f in schema.fields:
+        if f.name.lower() not in present:
+            log.warning("%s has no column %s", path, f.name)
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        cell = F.col(f"`{present[f.name.lower()]}`")
+        columns.append((cell.try_cast(f.dataType) if permissive else cell.cast(f.dataType)).alias(f.name))
+    return rows.select(*columns)
 
 
 def find_files(spark: SparkSession, landing: str, names: list[str]) -> dict[str, str]:
@@ -65,12 +88,13 @@ def find_files(spark: SparkSession, landing: str, names: list[str]) -> dict[str,
 
 
 def ingest_files(spark: SparkSession, landing: str, bronze_root: str, loaded_at: str,
-                 files: dict[str, tuple[str, T.StructType]] | None = None
+                 files: dict[str, tuple[str, T.StructType | None]] | None = None
                  ) -> dict[str, LoadResult | None]:
     """Truncate-load every landed file into ``<bronze_root>/<table>``.
 
     Missing files are skipped (``None`` in the result, old table kept);
-    empty files write nothing.
+    empty files write nothing.  A file listed without a schema is undeclared:
+    its cells are coerced one by one.
     """
     files = LANDING_FILES if files is None else files
     present = find_files(spark, landing, list(files))

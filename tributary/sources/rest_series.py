@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tributary.session import qualified_path
 from tributary.sources.bronze import LoadResult, normalise_series_rows, write_truncate
 from tributary.sources.schemas import SERIES_BRONZE
 
@@ -100,7 +101,9 @@ class SeriesReader(DataSourceReader):
         self.start = dt.date.fromisoformat(options["start"])
         self.end = dt.date.fromisoformat(options["end"])
         self.url = options["url"]
-        self.slice_days = int(options.get("slice_days", "365"))
+        # One request per series and window unless a slice length is given.
+        days = (self.end - self.start).days + 1
+        self.slice_days = int(options.get("slice_days") or max(1, days))
         self.timeout = float(options.get("timeout", "30"))
 
     def partitions(self):
@@ -116,10 +119,10 @@ class SeriesReader(DataSourceReader):
     def read(self, partition: SeriesSlice):
         url = self.url.format(code=partition.code, start=_br(partition.start),
                               end=_br(partition.end))
+        # The API's answer is the slice; a replayed file holds the whole series.
+        replay = urllib.parse.urlparse(url).scheme not in ("http", "https")
         for rec in _fetch(url, self.timeout):
-            day = _parse_br(rec["data"])
-            # A replayed file holds the whole series: keep this slice only.
-            if partition.start <= day <= partition.end:
+            if not replay or partition.start <= _parse_br(rec["data"]) <= partition.end:
                 valor = rec.get("valor")
                 yield (partition.name, partition.code, rec["data"],
                        None if valor is None else str(valor))
@@ -154,13 +157,19 @@ def extraction_window(run_date: dt.date, days: int = WINDOW_DAYS) -> tuple[dt.da
 
 
 def read_series(spark: SparkSession, series: dict[str, int], start: dt.date, end: dt.date,
-                url: str, slice_days: int = 365, timeout: float = 30) -> DataFrame:
-    """All ``series`` between ``start`` and ``end`` as raw text rows."""
+                url: str, slice_days: int | None = None, timeout: float = 30) -> DataFrame:
+    """All ``series`` between ``start`` and ``end`` as raw text rows.
+
+    A location without a scheme is one of Spark's default file system.
+    """
     register(spark)
+    if not urllib.parse.urlparse(url).scheme:
+        fixed = url.split("{")[0].rpartition("/")[0]
+        url = qualified_path(spark, fixed) + url[len(fixed):]
     spec = ",".join(f"{n}:{c}" for n, c in series.items())
     return (spark.read.format(SOURCE_NAME).option("series", spec)
             .option("start", start.isoformat()).option("end", end.isoformat())
-            .option("url", url).option("slice_days", str(slice_days))
+            .option("url", url).option("slice_days", str(slice_days or ""))
             .option("timeout", str(timeout)).load())
 
 

@@ -1,115 +1,137 @@
 """Incremental maintenance: merge new bronze batches into the current state.
 
-* ``upsert_latest``: current state + new batch → newest version per key.
-  The result equals de-duplicating the whole history, because the newest
-  row of a union is the newest of the per-part newest rows; each run
-  re-ranks only the keys the batch touches instead of the full append log.
-* ``stream_latest``: the same, driven by Structured Streaming over the
-  bronze folder (``availableNow`` trigger, ``foreachBatch``).  Every
-  micro-batch writes its own version folder ``v<batch id>``; a replayed batch
-  rewrites the same folder from the same input, so the sink is idempotent.
-* ``refresh_partitions``: rewrite only the year/month partitions of a fact
-  that a batch touched (dynamic partition overwrite); the others stay.
-
-Versions are always written to a new folder and read back, never written
-over a folder that is being read.
+* ``KeyedState``: newest version per key, stored in buckets of the key's hash.
+  A batch rewrites the buckets its keys fall in and no others; a manifest per
+  version says which folder holds which bucket, and the newest complete
+  manifest is the current version.  The result equals de-duplicating the whole
+  history, because the newest row of a union is the newest of the per-part
+  newest rows; there is one path whatever the sizes.
+* ``stream_latest``: the same, driven by Structured Streaming over the bronze
+  folder (``availableNow`` trigger, ``foreachBatch``); a replayed batch merges
+  into the same base version again, so the sink is idempotent.
+* ``refresh_partitions``: rewrite only the partitions of a fact that changed
+  keys had or have now.
+
+Nothing is written over a folder that is being read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tributary.operators.dedup import latest_version
-from tributary.operators.joins import broadcast_if_small, estimated_bytes
-
-# The key split pays off when a batch is small next to the state (daily
-# loads into years of history); below this ratio a plain union is used.
-SPLIT_RATIO = 4
-
-
-def upsert_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
-                  order_by: Sequence[Column | str],
-                  tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
-    """Newest version per key over ``current`` ∪ ``batch``.
-
-    Only keys present in the batch can change.  The batch's distinct keys
-    split the current state into untouched rows (passed through as they
-    are) and touched rows (re-ranked together with the batch), so the
-    window's shuffle carries the touched part only.  When the key set is
-    small enough to broadcast (size checked), the untouched state is not
-    shuffled at all.  Keys are matched NULL-safely, as the window groups
-    NULL keys together.  A key set above the broadcast limit, or a batch
-    larger than 1/SPLIT_RATIO of the state, falls back to one window over
-    ``current`` ∪ ``batch``.
+from tributary.session import delete_folder, list_folder, scratch_path
+
+BUCKETS = 16
+BUCKET = "__bucket"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class KeyedState:
+    """The newest version of each key under ``root``, by buckets of the key's hash.
+
+    ``buckets`` is fixed when the state is first written.  Keys are compared
+    NULL-safely (rows without a key share one).  Versions older than the
+    ``keep`` newest are deleted with the folders that only they name.
     """
-    if current is None:
-        return latest_version(batch, keys, order_by, tiebreak)
-    key_set = batch.select(*[F.col(k).alias(f"__bk_{k}") for k in keys]).dropDuplicates()
-    batch_keys = broadcast_if_small(key_set)
-    batch_size, state_size = estimated_bytes(batch), estimated_bytes(current)
-    small_batch = (batch_size is not None and state_size is not None
-                   and batch_size * SPLIT_RATIO <= state_size)
-    if batch_keys is key_set or not small_batch:
-        # A large key set would make the semi/anti joins shuffle the state
-        # twice, and a batch comparable to the state touches most of it: one
-        # window over the union (one shuffle) is cheaper then.
-        return latest_version(current.unionByName(batch), keys, order_by, tiebreak)
-    match = None
-    for k in keys:
-        cond = F.col(k).eqNullSafe(F.col(f"__bk_{k}"))
-        match = cond if match is None else match & cond
-    untouched = current.join(batch_keys, match, "left_anti")
-    touched = current.join(batch_keys, match, "left_semi")
-    changed = latest_version(touched.unionByName(batch), keys, order_by, tiebreak)
-    return untouched.unionByName(changed)
-
-
-def write_version(df: DataFrame, root: str, version: int | str) -> DataFrame:
-    """Write ``df`` as version ``version`` under ``root`` and return it re-read."""
-    path = f"{root.rstrip('/')}/v{version}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str],
+                 order_by: Sequence[Column | str], tiebreak: Sequence[Column | str] | None = None,
+                 buckets: int = BUCKETS, keep: int = 2):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.keys, self.order_by, self.tiebreak = list(keys), order_by, tiebreak
+        self.buckets, self.keep = buckets, keep
+
+    def versions(self) -> list[int]:
+        """Complete versions, ascending."""
+        names = [n for n in list_folder(self.spark, f"{self.root}/manifest") if n[:1] == "v" and n[1:].isdigit()]
+        return sorted(int(n[1:]) for n in names
+                      if "_SUCCESS" in list_folder(self.spark, f"{self.root}/manifest/{n}"))
+
+    def manifest(self, version: int) -> dict[int, str]:
+        """Bucket -> folder; one entry per bucket."""
+        rows = self.spark.read.schema("bucket int, folder string").json(f"{self.root}/manifest/v{version}")
+        return {r["bucket"]: r["folder"] for r in rows.collect()}
+
+    def _read(self, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{f}" for f in folders])
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The state as of ``version`` (default: the current one); empty if there is none."""
+        if version is None:
+            known = self.versions()
+            if not known:
+                return self._read([])
+            version = known[-1]
+        return self._read(sorted(self.manifest(version).values()))
+
+    def merge(self, batch: DataFrame, version: int) -> list[int]:
+        """Write version ``version``: the version before it with ``batch``; returns the buckets rewritten."""
+        before = [v for v in self.versions() if v < version]
+        base = self.manifest(before[-1]) if before else {}
+        bucketed = batch.select(*self.schema.names).withColumn(
+            BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        # At most ``buckets`` numbers.
+        touched = sorted(r[0] for r in bucketed.select(BUCKET).distinct().collect())
+        old = self._read([base[b] for b in touched if b in base]).withColumn(
+            BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        # Keys are grouped with their bucket, which they determine: one shuffle by key.
+        newest = latest_version(old.unionByName(bucketed), [BUCKET, *self.keys], self.order_by, self.tiebreak)
+        folder = f"data/v{version}-{uuid.uuid4().hex}"
+        if touched:
+            newest.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
+        now = {**base, **{b: f"{folder}/{BUCKET}={b}" for b in touched}}
+        (self.spark.createDataFrame(sorted(now.items()), "bucket int, folder string").coalesce(1)
+         .write.mode("overwrite").json(f"{self.root}/manifest/v{version}"))
+        self._clean()
+        return touched
+
+    def _clean(self) -> None:
+        known = self.versions()
+        for version in known[:-self.keep]:
+            delete_folder(self.spark, f"{self.root}/manifest/v{version}")
+        named = {f.split("/")[1] for v in known[-self.keep:] for f in self.manifest(v).values()}
+        for name in list_folder(self.spark, f"{self.root}/data"):
+            if name not in named:
+                delete_folder(self.spark, f"{self.root}/data/{name}")
 
 
 def incremental_upsert(batches: Sequence[DataFrame], root: str, keys: Sequence[str],
                        order_by: Sequence[Column | str],
                        tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
     """Apply ``batches`` one after another; return the final stored state."""
-    current = None
-    for i, batch in enumerate(batches):
-        current = write_version(upsert_latest(current, batch, keys, order_by, tiebreak),
-                                root, i)
-    if current is None:
+    if not batches:
         raise ValueError("no batches")
-    return current
+    state = KeyedState(batches[0].sparkSession, root, batches[0].schema, keys, order_by, tiebreak)
+    for i, batch in enumerate(batches):
+        state.merge(batch, i)
+    return state.read()
 
 
 def stream_latest(spark: SparkSession, bronze_dir: str, schema, state_root: str,
                   checkpoint: str, keys: Sequence[str], order_by: Sequence[Column | str],
                   tiebreak: Sequence[Column | str] | None = None,
                   max_files_per_trigger: int | None = None
-                  ) -> tuple[StreamingQuery, list[int]]:
+                  ) -> tuple[StreamingQuery, list[int], DataFrame]:
     """Run one ``availableNow`` pass over the new files in ``bronze_dir``.
 
-    Returns the finished query and the batch ids it merged; the state after
-    batch ``b`` is stored at
-    ``<state_root>/v<b>``.  Restarting with the same ``checkpoint`` resumes
-    after the last committed batch, whose version folder is then the base.
+    Returns the finished query, the batch ids it merged (none without new
+    files) and the current state.  Restarting with the same ``checkpoint``
+    resumes after the last committed batch.
     """
-    state_root = state_root.rstrip("/")
+    state = KeyedState(spark, state_root, schema, keys, order_by, tiebreak)
     merged: list[int] = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        current = None
-        if batch_id > 0:
-            current = session.read.schema(schema).parquet(f"{state_root}/v{batch_id - 1}")
-        write_version(upsert_latest(current, batch, keys, order_by, tiebreak),
-                      state_root, batch_id)
+        state.merge(batch, batch_id)
         merged.append(batch_id)
 
     reader = spark.readStream.schema(schema)
@@ -118,20 +140,62 @@ def stream_latest(spark: SparkSession, bronze_dir: str, schema, state_root: str,
     query = (reader.parquet(bronze_dir).writeStream.foreachBatch(merge)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    return query, merged
+    return query, merged, state.read()
 
 
-def refresh_partitions(fact: DataFrame, path: str, touched: DataFrame,
-                       partition_cols: Sequence[str] = ("ano", "mes")) -> DataFrame:
-    """Overwrite only the partitions listed in ``touched`` with ``fact``'s rows.
+def _same(columns: Sequence[str], prefix: str = "__r_") -> Column:
+    match = F.lit(True)
+    for c in columns:
+        match = match & F.col(c).eqNullSafe(F.col(prefix + c))
+    return match
+
 
-    ``touched`` holds the partition values to rebuild (e.g. the months of
-    the sales a batch changed); it is deduplicated, and its size is bounded
-    by the number of partitions, not by the data.
+def _within(df: DataFrame, other: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` that agree (NULL-safely) with a row of ``other`` in ``columns``, or do not (left_anti)."""
+    renamed = other.select(*[F.col(c).alias(f"__r_{c}") for c in columns])
+    return df.join(renamed, _same(columns), how)
+
+
+def refresh_partitions(rebuild: Callable[[DataFrame], DataFrame], path: str, schema: StructType,
+                       changed: DataFrame, key: str = "venda_id",
+                       partition_cols: Sequence[str] = ("ano", "mes")) -> DataFrame:
+    """Bring the stored fact at ``path`` up to date for the keys in ``changed``.
+
+    ``rebuild(keys)`` returns the fact rows of these keys as they are now; it
+    restricts its inputs to the keys before ranking them.  Touched are the
+    partitions that a changed key has in the stored fact and those it has now;
+    they are rewritten from the stored rows of other keys and the rebuilt rows,
+    partitions that end empty are removed, all others keep their files.  The list
+    of touched partitions (bounded by the number of partitions) is the only thing
+    that reaches the driver.
     """
-    keys = touched.select(*partition_cols).dropDuplicates()
-    rows = fact.join(F.broadcast(keys), list(partition_cols), "left_semi")
+    spark = changed.sparkSession
+    scratch = scratch_path(spark, "refresh")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    names = [f.name for f in schema.fields]
+    keys = kept(changed.select(key).dropDuplicates(), "keys")
+    fresh = kept(rebuild(keys).select(*names), "fresh")
+    current = spark.read.schema(schema).parquet(path).select(*names)
+    before = _within(current, keys, [key]).select(*partition_cols)
+    touched = [tuple(r) for r in before.union(fresh.select(*partition_cols)).distinct().collect()]
+    # As literals, so that the scan reads the touched partitions only.
+    inside = F.lit(False)
+    for values in touched:
+        one = F.lit(True)
+        for c, v in zip(partition_cols, values):
+            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        inside = inside | one
+    others = _within(current.filter(F.coalesce(inside, F.lit(False))), keys, [key], "left_anti")
+    rows = kept(others.unionByName(fresh), "rows")
     (rows.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
-    stored = fact.sparkSession.read.schema(fact.schema).parquet(path)
-    return stored.select(*fact.columns)
+    left = {tuple(r) for r in rows.select(*partition_cols).distinct().collect()}
+    for values in set(touched) - left:
+        delete_folder(spark, "/".join([path.rstrip("/")] + [
+            f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, values)]))
+    spark.catalog.refreshByPath(path)
+    return spark.read.schema(schema).parquet(path).select(*names)
