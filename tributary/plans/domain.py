@@ -199,6 +199,48 @@ def load_batches(df: DataFrame, date_col: str) -> list[DataFrame]:
             df.where(d >= hi)]
 
 
+def erp_source(t: Tables, placed_before: str | None = None):
+    """The benchmark tables as the relational source of a daily run: ``spec -> DataFrame``.
+
+    ``placed_before`` leaves out later orders, as an earlier run saw them.
+    """
+    orders, lines = t.orders, t.lineitem
+    if placed_before is not None:
+        orders = orders.where(F.col("o_orderdate") < F.lit(placed_before).cast("timestamp"))
+    sold = orders.join(t.customer, orders.o_custkey == t.customer.c_custkey, "left")
+    money = "decimal(10,2)"
+    first_day = F.lit("1990-01-01").cast("timestamp")
+    frames = {
+        "vendas": sold.select(
+            F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cliente_id"),
+            F.col("c_nationkey").alias("loja_id"), F.col("o_orderdate").alias("data_venda"),
+            F.when(F.col("o_orderstatus") == COMPLETED_ORDER, F.lit("concluida"))
+            .otherwise(F.lit("cancelada")).alias("status"),
+            F.col("o_totalprice").cast(money).alias("total"), F.col("o_orderdate").alias("created_at"),
+            F.col("o_orderdate").alias("updated_at")),
+        "itens_venda": lines.select(
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+            F.col("l_orderkey").alias("venda_id"), F.col("l_partkey").alias("produto_id"),
+            F.col("l_quantity").cast("int").alias("quantidade"),
+            F.try_divide("l_extendedprice", "l_quantity").cast(money).alias("preco_unit"),
+            F.col("l_extendedprice").cast(money).alias("subtotal"), F.col("l_shipdate").alias("created_at")),
+        "clientes": t.customer.select(
+            F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"), F.lit(None).cast("string").alias("email"),
+            F.lit(None).cast("string").alias("cidade"), F.lit(None).cast("string").alias("uf"),
+            first_day.alias("created_at"), first_day.alias("updated_at")),
+        "lojas": t.nation.select(
+            F.col("n_nationkey").alias("id"), F.col("n_name").alias("nome"), F.lit(None).cast("string").alias("cidade"),
+            F.lit(None).cast("string").alias("uf"), F.lit(None).cast("string").alias("regiao"),
+            first_day.alias("created_at")),
+        "produtos": t.part.select(
+            F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("sku"),
+            F.col("p_name").alias("nome"), F.col("p_type").alias("categoria"),
+            F.lit(None).cast(money).alias("custo"), F.col("p_retailprice").cast(money).alias("preco"),
+            first_day.alias("created_at")),
+    }
+    return lambda spec: frames[spec.name]
+
+
 # ---------------------------------------------------------------- silver
 
 def silver_sales(t: Tables, log: DataFrame | None = None) -> DataFrame:

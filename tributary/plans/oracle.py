@@ -348,6 +348,7 @@ where data >= (select cast(max(cast(ts as date)) - interval 1095 day as date) fr
   and data <= (select max(cast(ts as date)) from events)
 """
 ORACLE_SQL["layered_build"] = ORACLE_SQL["sales_vs_target_monthly"]
+ORACLE_SQL["daily_run"] = ORACLE_SQL["sales_vs_target_monthly"]
 ORACLE_SQL["incremental_upsert"] = ORACLE_SQL["latest_version"]
 ORACLE_SQL["stream_upsert"] = ORACLE_SQL["latest_version"]
 ORACLE_SQL["partition_refresh"] = ORACLE_SQL["sales_fact"]

@@ -21,6 +21,7 @@ from tributary.operators import (attainment, calendar_covering, kpi_overview,
                                  parse_series, stage_sales, stage_targets, store_ranking,
                                  target_plan, unique_violations)
 from tributary.plans import domain as D
+from tributary.plans.daily import DailyRun, run_daily
 from tributary.plans.layers import build_gold
 from tributary.session import configure, scratch_path
 from tributary.sources.bronze import coerce_cells, normalise_types, with_audit, write_append
@@ -310,6 +311,28 @@ def q_partition_refresh(spark, sf_dir):
     return refresh_partitions(rebuild, path, then.schema, changed)
 
 
+def q_daily_run(spark, sf_dir):
+    """Two whole daily runs: sources to bronze text, silver, gold; returns the stored mart.
+
+    The first run sees the orders placed before 1999; the second finds the rest
+    by the newest loaded cursor.  Silver reads ISO text, the indicators run as
+    the chain of full outer joins, gold tables are in the catalog.
+    """
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "daily_run")
+    write_csv(D.targets_log(t), f"{root}/landing/metas_vendas.csv")
+    D.series_api_long(t).select("codigo", "data", "valor").write.partitionBy("codigo").json(f"{root}/api")
+    newest = t.events.agg(F.max(F.to_date("ts"))).first()[0]
+    build = None
+    for placed_before, stamp in (("1999-01-01", "2024-02-01T06:00:00"), (None, "2024-02-02T06:00:00")):
+        build = run_daily(spark, DailyRun(
+            run_date=newest, bronze_root=f"{root}/bronze", warehouse_root=f"{root}/warehouse", loaded_at=stamp,
+            erp_source=D.erp_source(t, placed_before), landing_dir=f"{root}/landing",
+            series_url=f"{root}/api/codigo={{code}}", series=D.SERIES, watermark_on_cursor=True,
+            marts=False, checks=False))
+    return build.gold["vendas_vs_meta_mensal"]
+
+
 QUERIES: dict[str, Query] = {
     "sales_fact": q_sales_fact,
     "sales_vs_target_monthly": q_sales_vs_target_monthly,
@@ -339,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "rest_series_source": q_rest_series_source,
     "bronze_append": q_bronze_append,
     "layered_build": q_layered_build,
+    "daily_run": q_daily_run,
     "incremental_upsert": q_incremental_upsert,
     "stream_upsert": q_stream_upsert,
     "partition_refresh": q_partition_refresh,
