@@ -113,6 +113,13 @@ def test_two_daily_runs(spark, scratch, tmp_path):
     # B1: sale 1's newest version is cancelled -> gone; sale 4 arrived
     assert _rows(second["fct_vendas"].select("venda_id", "total_itens"), "venda_id") == [
         (2, None), (4, 10.0)]
+    # the stored state holds the newest version per sale; a full pass over the log agrees
+    from tributary.plans.erp import ErpBinding, log_state
+    state = log_state(spark, f"{root}/bronze", "erp_vendas")
+    assert state.versions() == [0, 1] and state.read().count() == 4
+    for name in ("stg_erp_vendas", "stg_erp_itens_venda", "stg_erp_clientes"):
+        whole, stored = (ErpBinding(spark, f"{root}/bronze", stored_state=s).silver()[name] for s in (False, True))
+        assert sorted(map(str, whole.collect())) == sorted(map(str, stored.collect()))
     bronze = spark.read.parquet(f"{root}/bronze/erp_vendas")
     assert bronze.count() == 5                            # 3 + 2 appended versions
     assert spark.read.parquet(f"{root}/bronze/erp_clientes").count() == 2  # nothing new

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.operators.calendar import DEFAULT_DAYS, DEFAULT_START
-from tributary.plans.erp import ErpBinding
+from tributary.plans.erp import ErpBinding, merge_logs
 from tributary.plans.layers import Build, build_gold
 from tributary.session import path_exists, size_shuffle_partitions
 from tributary.sources.files import ingest_files
@@ -43,6 +43,8 @@ class DailyRun:
     register: bool = True
     # Write the data-quality tables (quality layer).
     checks: bool = True
+    # Keep the newest version per id of the append logs and merge only what is new.
+    stored_state: bool = True
     # Compare sources with the newest loaded cursor instead of the last run's clock.
     watermark_on_cursor: bool = False
     # Dates of the aligned series: "first_two" or "all" (see operators.series).
@@ -68,8 +70,11 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
         ingest_files(spark, run.landing_dir, bronze, loaded_at)
     if path_exists(spark, bronze):
         size_shuffle_partitions(spark, [bronze])
+        if run.stored_state:
+            merge_logs(spark, bronze)
     binding = ErpBinding(spark, bronze, series=series, key_mode=run.key_mode,
                          calendar_start=run.calendar_start, calendar_days=run.calendar_days,
-                         calendar_covers_sales=run.calendar_covers_sales)
+                         calendar_covers_sales=run.calendar_covers_sales,
+                         stored_state=run.stored_state)
     return build_gold(binding, run.warehouse_root, marts=run.marts, register=run.register,
                       checks=run.checks)
