@@ -281,3 +281,20 @@ def test_stream_upsert_many_micro_batches_in_one_run(spark, scratch):
                                    f"{root}/ckpt", ["k"], ["ts"], ["v"], max_files_per_trigger=1)
     assert merged == [0, 1, 2, 3]        # one file per micro-batch, chained versions
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
+
+
+def test_jdbc_range_covers_the_new_rows_only(spark, scratch):
+    from tributary.sources.relational import TableSpec, bounds_query, ingest_incremental, range_reads
+    spec = TableSpec("vendas", "updated_at")
+    assert bounds_query(spec, "2024-01-01T00:00:00") == (
+        "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM vendas WHERE updated_at > '2024-01-01T00:00:00') bounds")
+    assert "WHERE" not in bounds_query(spec)
+    assert [range_reads(1, 10, 16), range_reads(0, 10**9, 16), range_reads(5, 5, 16)] == [1, 16, 1]
+    asked = []
+
+    def source(spec, since):
+        asked.append(since)
+        return spark.createDataFrame([(1, dt.datetime(2020, 1, 1))], "id long, updated_at timestamp")
+
+    ingest_incremental(spark, source, scratch("since"), "2024-01-01T07:00:00", (spec,))
+    assert asked == [EPOCH_TEXT]

@@ -9,6 +9,7 @@ no order, so the source's ``ORDER BY`` is dropped.
 
 from __future__ import annotations
 
+import inspect
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,19 +105,33 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, key: str,
     return reader.load()
 
 
+#: Keys that a range read covers at least, so that small batches open few connections.
+KEYS_PER_READ = 50_000
+
+
+def bounds_query(spec: TableSpec, since: str | None = None) -> str:
+    """The key range of the rows to extract: new rows sit at the top of the key range."""
+    new = f" WHERE {spec.cursor} > '{since}'" if since is not None else ""
+    return f"(SELECT MIN({spec.key}) AS lo, MAX({spec.key}) AS hi FROM {spec.name}{new}) bounds"
+
+
+def range_reads(low: int, high: int, most: int) -> int:
+    """Number of range reads over a key range, ``most`` at most."""
+    return max(1, min(most, (high - low) // KEYS_PER_READ + 1))
+
+
 def jdbc_source(spark: SparkSession, url: str, properties: dict[str, str] | None = None,
                 num_partitions: int = 16):
     """``read_source`` for ``ingest_incremental`` over a JDBC database.
 
-    Each table is read as ``num_partitions`` parallel range scans on its key;
-    the key range comes from one ``min``/``max`` query pushed to the
-    database.  The cursor filter applied afterwards is pushed into every
-    range query's ``WHERE`` clause.
+    Each table is read as up to ``num_partitions`` parallel range scans on its
+    key; the key range of the rows after ``since`` comes from one ``min``/``max``
+    query pushed to the database, so the new rows are dealt evenly.  The cursor
+    filter applied afterwards is pushed into every range query's ``WHERE`` clause.
     """
-    def read(spec: TableSpec) -> DataFrame:
-        bounds_sql = (f"(SELECT MIN({spec.key}) AS lo, MAX({spec.key}) AS hi "
-                      f"FROM {spec.name}) bounds")
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", bounds_sql)
+    def read(spec: TableSpec, since: str | None = None) -> DataFrame:
+        reader = (spark.read.format("jdbc").option("url", url)
+                  .option("dbtable", bounds_query(spec, since)))
         for k, v in (properties or {}).items():
             reader = reader.option(k, v)
         row = reader.load().first()
@@ -124,7 +139,7 @@ def jdbc_source(spark: SparkSession, url: str, properties: dict[str, str] | None
         if lo is None:   # empty table: a single, trivially cheap read
             lo, hi, parts = 0, 0, 1
         else:
-            parts = num_partitions
+            parts = range_reads(int(lo), int(hi), num_partitions)
         return read_jdbc_table(spark, url, spec.name, spec.key, int(lo), int(hi), parts,
                                properties)
     return read
@@ -136,7 +151,7 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
     """Load every table's new rows into ``<bronze_root>/erp_<table>`` (append).
 
     ``read_source(spec) -> DataFrame`` returns the source table (JDBC, files,
-    ...).  ``loaded_at`` is fixed once per run.  Empty batches write nothing.
+    ...); one that takes a second argument gets the watermark.  ``loaded_at`` is fixed once per run.  Empty batches write nothing.
 
     The watermark is ``max(_loaded_at)`` of the bronze table (the extraction
     clock), compared with the source's cursor column, as in the original
@@ -149,7 +164,9 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
         path = f"{bronze_root.rstrip('/')}/erp_{spec.name}"
         since = watermark_or_epoch(spark, path,
                                    spec.cursor if watermark_on_cursor else "_loaded_at")
-        batch = incremental_extract(read_source(spec), spec.cursor, since, loaded_at,
+        takes_since = len(inspect.signature(read_source).parameters) > 1
+        source = read_source(spec, since) if takes_since else read_source(spec)
+        batch = incremental_extract(source, spec.cursor, since, loaded_at,
                                     f"{source_prefix}.{spec.name}")
         results[spec.name] = write_append(batch, path, cluster_by=[spec.cursor])
     return results
