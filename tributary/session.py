@@ -9,6 +9,7 @@ in keys that are still unset, so cluster-level settings always win.
 
 from __future__ import annotations
 
+import atexit
 import math
 import os
 import tempfile
@@ -120,10 +121,23 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint folder.
 
     Jobs write each intermediate version to a new folder so that no job ever
-    overwrites a path another plan is still reading.
+    overwrites a path another plan is still reading.  All of them lie in one
+    folder per application, which is deleted when the driver program ends.
     """
-    base = checkpoint_dir(spark)
-    return "/".join([base, "tributary", *parts, uuid.uuid4().hex])
+    base = f"{checkpoint_dir(spark)}/tributary/{spark.sparkContext.applicationId}"
+    if base not in _scratch_folders:
+        _scratch_folders.add(base)
+        atexit.register(_delete_scratch, spark, base)
+    return "/".join([base, *parts, uuid.uuid4().hex])
+
+
+_scratch_folders: set[str] = set()
+
+
+def _delete_scratch(spark: SparkSession, base: str) -> None:
+    """At the end of the program; a session that was stopped before leaves its folder behind."""
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        delete_folder(spark, base)
 
 
 def _arrow_fs(path: str):
