@@ -27,9 +27,9 @@ LIKENESS = 64
 SHINGLE = 2
 MODULUS = 1 << 32
 #: Documents whose neighbours are looked up together, on average.
-BUCKET_ROWS = 1000
+BUCKET_ROWS = 400
 #: Quantiles of the ids that are asked for at most.
-COARSE = 512
+COARSE = 1024
 
 
 # ------------------------------------------------------------------ vectors
