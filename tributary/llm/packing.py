@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package, stored
+from .common import ship_package, small_batches, stored
 from .tokens import default_vocabulary, tokenizer
 
 CAPACITY = 4096
@@ -143,7 +143,7 @@ def _tokens_of(vocabulary: str, end_id: int):
         encode = tokenizer(vocabulary).encode
         end = np.array([end_id], "<u4").tobytes()
         seen: dict = {}
-        for batch in batches:
+        for batch in small_batches(batches):
             sources = batch.column("source").to_pylist()
             counts, before, ids = [], [], []
             for source, text in zip(sources, batch.column("text")):
@@ -167,7 +167,7 @@ def _pieces_of(totals: list[int], sources: list, capacity: int, shares: list[int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layout = Layout(totals, capacity, shares)
-        for batch in batches:
+        for batch in small_batches(batches):
             columns: list[list] = [[] for _ in range(9)]
             for doc_id, source, at, n, raw in zip(*(batch.column(c).to_pylist()
                                                     for c in ("doc_id", "source", "at", "n_tokens", "ids"))):

@@ -10,7 +10,7 @@ import numpy as np
 #: Marks that compose with an ASCII letter; only then may lower-casing first change the result.
 _COMPOSING = re.compile("[̀-ͯ]")
 #: Words kept per worker process in each of two generations.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 
 _models: dict = {}
 _lock = threading.Lock()

@@ -22,11 +22,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from .common import ship_package
 
@@ -132,11 +131,11 @@ def scorer(lexicon: Lexicon) -> Callable[[str | None], float]:
 
 
 def score_column(lexicon: Lexicon, text: Column) -> Column:
-    @pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = scorer(lexicon)
         for texts in batches:
-            yield pd.Series([run(t) for t in texts], dtype="float64")
+            yield pa.array([run(t.as_py()) for t in texts], pa.float64())  # one text at a time as a string
     return score(text)
 
 
