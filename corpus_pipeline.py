@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm.common import stored, table
-from tributary.llm.line_templates import dedup_lines
+from tributary.llm.line_dedup import dedup_lines
 from tributary.llm.mixing import mixed_rows
 from tributary.llm.packing import pack
 from tributary.llm.simhash import one_per_component

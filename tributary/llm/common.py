@@ -44,7 +44,7 @@ def ship_package(spark: SparkSession) -> None:
     sc._tributary_shipped = True
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
     """``df`` written once to a new folder in shared storage and read back.
 
     Cuts the lineage at files that survive the loss of executors, and keeps
@@ -52,7 +52,7 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", what)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -99,7 +99,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and empty texts have one empty line and stay as they are.  An empty table
     gives an empty result.
     """
-    found = dropped_lines(docs, id_col, text_col).select(
+    return without_lines(docs, dropped_lines(docs, id_col, text_col), id_col, text_col, marks)
+
+
+def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str, marks: bool) -> DataFrame:
+    """``docs`` without the places of ``dropped`` (doc, text_hash, dropped)."""
+    found = dropped.select(
         F.col("doc").alias("__line_doc"), F.col("text_hash").alias("__line_hash"), F.col("dropped").alias("__dropped"))
     joined = docs.join(found, (F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == found["__line_doc"])
                        & (F.xxhash64(docs[text_col]) == found["__line_hash"]), "left")

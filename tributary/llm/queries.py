@@ -12,7 +12,7 @@ from .common import stored, table
 from .cotraining import learn as learn_quality
 from .cotraining import with_quality
 from .fingerprint import edit_likeness
-from .line_templates import dedup_lines
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack
 from .quality_rules import judge
