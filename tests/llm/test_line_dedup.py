@@ -3,6 +3,8 @@
 import re
 from collections import defaultdict
 
+import pytest
+
 from tributary.llm import line_dedup as T
 
 NO_ID = (1 << 63) - 1
@@ -73,6 +75,12 @@ def test_blocks(spark, monkeypatch):
     assert check(spark, rows) == whole
 
 
+@pytest.mark.parametrize("line", ["Les.", "And ornd.", "just these three", "hello 7 reader"])
+def test_short_lines(spark, line):
+    got = check(spark, [(i, f"{line}\nown{'x' * i}") for i in range(5)])
+    assert got[0].startswith(line) and not any(got[i].startswith(line) for i in range(1, 5))
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d e f g h i\nx y"), (5, "a b c d e f g h i\nx y"),
             (5, "a b c d e f g h i\nx y"), (None, "a b c d e f g h i"), (None, "a b c d e f g h i\nz"),
