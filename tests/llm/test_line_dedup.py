@@ -81,6 +81,15 @@ def test_short_lines(spark, line):
     assert got[0].startswith(line) and not any(got[i].startswith(line) for i in range(1, 5))
 
 
+@pytest.mark.parametrize("documents", [2, 3, 4])
+def test_few_documents(spark, documents):
+    """One line each in two to four documents; copies within one document do not count."""
+    lines = "just four short words\nthe cat sat on ann today with her old hat"
+    got = check(spark, [(i, lines.replace("ann", "ann bob cid dan".split()[i])) for i in range(documents)]
+                + [(9, "only here\nonly here\nonly here\nonly here\nonly here")])
+    assert got[0] == lines and not any(got[i] for i in range(1, documents)) and got[9].count("only here") == 5
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d e f g h i\nx y"), (5, "a b c d e f g h i\nx y"),
             (5, "a b c d e f g h i\nx y"), (None, "a b c d e f g h i"), (None, "a b c d e f g h i\nz"),
