@@ -59,3 +59,24 @@ def test_odd_rows(spark, learned):
     silent = C.learn(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert {r.quality_score for r in C.with_quality(docs, silent).collect()} == {0.5}
     assert C.with_quality(docs.limit(0), silent).count() == 0
+
+
+def test_all_unlabelled_documents_take_part(spark):
+    """9,000 unlabelled documents of two plain kinds: a pool of 2,000 could hand over 2 x 5 % of 2,000 a round, no more."""
+    docs = spark.range(9400).selectExpr(
+        "id as doc_id", "if(id % 2 = 0, concat('Some good words of text, number ', id), '### $$$ %%% ### $$$') as text",
+        "if(id % 2 = 0, 'page', 'junk') as source", "'en' as lang")
+    model = C.learn(docs, docs.filter("doc_id < 400").selectExpr("doc_id", "1 - doc_id % 2 as quality"))
+    assert all(n > 900 for r in model.taught[:1] for n in r) and sum(n for n, _ in model.taught) > 2000
+    features = C.featured(docs, docs.filter("doc_id < 400").selectExpr("doc_id", "1 - doc_id % 2 as quality"))
+    assert features.filter("label = -1").count() == 9000
+    got = {r.doc_id: r.score for r in C.scored(features, model).collect()}
+    assert len(got) == 9400 and all((s > 0.5) == (i % 2 == 0) for i, s in got.items())
+    assert C.learn_from(features.repartition(7)) == model
+
+
+def test_stored_features_score_as_texts_do(spark, learned):
+    docs, labels, model = learned
+    want = {r.doc_id: r.quality_score for r in C.with_quality(docs, model).collect()}
+    got = {r.doc_id: r.score for r in C.scored(C.featured(docs, labels), model).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 0.01 for i in want)

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat_template import format_conversations, read_back
 from .common import stored, table
-from .cotraining import learn as learn_quality
-from .cotraining import with_quality
+from .cotraining import featured, learn_from, scored
 from .fingerprint import edit_likeness
 from .line_dedup import dedup_lines
 from .mixing import mix
@@ -75,9 +74,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = learn_quality(docs, table(spark, sf_dir, "labels"))
-    scored = with_quality(docs.select("doc_id", "text", "source", "lang"), model, "score")
-    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+    features = featured(docs, table(spark, sf_dir, "labels"))
+    return scored(features, learn_from(features)).select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).alias("kept"))
 
 
