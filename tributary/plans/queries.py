@@ -328,8 +328,7 @@ def q_daily_run(spark, sf_dir):
         build = run_daily(spark, DailyRun(
             run_date=newest, bronze_root=f"{root}/bronze", warehouse_root=f"{root}/warehouse", loaded_at=stamp,
             erp_source=D.erp_source(t, placed_before), landing_dir=f"{root}/landing",
-            series_url=f"{root}/api/codigo={{code}}", series=D.SERIES, watermark_on_cursor=True,
-            marts=False, checks=False))
+            series_url=f"{root}/api/codigo={{code}}", series=D.SERIES, watermark_on_cursor=True))
     return build.gold["vendas_vs_meta_mensal"]
 
 
