@@ -73,7 +73,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+_PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+    SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1),
+                                          lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+    FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+),
+found AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY lang, phrase, k HAVING count(*) >= 30),
+cuts AS (
+    SELECT c.lang, c.phrase, c.k, c.f AS a, cut,
+           array_to_string(list_slice(string_split(c.phrase, ' '), 1, cut), ' ') AS left_part,
+           array_to_string(list_slice(string_split(c.phrase, ' '), cut + 1, c.k), ' ') AS right_part
+    FROM found c, (SELECT unnest([1, 2, 3]) AS cut) WHERE c.k >= 2 AND cut < c.k
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.k, c.a, l.f AS l, r.f AS r,
+           CAST((CAST(2000000 AS HUGEINT) * c.a) // (l.f + r.f) AS BIGINT) AS score,
+           row_number() OVER (PARTITION BY c.lang, c.phrase
+                              ORDER BY (CAST(2000000 AS HUGEINT) * c.a) // (l.f + r.f), c.cut) AS place
+    FROM cuts c JOIN found l ON l.lang = c.lang AND l.phrase = c.left_part
+                JOIN found r ON r.lang = c.lang AND r.phrase = c.right_part
+),
+covering AS (
+    SELECT lang, sub, max(f) AS f FROM (
+        SELECT lang, f, unnest([array_to_string(list_slice(string_split(phrase, ' '), s, s + m - 1), ' ')
+                                FOR s IN range(1, k - m + 2)]) AS sub
+        FROM found, (SELECT unnest([2, 3]) AS m) WHERE m < k)
+    GROUP BY lang, sub
+),
+kept AS (
+    SELECT s.* FROM scored s LEFT JOIN covering c ON c.lang = s.lang AND c.sub = s.phrase
+    WHERE s.place = 1 AND (c.f IS NULL OR CAST(100 AS HUGEINT) * c.f < CAST(80 AS HUGEINT) * s.a)
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, t.n, score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
     "op3_chat": _CHAT,
     "op8_mixing": _MIX,
+    "op13_collocations": _PHRASES,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_template import format_conversations, read_back
+from .collocations import collocations
 from .common import stored, table
 from .cotraining import featured, learn_from, scored
 from .fingerprint import edit_likeness
@@ -83,6 +84,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -94,4 +99,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_cotraining": op9_cotraining,
     "op10_packing": op10_packing,
+    "op13_collocations": op13_collocations,
 }
