@@ -73,6 +73,21 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+_ARCHIVE = """
+WITH held AS (
+    SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+           min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages
+),
+typed AS (
+    SELECT *, payload_bytes >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS repeats FROM held
+)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN repeats THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN repeats THEN first END AS refers_to
+FROM typed
+"""
+
 _PHRASES = r"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang,
@@ -124,5 +139,6 @@ FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
 LLM_ORACLE_SQL: dict[str, str] = {
     "op3_chat": _CHAT,
     "op8_mixing": _MIX,
+    "op12_warc": _ARCHIVE,
     "op13_collocations": _PHRASES,
 }

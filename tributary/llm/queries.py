@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.session import scratch_path
+
 from .chat_template import format_conversations, read_back
 from .collocations import collocations
 from .common import stored, table
@@ -19,6 +21,7 @@ from .quality_rules import judge
 from .simhash import simhash_components
 from .token_files import token_digests
 from .toxicity import THRESHOLD, held_out, learn, with_score
+from .warc import archived_pages, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +87,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "llm", "warc")
+    write_archive(table(spark, sf_dir, "pages"), folder)
+    return archived_pages(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -99,5 +109,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_cotraining": op9_cotraining,
     "op10_packing": op10_packing,
+    "op12_warc": op12_warc,
     "op13_collocations": op13_collocations,
 }
