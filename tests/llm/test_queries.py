@@ -16,12 +16,12 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
+    names = {f"op{n}_" for n in range(1, 14)}
     assert {q.split("_")[0] + "_" for q in LLM_QUERIES} == names
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["op3_chat", "op8_mixing"])
+@pytest.mark.parametrize("name", ["op3_chat", "op8_mixing", "op11_repair", "op12_warc", "op13_collocations"])
 def test_against_sql(spark, name):
     got = compare(spark, SF, name, LLM_QUERIES[name], entry.oracle_sql()[name], duck_connection(SF))
     assert got["status"] == "ok" and got["rows"] > 0, got

@@ -73,6 +73,99 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+def _edited(state: str, cost: str, letter: str, line: str | None = None) -> str:
+    """SQL: the way on from ``state`` with one more edit before it; a way is its key (cost, audit) and its lines."""
+    lines = f"{state}.t" if line is None else f"list_prepend({line}, {state}.t)"
+    return (f"{{'k': printf('%010d', CAST(left({state}.k, 10) AS BIGINT) + {cost}) || '{letter}' || substr({state}.k, 11),"
+            f" 't': {lines}}}")
+
+
+def _best(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _repair_sql() -> str:
+    """Costs and audits from the last row of each conversation back to its first, all four states at once."""
+    nowhere = "{'k': '9999999999', 't': CAST([] AS VARCHAR[])}"
+    here = "CAST([] AS VARCHAR[])"
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    due = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    steps = []
+    for s in range(4):
+        stays = " ".join(f"WHEN initial = '{i}' THEN " + _edited(f"s{to}", "extra", "K", "role || ':' || text")
+                         for i, to in kept[s].items())
+        role, to = due[s]
+        relabelled = _edited(f"s{to}", "1 + extra", "R", f"'{role}:' || text")
+        steps.append(_best(_edited(f"s{s}", "2", "D"),
+                           f"CASE WHEN must_go THEN {nowhere} {stays} ELSE {nowhere} END",
+                           f"CASE WHEN must_go THEN {nowhere} ELSE {relabelled} END") + f" AS b{s}")
+    ask, answer = "'user:'", "'assistant:'"
+    asked = _best("b2", _edited("b3", "5", "I", answer))
+    answered = _best("b3", _edited("b2", "5", "I", ask))
+    return rf"""
+WITH RECURSIVE said AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations
+),
+marked AS (
+    SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                                  list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+                      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+              CAST(4294967295 AS BIGINT)) % 20 AS kind
+    FROM said
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM marked WHERE kind <> 0
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+           CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS initial
+    FROM damaged
+),
+faulty AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair
+    FROM numbered
+),
+priced AS (
+    SELECT *, fault IN ('blank', 'duplicate') AS must_go, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra
+    FROM faulty
+),
+counted AS (
+    SELECT conv_id, max(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM priced GROUP BY conv_id
+),
+ways AS (
+    SELECT conv_id, n AS i, {{'k': '0000000000', 't': {here}}} AS s0,
+           {{'k': '0000000010II', 't': [{ask}, {answer}]}} AS s1,
+           {{'k': '0000000005I', 't': [{answer}]}} AS s2, {{'k': '0000000000', 't': {here}}} AS s3
+    FROM counted
+    UNION ALL
+    SELECT conv_id, i - 1, {_best("b0", _edited("f2", "5", "I", ask))}, {_best("b1", _edited("f2", "5", "I", ask))}, f2, f3
+    FROM (SELECT *, {asked} AS f2, {answered} AS f3
+          FROM (SELECT w.conv_id, w.i, {", ".join(steps)}
+                FROM ways w JOIN priced r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.i))
+)
+SELECT o.conv_id, CAST(coalesce(c.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(c.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(c.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(c.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(c.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(left(w.s0.k, 10), '0') AS BIGINT) AS cost,
+       coalesce(substr(w.s0.k, 11), '') AS audit, sha256(coalesce(array_to_string(w.s0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ways w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.i = 0
+"""
+
+
 _ARCHIVE = """
 WITH held AS (
     SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
@@ -139,6 +232,7 @@ FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
 LLM_ORACLE_SQL: dict[str, str] = {
     "op3_chat": _CHAT,
     "op8_mixing": _MIX,
+    "op11_repair": _repair_sql(),
     "op12_warc": _ARCHIVE,
     "op13_collocations": _PHRASES,
 }

@@ -21,6 +21,7 @@ from .quality_rules import judge
 from .simhash import simhash_components
 from .token_files import token_digests
 from .toxicity import THRESHOLD, held_out, learn, with_score
+from .turn_repair import damaged, digests, repair_conversations
 from .warc import archived_pages, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +88,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    fixed, audits = repair_conversations(damaged(rows))
+    out = rows.select("conv_id").distinct()
+    for found in (audits, digests(fixed)):
+        out = out.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in
+              ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "llm", "warc")
     write_archive(table(spark, sf_dir, "pages"), folder)
@@ -109,6 +122,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_cotraining": op9_cotraining,
     "op10_packing": op10_packing,
+    "op11_repair": op11_repair,
     "op12_warc": op12_warc,
     "op13_collocations": op13_collocations,
 }
