@@ -97,8 +97,10 @@ class WordTokenizer:
         return b"".join(found)
 
 
-#: A mark at a word's end that follows something other than a letter or digit belongs to a run of marks.
-_RUN = re.compile(r"[^\w\s][.,](?:\s|$)|_[.,](?:\s|$)")
+#: Characters after which a full stop or comma begins a piece of its own: blanks, and letters and digits that stay one
+#: letter or digit when lowered (U+0130 does not).  Texts with others there are cut at blanks alone.
+_APART = r"\t-\r A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0410-\u044f"
+_RUN = re.compile(rf"[^{_APART}](?:\.[ \n]|, )")
 
 
 def _parts(text: str) -> list[bytes]:
