@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tributary.llm import token_files as T
-from tributary.llm.tokens import WordTokenizer, default_vocabulary
+from tributary.llm.tokens import WordTokenizer, default_vocabulary, tokenizer
 
 VALUES = st.one_of(st.integers(0, 1), st.integers(0, 49_407), st.integers(0, 2**60 - 1), st.integers(0, 2**64 - 1))
 
@@ -20,6 +20,17 @@ def test_words_round_trip(values):
     assert T.decode_block(T.encode_block(array)).tolist() == values
 
 
+@given(st.lists(VALUES, max_size=300), st.integers(1, 70))
+@settings(max_examples=200, deadline=None)
+def test_blocks_round_trip_side_by_side(values, block_ids):
+    array = np.array(values, np.uint64)
+    words, offsets = T.encode_blocks(array, block_ids)
+    assert T.decode_block(words).tolist() == values
+    for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
+        assert T.decode_block(words[a:b]).tolist() == values[i * block_ids:(i + 1) * block_ids]
+        assert words[a:b].tolist() == T.encode_block(array[i * block_ids:(i + 1) * block_ids]).tolist()
+
+
 def test_words_are_dense():
     assert len(T.encode_block(np.ones(60, np.uint64))) == 1
     assert len(T.encode_block(np.full(8, 127, np.uint64))) == 1
@@ -54,6 +65,26 @@ def test_words_are_encoded_as_the_whole(spark, kept):
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == want
 
 
+#: Characters that blanks, lower-casing, composition and runs of marks could go wrong on.
+TRICKY = [*"abzAZ019 .,;'\n\t_%-\x00\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0", "\u0130", "\u0131", "\u00e9", "\u00c9", "\u00df", "\u1e9e",
+          "\u0301", "\u0307", "\u0327", "\u0338", "\u0149", "\u017f", "\ufb01", "\u03a3", "\u03c2", "\u03c3", "\u00b2", "\u00bd",
+          "\u0663", "\u2177", "\ud55c", "\u1112", "\u1161", "\u304b", "\u3099", "\u093c", "\u0915", "\u200b", "\u2028", "\u3000",
+          "\u01c5", "\u0416", "\u0436", "\u4e2d", "\u212a", "\u212b", "\u00b5", "\u0345", "\u1e9b", "\u0323", "\U0001f600",
+          "'s", "'LL", "'re", ". ", ", ", ".\n", "word", "$$$", "!! "]
+
+
+@given(st.lists(st.sampled_from(TRICKY), max_size=14).map("".join))
+@settings(max_examples=4000, deadline=None)
+def test_ids_are_the_librarys(text):
+    mine = tokenizer(default_vocabulary())
+    assert np.frombuffer(mine.encode(text), "<u4").tolist() == mine.model.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["T.C. \u0130. Bankas", "\u0130, evet", "end\x1c. next", "a\x1f, b", "x\u0301. y", "q!. z"])
+def test_marks_after_marks(text):
+    test_ids_are_the_librarys.hypothesis.inner_test(text)
+
+
 def brute(rows):
     from tokenizers import Tokenizer
     model = Tokenizer.from_file(default_vocabulary())

@@ -9,6 +9,10 @@ import numpy as np
 
 #: Marks that compose with an ASCII letter; only then may lower-casing first change the result.
 _COMPOSING = re.compile("[̀-ͯ]")
+#: Lower-case letters of three scripts that are composed already: one piece, whatever stands around it.
+_SIMPLE = re.compile("[a-zß-öø-ÿα-ωа-я]+")
+#: ASCII marks; a run of them at a word's end is one piece.
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words kept per worker process in each of two generations.
 KEPT_WORDS = 300_000
 
@@ -31,8 +35,12 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, kept: int = KEPT_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.model = Tokenizer.from_file(path)
+        # For words that normalising leaves alone and that are one piece: the same merges, without the rest.
+        self.bare = Tokenizer(self.model.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.kept = kept
         self.ends_word = np.zeros(self.model.get_vocab_size(), bool)
         for token, i in self.model.get_vocab().items():
@@ -54,16 +62,32 @@ class WordTokenizer:
                 new.append(word)
             else:
                 self.ids_of[word] = ids
-        plain = [w for w in new if w.decode().isalpha()]
-        for at in range(0, len(plain), 4096):
-            self._learn_plain(plain[at:at + 4096])
-        new = [w for w in new if w not in self.ids_of]
-        for at in range(0, len(new), 4096):
-            self._learn_by_offsets(new[at:at + 4096])
-
-    def _learn_plain(self, words: list[bytes]) -> None:
+        self._learn_new(new)
+
+    def _learn_new(self, new: list[bytes]) -> None:
+        # Letters with marks behind them are a piece of letters and one of marks.
+        cut = {}
+        for word in new:
+            letters = word.rstrip(_MARKS)
+            if letters and letters != word and _SIMPLE.fullmatch(letters.decode()):
+                cut[word] = letters, word[len(letters):]
+        parts = dict.fromkeys(p for pair in cut.values() for p in pair)
+        unknown = [w for w in dict.fromkeys([*(w for w in new if w not in cut), *parts]) if w not in self.ids_of]
+        simple = [w for w in unknown if _SIMPLE.fullmatch(w.decode())]
+        for at in range(0, len(simple), 512):
+            self._learn_plain(simple[at:at + 512], self.bare)
+        plain = [w for w in unknown if w not in self.ids_of and w.decode().isalpha()]
+        for at in range(0, len(plain), 512):
+            self._learn_plain(plain[at:at + 512], self.model)
+        left = [w for w in unknown if w not in self.ids_of]
+        for at in range(0, len(left), 4096):
+            self._learn_by_offsets(left[at:at + 4096])
+        for word, (letters, marks) in cut.items():
+            self.ids_of[word] = self.ids_of[letters] + self.ids_of[marks]
+
+    def _learn_plain(self, words: list[bytes], model) -> None:
         """Words of letters alone are one piece each, and a piece ends with a token that ends a word."""
-        found = self.model.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0]
+        found = model.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0]
         ids = np.array(found.ids, "<u4")
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
