@@ -41,50 +41,94 @@ FILE_IDS = 4_000_000
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    low = np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
-    high = np.frexp((values >> np.uint64(32)).astype(np.float64))[1]
-    return np.where(high > 0, high + 32, low)
+    """Bits of each value; 255 marks values that only an escape holds."""
+    small = values < np.uint64(1 << 52)  # exact as floating-point numbers
+    bits = np.frexp(np.where(small, values, 0).astype(np.float64))[1].astype(np.uint8)
+    if not small.all():
+        high = np.frexp((values >> np.uint64(32)).astype(np.float64))[1].astype(np.uint8) + np.uint8(32)
+        bits = np.where(small, bits, np.where(high <= WIDTHS[-1], high, 255)).astype(np.uint8)
+    return bits
 
 
-def encode_block(values: np.ndarray) -> np.ndarray:
-    """Simple-8b words of ``values`` (unsigned, up to 64 bits), greedily as many values a word as fit."""
+def _selectors(values: np.ndarray, block_ids: int) -> np.ndarray:
+    """For every place the selector of a word that would start there, blocks below one another.
+
+    The widest value among the next 2, 3, 4, ... is the wider one of two
+    shorter stretches, so each count takes one pass.
+    """
+    n = len(values)
+    blocks = -(-n // block_ids)
+    bits = np.full((blocks, block_ids), 255, np.uint8)  # what is behind the end fits nowhere
+    bits.reshape(-1)[:n] = _bit_lengths(values)
+    choice = np.where(bits <= WIDTHS[-1], len(COUNTS) - 1, ESCAPE).astype(np.uint8)
+    widest, reach = bits, 1
+    known = {1: bits}
+    for s in range(len(COUNTS) - 2, 1, -1):
+        count = int(COUNTS[s])
+        if count > block_ids:
+            break
+        # Stretches of ``reach`` and the longest known one that completes the count (they may overlap).
+        other = max(k for k in known if k <= reach and k + reach >= count or k == reach)
+        while reach + other < count:
+            widest = np.maximum(widest[:, :widest.shape[1] - other], widest[:, other:])
+            reach += other
+            known[reach] = widest
+            other = max(k for k in known if k <= reach)
+        shift = count - other
+        both = np.maximum(widest[:, :block_ids - count + 1], known[other][:, shift:shift + block_ids - count + 1])
+        widest, reach = both, count
+        known[count] = both
+        choice[:, :block_ids - count + 1][both <= WIDTHS[s]] = s
+    return choice
+
+
+def encode_blocks(values: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarray]:
+    """Simple-8b words of ``values`` (unsigned, up to 64 bits) and where each block of ``block_ids`` begins among them.
+
+    Words take as many values as fit, from each block's first on; the words
+    of all blocks are found side by side.
+    """
     values = values.astype(np.uint64)
     n = len(values)
     if not n:
-        return np.empty(0, np.uint64)
-    bits = _bit_lengths(values)
-    # fits[s, i]: selector s can take the COUNTS[s] values from i on.
-    choice = np.zeros(n, np.int64)  # the escape, unless something fits
-    for s in range(len(COUNTS) - 1, 1, -1):
-        count, width = int(COUNTS[s]), int(WIDTHS[s])
-        if count > n:
-            continue
-        wide = np.concatenate([[0], np.cumsum(bits > width)])
-        fits = wide[count:] == wide[:-count]
-        choice[:n - count + 1][fits] = s
-    picked, at, step = [], 0, np.where(choice == ESCAPE, 1, COUNTS[choice]).tolist()
-    while at < n:
-        picked.append(at)
-        at += step[at]
-    starts = np.array(picked)
+        return np.empty(0, np.uint64), np.zeros(1, np.int64)
+    block_ids = min(block_ids, n)
+    choice = _selectors(values, block_ids).reshape(-1)
+    step = np.where(COUNTS == 0, 1, COUNTS).astype(np.int64)[choice]
+    begins = np.arange(0, n, block_ids)
+    is_word = np.zeros(n, bool)
+    at, stop = begins, np.minimum(begins + block_ids, n)
+    while len(at):
+        is_word[at] = True
+        at = at + step[at]
+        open_ = at < stop
+        if not open_.all():
+            at, stop = at[open_], stop[open_]
+    starts = np.flatnonzero(is_word)
     selectors = choice[starts]
-    places = np.cumsum(1 + (selectors == ESCAPE)) - 1 - (selectors == ESCAPE)
-    words = np.zeros(int(places[-1]) + 1 + int(selectors[-1] == ESCAPE), np.uint64)
+    escaped = selectors == ESCAPE
+    places = np.cumsum(1 + escaped) - 1 - escaped
+    words = np.zeros(len(starts) + int(escaped.sum()), np.uint64)
     for s in np.unique(selectors):
         mine = selectors == s
         if s == ESCAPE:
             words[places[mine] + 1] = values[starts[mine]]
             continue
-        count, width = int(COUNTS[s]), int(WIDTHS[s])
-        word = np.full(int(mine.sum()), int(s) << 60, np.uint64)
-        for i in range(count):
-            word |= values[starts[mine] + i] << np.uint64(i * width)
+        first, width = starts[mine], int(WIDTHS[s])
+        word = np.full(len(first), int(s) << 60, np.uint64)
+        for i in range(int(COUNTS[s])):
+            word |= values[first + i] << np.uint64(i * width)
         words[places[mine]] = word
-    return words
+    return words, np.append(places[np.searchsorted(starts, begins)], len(words))
+
+
+def encode_block(values: np.ndarray) -> np.ndarray:
+    """The words of one block."""
+    return encode_blocks(values, max(1, len(values)))[0]
 
 
 def decode_block(words: np.ndarray) -> np.ndarray:
-    """The values that ``encode_block`` packed, as uint64."""
+    """The values that ``encode_block`` packed (or several blocks in a row), as uint64."""
     words = words.astype(np.uint64)
     selectors = (words >> np.uint64(60)).astype(np.int64)
     if not len(words):
@@ -107,11 +151,11 @@ def decode_block(words: np.ndarray) -> np.ndarray:
     for s in np.unique(selectors[~raw]):
         if s == ESCAPE:
             continue
-        mine = (selectors == s) & ~raw
-        count, width = int(COUNTS[s]), int(WIDTHS[s])
+        mine = np.flatnonzero((selectors == s) & ~raw)
+        first, left, width = begins[mine], words[mine], int(WIDTHS[s])
         mask = np.uint64((1 << width) - 1)
-        for i in range(count):
-            out[begins[mine] + i] = (words[mine] >> np.uint64(i * width)) & mask
+        for i in range(int(COUNTS[s])):
+            out[first + i] = (left >> np.uint64(i * width)) & mask
     return out
 
 
@@ -121,13 +165,12 @@ def pack_file(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) ->
     The document index holds id, whether the id is null, and number of token
     ids per document; offsets are in 64-bit words, one per block and the end.
     """
-    blocks = [encode_block(ids[at:at + BLOCK_IDS]) for at in range(0, len(ids), BLOCK_IDS)]
-    offsets = np.cumsum([0] + [len(b) for b in blocks]).astype("<u8")
-    body = b"".join(b.astype("<u8").tobytes() for b in blocks)
+    words, offsets = encode_blocks(ids)
+    body = words.astype("<u8").tobytes()
     index = (np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes()
              + np.array([d is None for d in doc_ids], "<u1").tobytes() + counts.astype("<i8").tobytes())
-    footer = struct.pack("<QQQI", len(ids), len(blocks), len(doc_ids), zlib.crc32(body))
-    return MAGIC + body + offsets.tobytes() + index + footer + MAGIC
+    footer = struct.pack("<QQQI", len(ids), len(offsets) - 1, len(doc_ids), zlib.crc32(body))
+    return MAGIC + body + offsets.astype("<u8").tobytes() + index + footer + MAGIC
 
 
 class TokenFile:
@@ -238,7 +281,7 @@ def _reader_of(folder: str):
                 with filesystem.open_input_stream(f"{root}/{name}") as source:
                     found = TokenFile(source.read())
                 starts = np.concatenate([[0], np.cumsum(found.counts)])
-                ids = memoryview(b"".join(found.block(i).astype("<u4").tobytes() for i in range(len(found.offsets) - 1)))
+                ids = memoryview(decode_block(found.words).astype("<u4").tobytes())
                 cuts = (4 * starts).tolist()
                 crcs = [zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
