@@ -11,8 +11,8 @@ from tributary.sources.bronze import write_append, write_truncate
 from tributary.sources.files import LANDING_FILES, ingest_files, write_csv
 from tributary.sources.relational import incremental_extract, watermark_or_epoch
 from tributary.sources.rest_series import ingest_series, read_series
-from tributary.streaming.upsert import (KeyedState, incremental_upsert, refresh_partitions,
-                                        stream_latest)
+from tributary.storage.tables import Table, read_table
+from tributary.streaming.upsert import incremental_upsert, refresh_partitions, stream_latest
 
 SCHEMA = "k long, ts long, v string"
 
@@ -37,28 +37,6 @@ def test_upsert_equals_full_recompute(spark, scratch):
     assert _sorted(got) == _sorted(latest_version(log, ["k"], ["ts"], ["v"]))
 
 
-def test_batch_rewrites_only_the_buckets_it_touches(spark, scratch):
-    history = spark.range(20000).select(
-        (F.col("id") % 5000).alias("k"), (F.col("id") % 50).alias("ts"),
-        F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
-    daily = spark.createDataFrame([(7, 60, "new"), (7, 61, "newer"), (None, 1, "nk")], SCHEMA)
-    state = KeyedState(spark, scratch("buckets"), history.schema, ["k"], ["ts"], ["v"], buckets=8)
-    assert state.read().count() == 0 and state.versions() == []
-    assert state.merge(history, 0) == list(range(8))
-    before = state.manifest(0)
-    touched = state.merge(daily, 1)
-    after = state.manifest(1)
-    assert 1 <= len(touched) <= 2
-    assert {b for b in after if after[b] != before.get(b)} == set(touched)
-    full = latest_version(history.unionByName(daily), ["k"], ["ts"], ["v"])
-    assert _sorted(state.read()) == _sorted(full)
-    # a replayed batch gives the same state; old folders go, those still named stay
-    assert state.merge(daily, 1) == touched and _sorted(state.read()) == _sorted(full)
-    state.merge(daily.limit(0), 2)
-    state.merge(daily.limit(0), 3)
-    assert state.versions() == [2, 3] and _sorted(state.read()) == _sorted(full)
-
-
 def test_upsert_null_keys_and_untouched_rows(spark, scratch):
     log = spark.createDataFrame(
         [(None, 1, "a"), (1, 1, "b"), (2, 5, "c"), (None, 3, "d"), (1, 0, "e"), (3, 9, "f")],
@@ -93,28 +71,41 @@ FACT = "venda_id long, total double, ano long, mes long"
 def _files(path):
     import glob
     import os
-    return {f: os.path.getmtime(f) for f in glob.glob(path.removeprefix("file:") + "/*/*/part-*")}
+    return {f: os.path.getmtime(f) for f in glob.glob(path.removeprefix("file:") + "/*/*/*/part-*")}
 
 
 def test_refresh_moves_and_removes_rows(spark, scratch):
     path = scratch("fact") + "/t"
     old = spark.createDataFrame([(1, 1.0, 2024, 1), (2, 2.0, 2024, 2), (4, 4.0, 2024, 4), (5, 5.0, None, None),
                                  (6, 6.0, None, None)], FACT)
-    old.write.partitionBy("ano", "mes").parquet(path)
+    Table(spark, path).replace(old, ("ano", "mes"))
     untouched = {f: t for f, t in _files(path).items() if "mes=4" in f}
     # sale 1 is cancelled, 2 moves from February to March, 3 is new, 5 gets a date
     now = spark.createDataFrame([(2, 2.5, 2024, 3), (3, 3.0, 2024, 3), (5, 5.0, 2024, 1), (4, 4.0, 2024, 4)], FACT)
     changed = spark.createDataFrame([(1,), (2,), (2,), (3,), (5,)], "venda_id long")
-    got = refresh_partitions(lambda keys: now.join(keys, "venda_id", "left_semi"), path, old.schema, changed)
+    done = refresh_partitions(lambda keys: now.join(keys, "venda_id", "left_semi"), path, changed)
+    assert [r[0] for r in _sorted(done.old)] == [1, 2, 5] and [r[0] for r in _sorted(done.new)] == [2, 3, 5]
+    got = done.rows
     assert _sorted(got) == [(2, 2.5, 2024, 3), (3, 3.0, 2024, 3), (4, 4.0, 2024, 4), (5, 5.0, 2024, 1),
                             (6, 6.0, None, None)]
     assert {f: t for f, t in _files(path).items() if "mes=4" in f} == untouched
-    # the last sale of a month and of the NULL month goes: their folders go too
+    # the last sale of a month and of the NULL month goes: their partitions go too
     none = now.limit(0)
     gone = spark.createDataFrame([(5,), (6,)], "venda_id long")
-    got = refresh_partitions(lambda keys: none, path, old.schema, gone)
+    got = refresh_partitions(lambda keys: none, path, gone).rows
     assert [r[0] for r in _sorted(got)] == [2, 3, 4]
-    assert not any("mes=1/" in f or "HIVE" in f for f in _files(path))
+    table = Table(spark, path)
+    assert {p["path"].rsplit("/", 1)[0] for p in table.head()[1]["parts"]} == {"ano=2024/mes=3", "ano=2024/mes=4"}
+    assert {f: t for f, t in _files(path).items() if "mes=4" in f} == untouched
+    # the months in which the rows lie may be given: no other is searched
+    months = spark.createDataFrame([(2024, 3)], "ano long, mes long")
+    again = refresh_partitions(lambda keys: now.where("venda_id = 99"), path, spark.createDataFrame([(2,), (4,)], "venda_id long"),
+                               had=months)
+    assert [r[0] for r in _sorted(again.rows)] == [3, 4]
+    # nothing changed, nothing written
+    before = table.log.newest()
+    refresh_partitions(lambda keys: none, path, spark.createDataFrame([(77,)], "venda_id long"))
+    assert table.log.newest() == before
 
 
 def test_failed_load_keeps_the_old_table(spark, scratch):
@@ -125,7 +116,7 @@ def test_failed_load_keeps_the_old_table(spark, scratch):
         F.col("v").cast("long").cast("string").alias("v"))
     with pytest.raises(Exception):
         write_truncate(bad, path)
-    assert [r.v for r in spark.read.parquet(path).collect()] == ["1"]
+    assert [r.v for r in read_table(spark, path).collect()] == ["1"]
     # a failing rebuild of a gold model, and a session that overwrites partitions dynamically
     from tributary.plans.layers import materialize
     root = scratch("safe_gold")
@@ -133,7 +124,7 @@ def test_failed_load_keeps_the_old_table(spark, scratch):
     materialize(rows, root, "gold", "t", ("ano", "mes"))
     with pytest.raises(Exception):
         materialize(rows.withColumn("x", F.concat(F.lit("q"), "x").cast("long")), root, "gold", "t", ("ano", "mes"))
-    assert spark.read.parquet(f"{root}/gold/t").count() == 2
+    assert read_table(spark, f"{root}/gold/t").count() == 2
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         again = materialize(rows.filter("mes = 2"), root, "gold", "t", ("ano", "mes"))
@@ -156,17 +147,17 @@ def test_csv_columns_by_header_name(spark, scratch, tmp_path):
     root = scratch("headers")
     files = {**LANDING_FILES, "notes.csv": ("files_notes", None)}
     ingest_files(spark, f"file://{landing}", f"{root}/bronze", "run", files)
-    rows = spark.read.parquet(f"{root}/bronze/files_metas_vendas").orderBy("mes").collect()
+    rows = read_table(spark, f"{root}/bronze/files_metas_vendas").orderBy("mes").collect()
     assert [(r.ano, r.mes, r.loja_id, r.categoria, r.meta_valor) for r in rows] == [
         (2024, 1, 3, 'Moveis "Premium"', 1.5), (2024, 2, 4, 'a "b", c', None)]
-    notes = spark.read.parquet(f"{root}/bronze/files_notes").collect()
+    notes = read_table(spark, f"{root}/bronze/files_notes").collect()
     assert sorted((r.what, r.what_kind, r.what_long, r.what_double) for r in notes) == [
         ("1.5", "float", None, 1.5), ("12", "int", 12, 12.0), ("5D", "string", None, None)]
     # a malformed cell fails the load and leaves the table
     (landing / "metas_vendas.csv").write_text("ano,mes,loja_id,categoria,meta_valor\n2024,x,1,c,1\n")
     with pytest.raises(Exception):
         ingest_files(spark, f"file://{landing}", f"{root}/bronze", "run2")
-    assert spark.read.parquet(f"{root}/bronze/files_metas_vendas").count() == 2
+    assert read_table(spark, f"{root}/bronze/files_metas_vendas").count() == 2
 
 
 def test_series_http_answer_is_taken_whole(monkeypatch):
@@ -206,10 +197,10 @@ def test_append_guard_watermark_and_counts(spark, scratch):
     assert since == "2024-01-02T00:00:00"
     empty = write_append(incremental_extract(src, "updated_at", since, "run2", "erp.t"), path)
     assert (empty.rows, empty.written) == (0, False)
-    assert spark.read.parquet(path).count() == 2
+    assert read_table(spark, path).count() == 2
     # truncate replaces
     write_truncate(src.limit(1), path)
-    assert spark.read.parquet(path).count() == 1
+    assert read_table(spark, path).count() == 1
 
 
 def test_landing_csv_missing_file_is_skipped(spark, scratch):
@@ -221,7 +212,7 @@ def test_landing_csv_missing_file_is_skipped(spark, scratch):
     res = ingest_files(spark, f"{root}/in", f"{root}/bronze", "run")
     assert res["lojas.csv"] is None and res["metas_vendas.csv"].rows == 2
     table = LANDING_FILES["metas_vendas.csv"][0]
-    back = spark.read.parquet(f"{root}/bronze/{table}")
+    back = read_table(spark, f"{root}/bronze/{table}")
     assert sorted(r.categoria for r in back.collect()) == ["Móveis", "a,b"]
     assert set(back.columns) >= {"_loaded_at", "_source"}
 
@@ -239,7 +230,7 @@ def test_series_source_partitions_and_parsing(spark, scratch, tmp_path):
     path = scratch("series") + "/series"
     res = ingest_series(spark, {"dolar": 1}, dt.date(2024, 12, 31), url, path, "run")
     assert res.rows == 2
-    vals = sorted(r.valor for r in spark.read.parquet(path).collect())
+    vals = sorted(r.valor for r in read_table(spark, path).collect())
     assert vals == [5.25, 5.5]
 
 

@@ -40,6 +40,16 @@ def top_one_per_key(df: DataFrame, keys: Sequence[str],
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
+def version_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ("_loaded_at",),
+                  tiebreak: Sequence[Column | str] | None = None) -> list[Column]:
+    """Newest first: ``order_by`` descending (NULLs last), then ``tiebreak`` (default: all other columns) ascending."""
+    order = [_desc(c) for c in order_by]
+    if tiebreak is None:
+        used = list(keys) + [c for c in order_by if isinstance(c, str)]
+        tiebreak = _remaining(df, used)
+    return order + [_asc(c) for c in tiebreak]
+
+
 def latest_version(df: DataFrame, keys: Sequence[str],
                    order_by: Sequence[Column | str] = ("_loaded_at",),
                    tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
@@ -50,11 +60,7 @@ def latest_version(df: DataFrame, keys: Sequence[str],
     default over every other column), so the surviving row is deterministic
     instead of arbitrary.
     """
-    order = [_desc(c) for c in order_by]
-    if tiebreak is None:
-        used = list(keys) + [c for c in order_by if isinstance(c, str)]
-        tiebreak = _remaining(df, used)
-    return top_one_per_key(df, keys, order + [_asc(c) for c in tiebreak])
+    return top_one_per_key(df, keys, version_order(df, keys, order_by, tiebreak))
 
 
 def conform_dimension(df: DataFrame, key: str | Sequence[str],

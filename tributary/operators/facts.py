@@ -66,10 +66,20 @@ def attainment(actual: DataFrame, targets: DataFrame,
     does not shuffle again.  ``with_count`` adds ``n_vendas``, the number of
     actual rows per key.
     """
-    measures = [money_sum(actual_col).alias("total_vendas")]
-    if with_count:
-        measures.append(F.count(F.lit(1)).alias("n_vendas"))
-    v = actual.groupBy(*keys).agg(*measures).alias("v")
+    v = actual.groupBy(*keys).agg(money_sum(actual_col).alias("total_vendas"), F.count(F.lit(1)).alias("n_vendas"))
+    return attainment_of_sums(v, targets, keys, target_col, with_count)
+
+
+def sums_as_sales(sums: DataFrame, keys: Sequence[str] = ATTAINMENT_KEYS) -> DataFrame:
+    """Maintained sums (``streaming.sums``) as sales totals: (keys, total_vendas, n_vendas)."""
+    return sums.select(*keys, F.when(F.col("n_valued") > 0, F.col("total")).cast("double").alias("total_vendas"),
+                       F.col("n_rows").alias("n_vendas"))
+
+
+def attainment_of_sums(sales: DataFrame, targets: DataFrame, keys: Sequence[str] = ATTAINMENT_KEYS,
+                       target_col: str = "meta_valor", with_count: bool = False) -> DataFrame:
+    """``attainment`` from sales that are summed per key already (``total_vendas``, ``n_vendas``)."""
+    v = sales.alias("v")
     m = targets.groupBy(*keys).agg(money_sum(target_col).alias("meta_total")).alias("m")
     cond = [F.col(f"v.{k}") == F.col(f"m.{k}") for k in keys]
     joined = v.join(m, cond, "full_outer")

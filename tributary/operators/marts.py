@@ -34,7 +34,11 @@ def kpi_overview(actual: DataFrame, targets: DataFrame,
     needed.  Every sale is in exactly one detail row (keys of either side
     are kept by the full outer join), so the totals equal the fact's.
     """
-    detail = attainment(actual, targets, keys, with_count=True)
+    return kpi_of_detail(attainment(actual, targets, keys, with_count=True))
+
+
+def kpi_of_detail(detail: DataFrame) -> DataFrame:
+    """``kpi_overview`` from the attainment detail with its sales counts."""
     total = money_sum("total_vendas")
     target = money_sum("meta_total")
     count = F.coalesce(F.sum("n_vendas"), F.lit(0)).cast("bigint")
@@ -57,6 +61,19 @@ def monthly_vs_indicator(sales: DataFrame, indicators: DataFrame,
                       F.month(sales_date).cast("bigint").alias("mes")).agg(
         money_sum(amount).alias("total_vendas"),
         F.count(F.lit(1)).alias("n_vendas"))
+    return months_vs_indicator(s, indicators, indicator, indicator_date)
+
+
+def months_of_sums(sums: DataFrame) -> DataFrame:
+    """Maintained sums per month and store (``streaming.sums``) as sales per month."""
+    return sums.groupBy("ano", "mes").agg(
+        F.when(F.sum("n_valued") > 0, F.sum("total")).cast("double").alias("total_vendas"),
+        F.sum("n_rows").alias("n_vendas"))
+
+
+def months_vs_indicator(s: DataFrame, indicators: DataFrame, indicator: str = "dolar",
+                        indicator_date: str = "data") -> DataFrame:
+    """``monthly_vs_indicator`` from sales that are summed per month already."""
     ind = indicators.where(F.col(indicator_date).isNotNull() & F.col(indicator).isNotNull())
     i = ind.groupBy(F.year(indicator_date).cast("bigint").alias("ano"),
                     F.month(indicator_date).cast("bigint").alias("mes")).agg(

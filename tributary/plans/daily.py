@@ -1,10 +1,12 @@
-"""The daily run: ingest the three sources into bronze, then rebuild
-silver and gold.
+"""The daily run: ingest the three sources into bronze, then bring silver
+and gold up to date.
 
 Same order as the original schedule (series first, then the relational and
 file sources, then the transformation), but as one driver program that
-submits Spark jobs; every step is restartable (truncate loads and full
-gold rebuilds are idempotent, appends are absorbed by silver de-duplication).
+submits Spark jobs; every step is restartable: tables change by commits
+(``storage``), a run that is lost leaves the tables before or after a step, and
+the next one goes on from the versions that each table says it was made from.
+The first run builds gold whole, later ones follow what changed.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tributary.operators.calendar import DEFAULT_DAYS, DEFAULT_START
 from tributary.plans.erp import ErpBinding, merge_logs
-from tributary.plans.layers import Build, build_gold
+from tributary.plans.layers import Build, build_gold, refresh_gold
 from tributary.session import path_exists, size_shuffle_partitions
 from tributary.sources.files import ingest_files
 from tributary.sources.relational import ERP_TABLES, TableSpec, ingest_incremental
@@ -47,6 +49,8 @@ class DailyRun:
     stored_state: bool = True
     # Compare sources with the newest loaded cursor instead of the last run's clock.
     watermark_on_cursor: bool = False
+    # Look again this far behind the watermark for rows that were committed late.
+    late: dt.timedelta | None = None
     # Dates of the aligned series: "first_two" or "all" (see operators.series).
     key_mode: str = "first_two"
     # Calendar range; days of sales beyond it are added unless switched off.
@@ -65,7 +69,7 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
                       loaded_at)
     if run.erp_source is not None:
         ingest_incremental(spark, run.erp_source, bronze, loaded_at, ERP_TABLES,
-                           watermark_on_cursor=run.watermark_on_cursor)
+                           watermark_on_cursor=run.watermark_on_cursor, late=run.late)
     if run.landing_dir:
         ingest_files(spark, run.landing_dir, bronze, loaded_at)
     if path_exists(spark, bronze):
@@ -76,5 +80,5 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
                          calendar_start=run.calendar_start, calendar_days=run.calendar_days,
                          calendar_covers_sales=run.calendar_covers_sales,
                          stored_state=run.stored_state)
-    return build_gold(binding, run.warehouse_root, marts=run.marts, register=run.register,
-                      checks=run.checks)
+    build = refresh_gold if run.stored_state else build_gold
+    return build(binding, run.warehouse_root, marts=run.marts, register=run.register, checks=run.checks)

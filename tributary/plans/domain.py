@@ -323,6 +323,10 @@ class BenchmarkBinding:
             "stg_indicadores": silver_indicators(t),
         }
 
+    def sources(self) -> dict[str, int]:
+        """The benchmark tables have no versions: every build is a full one."""
+        return {}
+
     def sales_fact(self, silver: dict[str, DataFrame]) -> DataFrame:
         return gold_sales_fact(self.t)
 

@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from tributary.operators.calendar import DEFAULT_DAYS, DEFAULT_START, calendar
 from tributary.operators.dedup import conform_dimension
-from tributary.operators.facts import sales_fact
+from tributary.operators.facts import FACT_COLUMNS, sales_fact
 from tributary.operators.series import align_series
-from tributary.operators.staging import (parse_series, stage_customers, stage_items,
-                                         stage_products, stage_sales, stage_stores,
-                                         stage_targets)
-from tributary.session import path_exists
+from tributary.operators.staging import (CUSTOMERS_SPEC, ITEMS_SPEC, PRODUCTS_SPEC, SALES_SPEC, STORES_SPEC,
+                                         parse_series, stage_customers, stage_items, stage_products,
+                                         stage_sales, stage_stores, stage_targets)
 from tributary.sources.rest_series import SERIES
 from tributary.sources.schemas import BRONZE
-from tributary.streaming.upsert import KeyedState, stream_latest
+from tributary.storage.tables import Table, read_table, was_loaded
+from tributary.streaming.upsert import KeyedState
 
 # Fixed value: the status of a completed sale.
 COMPLETED = "concluida"
@@ -32,24 +32,33 @@ STATE_TABLES = ("erp_clientes", "erp_vendas", "erp_itens_venda")
 
 
 def log_state(spark: SparkSession, bronze_root: str, name: str) -> KeyedState:
-    """The stored newest version per id of a bronze log."""
+    """The stored newest version per id of a bronze log, with the log's columns."""
     root = bronze_root.rstrip("/")
-    schema = spark.read.parquet(f"{root}/{name}").schema
-    return KeyedState(spark, f"{root}/_state/{name}", schema, ["id"], ["_loaded_at"])
+    return KeyedState(spark, f"{root}/_state/{name}", Table(spark, f"{root}/{name}").schema(), ["id"], ["_loaded_at"])
 
 
 def merge_logs(spark: SparkSession, bronze_root: str) -> None:
     """Merge what was appended to the logs since the last run into their stored states.
 
-    A streaming pass over each log's files: its checkpoint knows which files
-    are merged, and only the key buckets that they touch are rewritten.
+    The commit of a state says up to which commit of the log it goes, so
+    nothing else has to be kept, and a state that is lost is made anew.
     """
     root = bronze_root.rstrip("/")
     for name in STATE_TABLES:
-        if path_exists(spark, f"{root}/{name}"):
-            state = log_state(spark, root, name)
-            stream_latest(spark, f"{root}/{name}", state.schema, state.root,
-                          f"{root}/_state/{name}_checkpoint", state.keys, state.order_by)
+        log = Table(spark, f"{root}/{name}")
+        if not log.exists():
+            continue
+        state = log_state(spark, root, name)
+        entry = state.head()[1]
+        done, now = entry["meta"].get("log", -1) if entry else -1, log.log.newest()
+        if now > done:
+            state.merge(log.appended_since(done), {"log": now})
+
+
+def _with_extras(spec, bronze: DataFrame, declared) -> tuple:
+    """The spec and, under their own names, the columns that the source has gained since it was declared."""
+    taken = {out for out, _, _ in spec} | set(declared.names)
+    return (*spec, *((c, c, None) for c in bronze.columns if c not in taken))
 
 
 class ErpBinding:
@@ -71,15 +80,57 @@ class ErpBinding:
     def table(self, name: str) -> DataFrame:
         """A bronze table; one that was never loaded reads as empty (with its
         declared schema), so a first run with a source missing still builds
-        every model."""
+        every model.  A table that was loaded and is gone fails."""
         path = f"{self.root}/{name}"
-        if name in BRONZE and not path_exists(self.spark, path):
+        if name in BRONZE and not was_loaded(self.spark, path):
             return self.spark.createDataFrame([], BRONZE[name])
-        if self.stored_state and name in STATE_TABLES:
-            state = log_state(self.spark, self.root, name)
-            if state.versions():
-                return state.read()
-        return self.spark.read.parquet(path)
+        if self._stored(name):
+            return log_state(self.spark, self.root, name).read()
+        return read_table(self.spark, path)
+
+    def _stored(self, name: str) -> bool:
+        return (self.stored_state and name in STATE_TABLES and Table(self.spark, f"{self.root}/{name}").exists()
+                and bool(log_state(self.spark, self.root, name).versions()))
+
+    def sources(self) -> dict[str, int]:
+        """The version of every source that models are made from."""
+        out = {}
+        for name in BRONZE:
+            number = (log_state(self.spark, self.root, name).content_version() if self._stored(name)
+                      else Table(self.spark, f"{self.root}/{name}").log.newest())
+            if number >= 0:
+                out[name] = number
+        return out
+
+    def changed_sales(self, made_from: dict[str, int]) -> tuple[DataFrame, DataFrame] | None:
+        """(sale ids, months) of the fact rows that may differ since the given versions of sales and items.
+
+        The months are those of the old and the present rows of these sales.
+        None if the changes are not known.
+        """
+        feeds = {}
+        for name in ("erp_vendas", "erp_itens_venda"):
+            if not self._stored(name) or name not in made_from:
+                return None
+            feeds[name] = log_state(self.spark, self.root, name).changes(made_from[name])
+            if feeds[name] is None:
+                return None
+        sales, items = feeds["erp_vendas"], feeds["erp_itens_venda"]
+        ids = (sales.select(F.col("id").alias("venda_id"))
+               .unionByName(items.select(F.col("new.venda_id").alias("venda_id")))
+               .unionByName(items.select(F.col("old.venda_id").alias("venda_id")))
+               .where(F.col("venda_id").isNotNull()).distinct())
+        now = log_state(self.spark, self.root, "erp_vendas").lookup(ids.withColumnRenamed("venda_id", "id"))
+        moments = now.select("data_venda").unionByName(sales.select(F.col("old.data_venda").alias("data_venda")))
+        day = F.to_date(F.col("data_venda").cast("timestamp"))
+        months = moments.select(F.year(day).cast("bigint").alias("ano"), F.month(day).cast("bigint").alias("mes")).distinct()
+        return ids, months
+
+    def fact_of(self, ids: DataFrame) -> DataFrame:
+        """The fact rows of some sales: their stored rows are looked up, only their items are joined."""
+        sales = log_state(self.spark, self.root, "erp_vendas").lookup(ids.select(F.col("venda_id").alias("id")))
+        items = self.table("erp_itens_venda").join(ids, "venda_id", "left_semi")
+        return sales_fact(stage_sales(sales, completed=self.completed), stage_items(items)).select(*FACT_COLUMNS)
 
     def indicators(self) -> DataFrame:
         bronze = self.table("series")
@@ -89,13 +140,16 @@ class ErpBinding:
 
     def silver(self) -> dict[str, DataFrame]:
         """Every silver model as a lazy chain ``bronze.transform(stager)``."""
+        def staged(name: str, stager, spec, **options) -> DataFrame:
+            bronze = self.table(name)
+            return bronze.transform(stager, spec=_with_extras(spec, bronze, BRONZE[name]), **options)
+
         return {
-            "stg_erp_vendas": self.table("erp_vendas").transform(
-                stage_sales, completed=self.completed),
-            "stg_erp_itens_venda": self.table("erp_itens_venda").transform(stage_items),
-            "stg_erp_clientes": self.table("erp_clientes").transform(stage_customers),
-            "stg_erp_lojas": self.table("erp_lojas").transform(stage_stores),
-            "stg_erp_produtos": self.table("erp_produtos").transform(stage_products),
+            "stg_erp_vendas": staged("erp_vendas", stage_sales, SALES_SPEC, completed=self.completed),
+            "stg_erp_itens_venda": staged("erp_itens_venda", stage_items, ITEMS_SPEC),
+            "stg_erp_clientes": staged("erp_clientes", stage_customers, CUSTOMERS_SPEC),
+            "stg_erp_lojas": staged("erp_lojas", stage_stores, STORES_SPEC),
+            "stg_erp_produtos": staged("erp_produtos", stage_products, PRODUCTS_SPEC),
             "stg_metas": self.table("files_metas_vendas").transform(stage_targets),
             "stg_indicadores": self.indicators(),
         }
@@ -114,12 +168,28 @@ class ErpBinding:
         """Every sale id ever loaded (all versions, any status)."""
         return self.table("erp_vendas").select(F.col("id").alias("venda_id"))
 
-    def calendar(self) -> DataFrame:
-        """The configured days, and those up to the first and last sale beyond them."""
+    def calendar_range(self) -> tuple[dt.date, dt.date]:
+        """The configured days, and those up to the first and last sale beyond them.
+
+        The log's commit knows its first and last day of sale; only a log
+        without these statistics is read.
+        """
         start = dt.date.fromisoformat(str(self.calendar_start))
         end = start + dt.timedelta(days=self.calendar_days - 1)
         if self.calendar_covers_sales:
-            day = F.to_date(F.substring(F.col("data_venda").cast("string"), 1, 10))
-            low, high = self.table("erp_vendas").select(F.min(day), F.max(day)).first()
+            found = Table(self.spark, f"{self.root}/erp_vendas").extremes("data_venda")
+            if found:
+                low, high = (dt.date.fromisoformat(str(x)[:10]) for x in found)
+            else:
+                day = F.to_date(F.substring(F.col("data_venda").cast("string"), 1, 10))
+                low, high = self.table("erp_vendas").select(F.min(day), F.max(day)).first()
             start, end = min(start, low or start), max(end, high or end)
+        return start, end
+
+    def calendar(self) -> DataFrame:
+        start, end = self.calendar_range()
         return calendar(self.spark, start, (end - start).days + 1)
+
+    def calendar_lacks(self, stored: DataFrame) -> bool:
+        """Whether the stored calendar is another one than ``calendar`` gives."""
+        return tuple(stored.select(F.min("data"), F.max("data")).first()) != self.calendar_range()

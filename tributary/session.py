@@ -191,34 +191,6 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(make(path), True)
 
 
-def staged_path(path: str) -> str:
-    """A new folder beside ``path`` to write its next content to; readers of the parent skip it."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_staged_{name}_{uuid.uuid4().hex}"
-
-
-def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
-    """Publish the finished folder ``staged`` as ``path`` and keep what was there.
-
-    Called after the write succeeded, so a failing load leaves ``path`` as it
-    was.  The content before stays under ``_previous/<name>`` beside it until
-    the next replacement.
-    """
-    path = path.rstrip("/")
-    parent, _, name = path.rpartition("/")
-    fs, make = _hadoop(spark, path)
-    previous = f"{parent}/_previous/{name}"
-    if fs.exists(make(path)):
-        fs.delete(make(previous), True)
-        fs.mkdirs(make(f"{parent}/_previous"))
-        if not fs.rename(make(path), make(previous)):
-            raise OSError(f"could not set aside {path}")
-    if not fs.rename(make(staged), make(path)):
-        fs.rename(make(previous), make(path))
-        raise OSError(f"could not publish {staged} as {path}")
-    spark.catalog.refreshByPath(path)
-
-
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size on storage of the files under ``paths``."""
     try:

@@ -10,17 +10,20 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.dates import iso_date_text, iso_text
 from tributary.functions.numeric import (coerce_double, coerce_kind, coerce_long,
                                          comma_decimal)
-from tributary.session import replace_folder, staged_path
+from tributary.storage.tables import Table, Written
 
 AUDIT_COLUMNS = ("_loaded_at", "_source")
 
+#: Small loads of an append log that are put together.
+COMPACT_LOADS = 16
+
 log = logging.getLogger(__name__)
 
 
@@ -83,52 +86,44 @@ class LoadResult:
     written: bool
 
 
-def _observed_write(df: DataFrame, path: str, mode: str, fmt: str,
-                    partition_by: list[str] | None, skip_empty: bool,
-                    options: dict[str, str] | None,
-                    cluster_by: list[str] | None = None) -> LoadResult:
-    if skip_empty and df.isEmpty():
-        log.info("%s: nothing to load", path)
-        return LoadResult(path, 0, False)
-    if cluster_by:
-        # Rows sorted by the cursor inside each file: Parquet min/max
-        # statistics then let later cursor filters skip whole row groups.
-        df = df.sortWithinPartitions(*cluster_by)
-    obs = Observation("load")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    # A replaced table is written beside the old one and swapped in when the
-    # write has succeeded: a load that fails midway leaves the old table.
-    target = staged_path(path) if mode == "overwrite" else path
-    writer = observed.write.mode("error" if mode == "overwrite" else mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    for k, v in (options or {}).items():
-        writer = writer.option(k, v)
-    writer.save(target)
-    rows = int(obs.get["rows"])
-    if target != path:
-        replace_folder(df.sparkSession, target, path)
-    log.info("%s: %d rows loaded (%s)", path, rows, mode)
-    return LoadResult(path, rows, True)
-
-
-def write_truncate(df: DataFrame, path: str, fmt: str = "parquet",
-                   partition_by: list[str] | None = None, skip_empty: bool = False,
-                   options: dict[str, str] | None = None,
+def _result(path: str, written: Written, mode: str) -> LoadResult:
+    log.info("%s: %d rows loaded (%s)", path, written.rows, mode) if written.number is not None else log.info(
+        "%s: nothing to load", path)
+    return LoadResult(path, written.rows, written.number is not None)
+
+
+def _clustered(df: DataFrame, cluster_by: list[str] | None) -> DataFrame:
+    # Rows sorted by the cursor inside each file: Parquet min/max
+    # statistics then let later cursor filters skip whole row groups.
+    return df.sortWithinPartitions(*cluster_by) if cluster_by else df
+
+
+def write_truncate(df: DataFrame, path: str, partition_by: list[str] | None = None, skip_empty: bool = False,
                    cluster_by: list[str] | None = None) -> LoadResult:
-    """Replace the table at ``path`` (truncate-load) and report the row count."""
-    return _observed_write(df, path, "overwrite", fmt, partition_by, skip_empty, options,
-                           cluster_by)
+    """Replace the table published at ``path`` (truncate-load) and report the row count.
+
+    The source is read once: rows are counted as they are written, and a load
+    without rows is dropped afterwards with ``skip_empty``.  A load that fails
+    or is lost leaves the table as it was (``storage.tables``).
+    """
+    table = Table(df.sparkSession, path)
+    return _result(path, table.replace(_clustered(df, cluster_by), partition_by or (), skip_empty=skip_empty), "truncate")
 
 
-def write_append(df: DataFrame, path: str, fmt: str = "parquet",
-                 partition_by: list[str] | None = None, skip_empty: bool = True,
-                 options: dict[str, str] | None = None,
-                 cluster_by: list[str] | None = None) -> LoadResult:
-    """Append a batch to the table at ``path``; an empty batch writes nothing.
+def write_append(df: DataFrame, path: str, cluster_by: list[str] | None = None,
+                 stats: list[str] | None = None, compact: bool = True) -> LoadResult:
+    """Append a batch to the log published at ``path``; an empty batch writes nothing.
 
     ``cluster_by`` sorts rows within each written file (the extraction's
-    ``ORDER BY cursor`` becomes file clustering; a table keeps no order).
+    ``ORDER BY cursor`` becomes file clustering; a table keeps no order); its
+    first column, the load stamp and ``stats`` are kept as smallest and largest
+    value per load, so that reads above a cursor skip whole loads.  Small loads
+    are put together once there are some.  A column that is new in the batch
+    becomes a column of the log; one of a type that does not fit is refused.
     """
-    return _observed_write(df, path, "append", fmt, partition_by, skip_empty, options,
-                           cluster_by)
+    table = Table(df.sparkSession, path)
+    columns = [c for c in dict.fromkeys([*(cluster_by or [])[:1], AUDIT_COLUMNS[0], *(stats or [])]) if c in df.columns]
+    done = table.append(_clustered(df, cluster_by), stats=columns)
+    if compact and cluster_by and done.number is not None:
+        table.compact(cluster_by[0], least=COMPACT_LOADS)
+    return _result(path, done, "append")

@@ -9,6 +9,7 @@ no order, so the source's ``ORDER BY`` is dropped.
 
 from __future__ import annotations
 
+import datetime as dt
 import inspect
 from dataclasses import dataclass
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.dates import EPOCH_TEXT, iso_text
-from tributary.session import path_exists
 from tributary.sources.bronze import LoadResult, normalise_types, with_audit, write_append
+from tributary.storage.tables import Table, read_table, was_loaded
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,8 @@ class TableSpec:
     name: str
     cursor: str
     key: str = "id"
+    # Columns besides the cursor whose smallest and largest value each load keeps.
+    stats: tuple[str, ...] = ()
 
 
 # The five ERP tables, their cursor column and key, in load order.
@@ -35,7 +38,7 @@ ERP_TABLES = (
     TableSpec("clientes", "updated_at"),
     TableSpec("lojas", "created_at"),
     TableSpec("produtos", "created_at"),
-    TableSpec("vendas", "updated_at"),
+    TableSpec("vendas", "updated_at", stats=("data_venda",)),
     TableSpec("itens_venda", "created_at"),
 )
 
@@ -65,9 +68,11 @@ def watermark_or_epoch(spark: SparkSession, bronze_path: str,
     Only a missing table falls back to the epoch (full load); any other
     error propagates instead of silently re-appending everything.
     """
-    if not path_exists(spark, bronze_path):
+    if not was_loaded(spark, bronze_path):
         return EPOCH_TEXT
-    return high_water_mark(spark.read.parquet(bronze_path), column).first()["watermark"]
+    # A log's commit knows the largest value of each load; no file is opened.
+    known = Table(spark, bronze_path).largest(column)
+    return known if isinstance(known, str) else high_water_mark(read_table(spark, bronze_path), column).first()["watermark"]
 
 
 def incremental_extract(source: DataFrame, cursor: str, since: str,
@@ -88,6 +93,31 @@ def incremental_extract(source: DataFrame, cursor: str, since: str,
     return with_audit(normalise_types(rows), loaded_at, source_tag)
 
 
+def earlier(since: str, by: dt.timedelta) -> str:
+    """ISO text of the moment ``by`` before ``since``; not before the epoch."""
+    moment = dt.datetime.fromisoformat(since) - by
+    return max(moment.isoformat(), EPOCH_TEXT)
+
+
+def late_rows(source: DataFrame, spec: TableSpec, since: str, late: dt.timedelta, loaded_at: str,
+              source_tag: str, log: Table) -> DataFrame:
+    """Rows after ``since``, and those up to ``late`` before it that the log does not hold yet.
+
+    A row that was committed late, or whose clock was behind, has a cursor
+    below the watermark.  Rows of the overlap are compared with the (key,
+    cursor) pairs the log has from there on, so each arrives once; loads that
+    end before the overlap are not opened.  Both sides of the comparison are as
+    long as the overlap, not as the table; rows beyond the watermark are not
+    compared if the watermark is the log's largest cursor.
+    """
+    low = earlier(since, late)
+    rows = incremental_extract(source, spec.cursor, low, loaded_at, source_tag)
+    held = log.read_above(spec.cursor, low).select(
+        F.col(spec.key).alias("__key"), F.col(spec.cursor).alias("__cursor")).distinct()
+    return rows.join(held, F.col(spec.key).eqNullSafe(F.col("__key")) & (F.col(spec.cursor) == F.col("__cursor")),
+                     "left_anti")
+
+
 def read_jdbc_table(spark: SparkSession, url: str, table: str, key: str,
                     lower: int, upper: int, num_partitions: int,
                     properties: dict[str, str] | None = None) -> DataFrame:
@@ -147,7 +177,8 @@ def jdbc_source(spark: SparkSession, url: str, properties: dict[str, str] | None
 
 def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
                        loaded_at: str, tables=ERP_TABLES, source_prefix: str = "erp",
-                       watermark_on_cursor: bool = False) -> dict[str, LoadResult]:
+                       watermark_on_cursor: bool = False,
+                       late: dt.timedelta | None = None) -> dict[str, LoadResult]:
     """Load every table's new rows into ``<bronze_root>/erp_<table>`` (append).
 
     ``read_source(spec) -> DataFrame`` returns the source table (JDBC, files,
@@ -157,7 +188,9 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
     clock), compared with the source's cursor column, as in the original
     loader.  That misses rows whose cursor is older than the previous run's
     clock (late commits, clock skew); ``watermark_on_cursor=True`` uses the
-    largest loaded *cursor* value instead.
+    largest loaded *cursor* value instead.  With ``late``, rows whose cursor
+    lies up to that far behind the watermark are looked at again, and those
+    that are not in the log yet are loaded (``late_rows``).
     """
     results = {}
     for spec in tables:
@@ -165,10 +198,14 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
         since = watermark_or_epoch(spark, path,
                                    spec.cursor if watermark_on_cursor else "_loaded_at")
         takes_since = len(inspect.signature(read_source).parameters) > 1
-        source = read_source(spec, since) if takes_since else read_source(spec)
-        batch = incremental_extract(source, spec.cursor, since, loaded_at,
-                                    f"{source_prefix}.{spec.name}")
-        results[spec.name] = write_append(batch, path, cluster_by=[spec.cursor])
+        asked = since if late is None else earlier(since, late)
+        source = read_source(spec, asked) if takes_since else read_source(spec)
+        tag = f"{source_prefix}.{spec.name}"
+        if late is not None and since != EPOCH_TEXT:
+            batch = late_rows(source, spec, since, late, loaded_at, tag, Table(spark, path))
+        else:
+            batch = incremental_extract(source, spec.cursor, since, loaded_at, tag)
+        results[spec.name] = write_append(batch, path, cluster_by=[spec.cursor], stats=list(spec.stats))
     return results
 
 

@@ -1,118 +1,373 @@
-"""Incremental maintenance: merge new bronze batches into the current state.
-
-* ``KeyedState``: newest version per key, stored in buckets of the key's hash.
-  A batch rewrites the buckets its keys fall in and no others; a manifest per
-  version says which folder holds which bucket, and the newest complete
-  manifest is the current version.  The result equals de-duplicating the whole
-  history, because the newest row of a union is the newest of the per-part
-  newest rows; there is one path whatever the sizes.
-* ``stream_latest``: the same, driven by Structured Streaming over the bronze
-  folder (``availableNow`` trigger, ``foreachBatch``); a replayed batch merges
-  into the same base version again, so the sink is idempotent.
-* ``refresh_partitions``: rewrite only the partitions of a fact that changed
-  keys had or have now.
-
-Nothing is written over a folder that is being read.
+"""Newest version per key of a change log, kept up to date by small writes.
+
+``KeyedState`` stores the newest row of each key in buckets of the key's hash.
+The directory of buckets is that of extendible hashing: a bucket is named by
+the leading bits of the hash, and one whose files pass ``bucket_bytes`` is
+split by the next bit.  A batch is compared with the stored rows of its keys;
+only rows that change are written, as one more layer of their bucket, and the
+newest layer that has a key holds its row.  Layers are merged by size tiers,
+within a budget per batch, so that a batch writes in proportion to itself
+however large the state is.
+
+Every change is a commit of an ordered log (``storage.commits``).  Versions are
+numbers of that log: a caller's batch numbers play no part, and a writer that
+finds another's commit under its number compares its batch anew with what is
+stored now.  Merging a batch twice changes nothing the second time.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tributary.operators.dedup import latest_version
-from tributary.session import delete_folder, list_folder, scratch_path
+from tributary.operators.dedup import latest_version, version_order
+from tributary.session import delete_folder, input_bytes, list_folder, scratch_path
+from tributary.storage.commits import CommitConflict, CommitLog
+from tributary.storage.tables import NULL_PARTITION, Table, Written, aligned, merge_schema
 
-BUCKETS = 16
-BUCKET = "__bucket"
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: A bucket whose files pass this size is split; in states of less than 128 such buckets, a 128th of the state's size.
+BUCKET_BYTES = 64 << 20
+LEAST_BUCKET_BYTES = 1 << 20
+#: A layer is merged with those after it when it is at most so many times their size.
+TIER_RATIO = 4
+#: Layers that are merged at least, unless the oldest one is among them.
+TIER_LAYERS = 4
+#: Share of the state's bytes that the merging of layers may write per batch.
+BUDGET = 0.01
+#: Merging in a small state costs little; so many bytes may be written whatever the share.
+LEAST_BUDGET = 2 << 20
+
+BUCKET, VERSION, SLOT = "__bucket", "__version", "__slot"
+
+
+@dataclass
+class Merged:
+    """What a batch did: its version (None if nothing changed), the rows that changed, the buckets they are in."""
+
+    version: int | None
+    rows: int
+    buckets: list[str]
+
+
+def same_keys(columns: Sequence[str], prefix: str = "__r_") -> Column:
+    match = F.lit(True)
+    for c in columns:
+        match = match & F.col(c).eqNullSafe(F.col(prefix + c))
+    return match
+
+
+def within(df: DataFrame, other: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` that agree (NULL-safely) with a row of ``other`` in ``columns``, or do not (left_anti)."""
+    renamed = other.select(*[F.col(c).alias(f"__r_{c}") for c in columns])
+    return df.join(renamed, same_keys(columns), how)
 
 
 class KeyedState:
-    """The newest version of each key under ``root``, by buckets of the key's hash.
+    """The newest version of each key under ``root``.
 
-    ``buckets`` is fixed when the state is first written.  Keys are compared
-    NULL-safely (rows without a key share one).  Versions older than the
-    ``keep`` newest are deleted with the folders that only they name.
+    Keys are compared NULL-safely (rows without a key share one).  A batch may
+    have columns the state lacks or the other way round; ``schema`` and the
+    stored one are merged by name (``storage.tables.merge_schema``).  Files and
+    change feeds that only commits before the ``keep`` newest name are deleted.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str],
                  order_by: Sequence[Column | str], tiebreak: Sequence[Column | str] | None = None,
-                 buckets: int = BUCKETS, keep: int = 2):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+                 bucket_bytes: int = BUCKET_BYTES, keep: int = 8):
+        self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.order_by, self.tiebreak = list(keys), order_by, tiebreak
-        self.buckets, self.keep = buckets, keep
+        self.bucket_bytes, self.keep = bucket_bytes, keep
+        self.log = CommitLog(spark, self.root)
+        head = self.head()[1]
+        self.schema = schema if head is None else merge_schema(StructType.fromJson(json.loads(head["schema"])), schema)
+
+    # ------------------------------------------------------------------ reading
+
+    def head(self) -> tuple[int, dict | None]:
+        number = self.log.newest()
+        return number, self.log.entry(number) if number >= 0 else None
 
     def versions(self) -> list[int]:
-        """Complete versions, ascending."""
-        names = [n for n in list_folder(self.spark, f"{self.root}/manifest") if n[:1] == "v" and n[1:].isdigit()]
-        return sorted(int(n[1:]) for n in names
-                      if "_SUCCESS" in list_folder(self.spark, f"{self.root}/manifest/{n}"))
-
-    def manifest(self, version: int) -> dict[int, str]:
-        """Bucket -> folder; one entry per bucket."""
-        rows = self.spark.read.schema("bucket int, folder string").json(f"{self.root}/manifest/v{version}")
-        return {r["bucket"]: r["folder"] for r in rows.collect()}
-
-    def _read(self, folders: Sequence[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{f}" for f in folders])
+        """Versions that can be read, ascending."""
+        return self.log.numbers()[-self.keep:]
+
+    def _stored(self) -> StructType:
+        return StructType(self.schema.fields + [StructField(VERSION, LongType())])
+
+    def _files(self, layers: Sequence[dict]) -> DataFrame:
+        """The rows of some layers, with the version that wrote each."""
+        if not layers:
+            return self.spark.createDataFrame([], self._stored())
+        return self.spark.read.schema(self._stored()).parquet(*[f"{self.root}/{x['path']}" for x in layers])
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The state as of ``version`` (default: the current one); empty if there is none."""
-        if version is None:
-            known = self.versions()
-            if not known:
-                return self._read([])
-            version = known[-1]
-        return self._read(sorted(self.manifest(version).values()))
-
-    def merge(self, batch: DataFrame, version: int) -> list[int]:
-        """Write version ``version``: the version before it with ``batch``; returns the buckets rewritten."""
-        before = [v for v in self.versions() if v < version]
-        base = self.manifest(before[-1]) if before else {}
-        bucketed = batch.select(*self.schema.names).withColumn(
-            BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-        # At most ``buckets`` numbers.
-        touched = sorted(r[0] for r in bucketed.select(BUCKET).distinct().collect())
-        old = self._read([base[b] for b in touched if b in base]).withColumn(
-            BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-        # Keys are grouped with their bucket, which they determine: one shuffle by key.
-        newest = latest_version(old.unionByName(bucketed), [BUCKET, *self.keys], self.order_by, self.tiebreak)
-        folder = f"data/v{version}-{uuid.uuid4().hex}"
-        if touched:
-            newest.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
-        now = {**base, **{b: f"{folder}/{BUCKET}={b}" for b in touched}}
-        (self.spark.createDataFrame(sorted(now.items()), "bucket int, folder string").coalesce(1)
-         .write.mode("overwrite").json(f"{self.root}/manifest/v{version}"))
+        """The state as of ``version`` (default: the newest); empty if there is none.
+
+        Rows of the oldest layers are taken where no later layer has their
+        key; the later layers, a fraction of the state, are ranked by version.
+        """
+        number = self.log.newest() if version is None else version
+        if number < 0:
+            return self.spark.createDataFrame([], self.schema)
+        layers = self.log.entry(number)["layers"]
+        oldest, later = _split_layers(layers)
+        rows = self._files(oldest)
+        if later:
+            newest = self._newest(self._files(later))
+            rows = within(rows, newest, self.keys, "left_anti").unionByName(newest)
+        return rows.drop(VERSION)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return latest_version(rows, self.keys, [VERSION], [])
+
+    def content_version(self) -> int:
+        """The version that last changed rows; merging layers does not."""
+        entry = self.head()[1]
+        return -1 if entry is None else entry["content"]
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The stored rows of some keys (a frame that has the key columns); only their buckets are read."""
+        entry = self.head()[1]
+        if entry is None:
+            return self.spark.createDataFrame([], self.schema)
+        held = self._with_bucket(keys.select(*self.keys), entry["directory"])
+        return self.rows_of(keys, entry, [r[0] for r in held.select(BUCKET).distinct().collect()])
+
+    def rows_of(self, keys: DataFrame, entry: dict, buckets: Sequence[str]) -> DataFrame:
+        """The stored rows of some keys, reading the given buckets only."""
+        chosen = set(buckets)
+        found = self._files([x for x in entry["layers"] if x["bucket"] in chosen])
+        return self._newest(within(found, keys, self.keys)).drop(VERSION)
+
+    def changes(self, after: int) -> DataFrame | None:
+        """What changed since version ``after``: key columns, ``old`` and ``new`` row (structs; old is NULL for new keys).
+
+        One row per key that changed, however often: its row as of ``after``
+        and its row now.  None if that is not known, because the state began
+        later or the commits in between are not kept any more.
+        """
+        numbers = self.log.numbers()
+        if not numbers or after + 1 < numbers[0]:
+            return None
+        entries = [self.log.entry(n) for n in numbers if n > after]
+        if any(e.get("first") for e in entries):
+            return None
+        paths = [f"{self.root}/{e['feed']}" for e in entries if e.get("feed")]
+        if not paths:
+            return self.spark.createDataFrame([], self._feed_schema()).drop(VERSION)
+        feed = self.spark.read.schema(self._feed_schema()).parquet(*paths)
+        if len(paths) == 1:
+            return feed.drop(VERSION)
+        return feed.groupBy(*self.keys).agg(F.min_by("old", VERSION).alias("old"), F.max_by("new", VERSION).alias("new"))
+
+    def _feed_schema(self) -> StructType:
+        by_name = {f.name: f for f in self.schema.fields}
+        return StructType([by_name[k] for k in self.keys] + [
+            StructField("old", self.schema), StructField("new", self.schema), StructField(VERSION, LongType())])
+
+    # ------------------------------------------------------------------ writing
+
+    def _with_bucket(self, df: DataFrame, directory: Sequence[str]) -> DataFrame:
+        """Add the bucket whose name the key's hash begins with; ``directory`` is small: the names of all buckets."""
+        depth = max(map(len, directory))
+        if depth == 0:
+            return df.withColumn(BUCKET, F.lit(""))
+        slot = F.shiftrightunsigned(F.xxhash64(*self.keys), 64 - depth)
+        slots = self.spark.createDataFrame(
+            [(i, name) for name in directory
+             for i in range(int(name or "0", 2) << (depth - len(name)), (int(name or "0", 2) + 1) << (depth - len(name)))],
+            StructType([StructField(SLOT, LongType()), StructField(BUCKET, StringType())]))
+        return df.withColumn(SLOT, slot).join(slots, SLOT).drop(SLOT)
+
+    def _limit(self, total: int) -> int:
+        return min(self.bucket_bytes, max(LEAST_BUCKET_BYTES, total // 128))
+
+    def _first_directory(self, total: int) -> list[str]:
+        depth = max(0, math.ceil(math.log2(max(1, total / self._limit(total)))))
+        return [format(i, f"0{depth}b") if depth else "" for i in range(1 << depth)]
+
+    def _write(self, rows: DataFrame, folder: str, buckets: Sequence[str], since: int) -> list[dict]:
+        """One file set per bucket under ``folder``; their layers."""
+        path = f"{self.root}/{folder}"
+        (rows.select(*self.schema.names, VERSION, BUCKET).hint("rebalance", BUCKET)
+         .write.partitionBy(BUCKET).parquet(path))
+        have = {n.split("=", 1)[1] for n in list_folder(self.spark, path) if n.startswith(f"{BUCKET}=")}
+        out = []
+        for b in buckets:
+            name = b or NULL_PARTITION  # the one bucket of a small state
+            if name in have:
+                where = f"{folder}/{BUCKET}={name}"
+                out.append({"bucket": b, "path": where, "bytes": input_bytes(self.spark, [f"{self.root}/{where}"]), "since": since})
+        return out
+
+    def merge(self, batch: DataFrame, meta: dict | None = None, tries: int = 20) -> Merged:
+        """Merge ``batch`` into the state; whatever else is committed meanwhile, no row is lost.
+
+        ``meta`` is kept with the commit, for example up to where a source was read.
+        """
+        self.schema = merge_schema(self.schema, batch.schema)
+        work = scratch_path(self.spark, "upsert")
+        candidates = latest_version(aligned(batch, self.schema), self.keys, self.order_by, self.tiebreak)
+        candidates.write.parquet(f"{work}/candidates")
+        candidates = self.spark.read.schema(self.schema).parquet(f"{work}/candidates")
+        for _ in range(tries):
+            number, entry = self.head()
+            feed = None
+            if entry is None:
+                directory = self._first_directory(input_bytes(self.spark, [f"{work}/candidates"]))
+                rows = self._with_bucket(candidates, directory)
+            else:
+                self.schema = merge_schema(StructType.fromJson(json.loads(entry["schema"])), self.schema)
+                directory = entry["directory"]
+                feed = f"feed/{uuid.uuid4().hex}"
+                self._changed(candidates, entry).withColumn(VERSION, F.lit(number + 1).cast("long")).write.parquet(
+                    f"{self.root}/{feed}")
+                rows = self.spark.read.schema(StructType([*self._feed_schema().fields, StructField(BUCKET, StringType())])
+                                              ).parquet(f"{self.root}/{feed}").select("new.*", BUCKET)
+            counts = {r[0]: r[1] for r in rows.groupBy(BUCKET).count().collect()}  # one row per bucket
+            if not counts:
+                if feed:
+                    delete_folder(self.spark, f"{self.root}/{feed}")
+                if entry is not None and (not meta or meta == entry["meta"]):
+                    delete_folder(self.spark, work)
+                    return Merged(None, 0, [])
+            layers = self._write(rows.withColumn(VERSION, F.lit(number + 1).cast("long")), f"data/{uuid.uuid4().hex}",
+                                 sorted(counts), number + 1) if counts else []
+            made = {"op": "merge", "first": entry is None, "schema": self.schema.json(), "directory": directory,
+                    "feed": feed if counts else None,
+                    "content": number + 1 if counts or entry is None else entry["content"], "layers": (entry["layers"] if entry else []) + layers,
+                    "meta": meta or (entry or {}).get("meta", {})}
+            try:
+                self.log.put(number + 1, made)
+            except CommitConflict:
+                # The state is another one now: what this attempt wrote is not named by any commit.
+                for path in {feed, *(x["path"].rsplit("/", 1)[0] for x in layers)} - {None}:
+                    delete_folder(self.spark, f"{self.root}/{path}")
+                continue
+            delete_folder(self.spark, work)
+            self._upkeep(sum(x["bytes"] for x in layers))
+            return Merged(number + 1, sum(counts.values()), sorted(counts))
+        raise CommitConflict(f"{self.root}: other writers kept committing")
+
+    def _changed(self, candidates: DataFrame, entry: dict) -> DataFrame:
+        """The candidates that are newer than the stored rows of their keys: (keys, old, new, bucket)."""
+        held = self._with_bucket(candidates, entry["directory"])
+        touched = [r[0] for r in held.select(BUCKET).distinct().collect()]  # one name per bucket
+        row = F.struct(*[F.col(f"`{n}`") for n in self.schema.names])
+        stored = self.rows_of(candidates, entry, touched).withColumn("__given", F.lit(0))
+        union = stored.unionByName(candidates.withColumn("__given", F.lit(1)))
+        order = version_order(union.drop("__given"), self.keys, self.order_by, self.tiebreak)
+        # Two rows a key at most; of equal rows the stored one is first, so a repeated batch changes nothing.
+        w = Window.partitionBy(*self.keys)
+        newer = (union.withColumn("old", F.first(F.when(F.col("__given") == 0, row), ignorenulls=True).over(w))
+                 .withColumn("__rn", F.row_number().over(w.orderBy(*order, "__given")))
+                 .where((F.col("__rn") == 1) & (F.col("__given") == 1)).drop("__rn", "__given"))
+        return self._with_bucket(newer.select(*self.keys, "old", row.alias("new")), entry["directory"])
+
+    # ------------------------------------------------------------------ upkeep
+
+    def _upkeep(self, written: int) -> None:
+        """Merge layers and split buckets within the budget of a batch, then forget old commits."""
+        number, entry = self.head()
+        total = sum(x["bytes"] for x in entry["layers"])
+        budget = max(LEAST_BUDGET, int(BUDGET * total), 2 * written)
+        runs: dict[str, list[dict]] = {}
+        cost = 0
+        for bucket, run in sorted(_tiers(entry["layers"], self._limit(total)).items(), key=lambda kv: (-len(kv[1]), kv[0])):
+            size = sum(x["bytes"] for x in run)
+            if cost + size <= budget:
+                runs[bucket], cost = run, cost + size
+        if runs:
+            self._rewrite(entry, runs, self._limit(total))
         self._clean()
-        return touched
+
+    def _rewrite(self, entry: dict, runs: dict[str, list[dict]], limit: int) -> None:
+        """Replace the layers of each run by one; a bucket that is too large by those of its two halves."""
+        by_bucket = _by_bucket(entry["layers"])
+        names = list(entry["directory"])
+        split = {b for b, run in runs.items() if len(run) == len(by_bucket[b]) and sum(x["bytes"] for x in run) > limit}
+        for b in split:
+            names.remove(b)
+            names += [b + "0", b + "1"]
+        rows = self._newest(self._files([x for run in runs.values() for x in run]))
+        made = self._write(self._with_bucket(rows, names), f"data/{uuid.uuid4().hex}", sorted(names),
+                           max(x["since"] for run in runs.values() for x in run))
+        taken = {x["path"] for run in runs.values() for x in run}
+        for _ in range(20):
+            number, now = self.head()
+            same = {x["path"] for x in now["layers"]}
+            later = {x["bucket"] for x in now["layers"]} - {x["bucket"] for x in entry["layers"]}
+            fresh = [x for x in now["layers"] if x["bucket"] in split and x["path"] not in taken]
+            if not taken <= same or now["directory"] != entry["directory"] or fresh or later:
+                return  # another writer has changed these buckets; their layers are merged another time
+            # A merged layer stands where its run stood: before layers that came later.
+            kept = [x for x in now["layers"] if x["path"] not in taken]
+            try:
+                self.log.put(number + 1, {**now, "op": "compact", "feed": None, "directory": names, "layers": made + kept})
+                return
+            except CommitConflict:
+                continue
 
     def _clean(self) -> None:
-        known = self.versions()
-        for version in known[:-self.keep]:
-            delete_folder(self.spark, f"{self.root}/manifest/v{version}")
-        named = {f.split("/")[1] for v in known[-self.keep:] for f in self.manifest(v).values()}
-        for name in list_folder(self.spark, f"{self.root}/data"):
-            if name not in named:
-                delete_folder(self.spark, f"{self.root}/data/{name}")
+        numbers = self.log.numbers()
+        old, kept = numbers[:-self.keep], numbers[-self.keep:]
+        if not old:
+            return
+
+        def named(ns: Sequence[int]) -> set[str]:
+            return {p for n in ns for e in [self.log.entry(n)] for p in [*(x["path"] for x in e["layers"]), e.get("feed")] if p}
+        for path in sorted(named(old) - named(kept)):
+            delete_folder(self.spark, f"{self.root}/{path}")
+        self.log.drop(kept[0])
+
+
+def _by_bucket(layers: Sequence[dict]) -> dict[str, list[dict]]:
+    """Layers per bucket, oldest first."""
+    out: dict[str, list[dict]] = {}
+    for x in sorted(layers, key=lambda x: x["since"]):
+        out.setdefault(x["bucket"], []).append(x)
+    return out
+
+
+def _split_layers(layers: Sequence[dict]) -> tuple[list[dict], list[dict]]:
+    """(the oldest layer of every bucket, all others)."""
+    grouped = _by_bucket(layers).values()
+    return [g[0] for g in grouped], [x for g in grouped for x in g[1:]]
+
+
+def _tiers(layers: Sequence[dict], bucket_bytes: int) -> dict[str, list[dict]]:
+    """Per bucket the newest layers that are worth merging: none is much larger than those after it together."""
+    out = {}
+    for bucket, group in _by_bucket(layers).items():
+        run, size = [], 0
+        for x in reversed(group):
+            if run and x["bytes"] > TIER_RATIO * size:
+                break
+            run.append(x)
+            size += x["bytes"]
+        whole = len(run) == len(group)
+        if len(run) >= TIER_LAYERS or whole and (len(run) > 1 or size > bucket_bytes):
+            out[bucket] = run
+    return out
 
 
 def incremental_upsert(batches: Sequence[DataFrame], root: str, keys: Sequence[str],
                        order_by: Sequence[Column | str],
-                       tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
-    """Apply ``batches`` one after another; return the final stored state."""
+                       tiebreak: Sequence[Column | str] | None = None, **options) -> DataFrame:
+    """Apply ``batches`` one after another to the state at ``root``; return the stored state."""
     if not batches:
         raise ValueError("no batches")
-    state = KeyedState(batches[0].sparkSession, root, batches[0].schema, keys, order_by, tiebreak)
-    for i, batch in enumerate(batches):
-        state.merge(batch, i)
+    state = KeyedState(batches[0].sparkSession, root, batches[0].schema, keys, order_by, tiebreak, **options)
+    for batch in batches:
+        state.merge(batch)
     return state.read()
 
 
@@ -131,7 +386,8 @@ def stream_latest(spark: SparkSession, bronze_dir: str, schema, state_root: str,
     merged: list[int] = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        state.merge(batch, batch_id)
+        # The stream's batch number names no version: after a lost checkpoint it begins at 0 again.
+        state.merge(batch, {"batch": batch_id, "checkpoint": checkpoint})
         merged.append(batch_id)
 
     reader = spark.readStream.schema(schema)
@@ -143,59 +399,52 @@ def stream_latest(spark: SparkSession, bronze_dir: str, schema, state_root: str,
     return query, merged, state.read()
 
 
-def _same(columns: Sequence[str], prefix: str = "__r_") -> Column:
-    match = F.lit(True)
-    for c in columns:
-        match = match & F.col(c).eqNullSafe(F.col(prefix + c))
-    return match
+@dataclass
+class Refreshed:
+    """A refreshed fact: the stored rows, and the changed keys' rows before and after (stored)."""
 
-
-def _within(df: DataFrame, other: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Rows of ``df`` that agree (NULL-safely) with a row of ``other`` in ``columns``, or do not (left_anti)."""
-    renamed = other.select(*[F.col(c).alias(f"__r_{c}") for c in columns])
-    return df.join(renamed, _same(columns), how)
+    rows: DataFrame
+    old: DataFrame
+    new: DataFrame
+    written: Written
 
 
-def refresh_partitions(rebuild: Callable[[DataFrame], DataFrame], path: str, schema: StructType,
-                       changed: DataFrame, key: str = "venda_id",
-                       partition_cols: Sequence[str] = ("ano", "mes")) -> DataFrame:
-    """Bring the stored fact at ``path`` up to date for the keys in ``changed``.
+def refresh_partitions(rebuild: Callable[[DataFrame], DataFrame], path: str, changed: DataFrame,
+                       key: str = "venda_id", had: DataFrame | None = None, meta: dict | None = None) -> Refreshed:
+    """Bring the fact published at ``path`` (``storage.tables``) up to date for the keys in ``changed``.
 
     ``rebuild(keys)`` returns the fact rows of these keys as they are now; it
     restricts its inputs to the keys before ranking them.  Touched are the
     partitions that a changed key has in the stored fact and those it has now;
     they are rewritten from the stored rows of other keys and the rebuilt rows,
-    partitions that end empty are removed, all others keep their files.  The list
-    of touched partitions (bounded by the number of partitions) is the only thing
-    that reaches the driver.
+    partitions that end empty are left out, all others keep their files.
+    ``had`` may name the partitions in which stored rows of the keys lie, so
+    that no others are searched.  The list of touched partitions (bounded by
+    the number of partitions) is the only thing that reaches the driver.
     """
     spark = changed.sparkSession
+    table = Table(spark, path)
+    base, entry = table.head()
+    if entry is None:
+        raise FileNotFoundError(f"{path} was never published")
+    by, schema = entry["partition_by"], table.schema(base)
     scratch = scratch_path(spark, "refresh")
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{scratch}/{name}")
         return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
-    names = [f.name for f in schema.fields]
+    def values(df: DataFrame) -> set[tuple]:
+        return {tuple(r) for r in df.select(*by).distinct().collect()}
+
     keys = kept(changed.select(key).dropDuplicates(), "keys")
-    fresh = kept(rebuild(keys).select(*names), "fresh")
-    current = spark.read.schema(schema).parquet(path).select(*names)
-    before = _within(current, keys, [key]).select(*partition_cols)
-    touched = [tuple(r) for r in before.union(fresh.select(*partition_cols)).distinct().collect()]
-    # As literals, so that the scan reads the touched partitions only.
-    inside = F.lit(False)
-    for values in touched:
-        one = F.lit(True)
-        for c, v in zip(partition_cols, values):
-            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-        inside = inside | one
-    others = _within(current.filter(F.coalesce(inside, F.lit(False))), keys, [key], "left_anti")
-    rows = kept(others.unionByName(fresh), "rows")
-    (rows.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-    left = {tuple(r) for r in rows.select(*partition_cols).distinct().collect()}
-    for values in set(touched) - left:
-        delete_folder(spark, "/".join([path.rstrip("/")] + [
-            f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, values)]))
-    spark.catalog.refreshByPath(path)
-    return spark.read.schema(schema).parquet(path).select(*names)
+    new = kept(rebuild(keys).select(*schema.names), "new")
+    searched = entry["parts"] if had is None else table.partitions_of(sorted(values(had), key=str), base)
+    old = kept(within(table.read(base, searched), keys, [key]), "old")
+    touched = sorted(values(old) | values(new), key=str)
+    if not touched:
+        return Refreshed(table.read(base), old, new, Written(base, 0))
+    others = within(table.read(base, table.partitions_of(touched, base)), keys, [key], "left_anti")
+    rows = others.unionByName(new).hint("rebalance", *by)
+    written = table.replace_partitions(rows, touched, base, meta)
+    return Refreshed(table.read(written.number), old, new, written)
