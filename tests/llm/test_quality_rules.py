@@ -1,6 +1,7 @@
 """Operator 2 against plain Python: counts, and expectation-maximisation row by row."""
 
 import math
+import random
 import re
 
 import pytest
@@ -89,3 +90,15 @@ def test_agrees_with_labels(spark):
     rows = Q.judge(docs).join(labels.withColumnRenamed("quality", "label"), "doc_id").collect()
     good, bad = [r.kept for r in rows if r.label == 1], [r.kept for r in rows if r.label == 0]
     assert sum(good) / len(good) > 0.9 and sum(bad) / len(bad) < 0.1
+
+
+def test_few_words_get_one_vote_at_every_length(spark):
+    """Texts shuffled from eight words: no length at which the vocabulary rule falls silent."""
+    rnd = random.Random(5)
+    words = ["lorem", "ipsum", "dolor", "amet", "magna", "aliqua", "tempor", "labore"]
+    rows = [(n, " ".join(rnd.choice(words) for _ in range(n))) for n in (60, 255, 256, 999, 1000, 1001, 20_000)]
+    varied = " ".join(f"w{i % 700}" for i in range(2000))
+    counted = Q.counts(spark.createDataFrame([*rows, (-1, varied)], "doc_id long, text string"))
+    rule = next(r for r in Q.default_rules() if r.name == "vocabulary")
+    votes = {r.doc_id: r.v for r in counted.select("doc_id", rule.vote().alias("v")).collect()}
+    assert votes == {**{n: -1 for n, _ in rows}, -1: 0}

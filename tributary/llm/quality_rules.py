@@ -124,7 +124,8 @@ def default_rules() -> list[Rule]:
         Rule("repeats", F.col("n_repeat_words") > 0.3 * words, never),
         Rule("lines", (F.col("n_lines") >= 4) & (F.col("n_dup_lines") > 0.5 * F.col("n_lines")), never),
         Rule("stutter", F.col("n_stutters") > 0.2 * words, never),
-        Rule("vocabulary", (F.col("n_distinct") < 0.25 * words) & (F.col("n_words") < 1000), never),
+        # Different words grow with the root of the length: the share asked for falls from 256 words on.
+        Rule("vocabulary", F.col("n_distinct") < F.least(0.25 * words, 4 * F.sqrt(words)), never),
         Rule("words", (length < 2) | (length > 15), (length >= 3) & (length <= 9)),
         Rule("capitals", (F.col("n_upper") > 0.5 * letters) & (F.col("n_words") >= LEAST_WORDS), never),
         Rule("marks", F.col("n_marks") > 0.2 * words, never),
