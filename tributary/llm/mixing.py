@@ -24,8 +24,10 @@ from .common import stored, text_or_empty, word_count
 WEIGHTS = (5, 2, 1)
 #: A source is seen at most so many times.
 MOST_EPOCHS = 3
-#: Slices of a source's key range; the slice that is sorted holds about this fraction of the source.
+#: Slices of a source's keys; the slice that is sorted holds about this fraction of the source.
 SLICES = 4096
+#: Classes of quality weights, each a power of ten to this fraction wide, that tell how a source's keys are spread.
+WEIGHT_CLASSES = 32
 
 
 def uniform(id_col: Column, text: Column) -> Column:
@@ -71,6 +73,25 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
                     F.when(F.col("stops"), limit).otherwise(F.col("open_level") * F.col("weight")).alias("target")))
 
 
+def sliced_keys(rows: DataFrame, slices: int = SLICES) -> DataFrame:
+    """``rows`` (source, weight, key) with the slice of each key; slices of a source rise with the key and are alike in rows.
+
+    Of documents with weight w the share exp(-w * key) has larger keys, so the
+    weights of a source say what share of it lies before a key, whatever the
+    weights are; they are counted by class.  Every step is monotone in the key.
+    """
+    at = F.least(F.lit(WEIGHT_CLASSES - 1), F.floor(F.log10(F.col("weight") * 10) * WEIGHT_CLASSES))
+    spread = rows.groupBy("source").agg(*[F.count_if(at == b).alias(f"c{b}") for b in range(WEIGHT_CLASSES)])
+    total = sum((F.col(f"c{b}") for b in range(WEIGHT_CLASSES)), F.lit(0))
+    shares = spread.select(F.col("source").alias("spread_source"), F.array(
+        *[F.col(f"c{b}") / total for b in range(WEIGHT_CLASSES)]).alias("shares"))
+    middles = F.array(*[F.lit(0.1 * 10 ** ((b + 0.5) / WEIGHT_CLASSES)) for b in range(WEIGHT_CLASSES)])
+    beyond = F.aggregate(F.zip_with("shares", middles, lambda p, w: p * F.exp(-w * F.col("key"))), F.lit(0.0), lambda t, x: t + x)
+    place = F.greatest(F.lit(0), F.least(F.lit(slices - 1), F.floor((1 - beyond) * slices)))
+    return (rows.join(shares, F.col("source").eqNullSafe(F.col("spread_source")))
+            .withColumn("slice", place).drop("spread_source", "shares", "weight"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, slices: int = SLICES) -> DataFrame:
     """(doc_id, source, text_hash, size, source_size, target, epochs) per row of ``docs``.
@@ -87,10 +108,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                        F.xxhash64(F.col(text_col)).alias("text_hash"), word_count(F.col(text_col)).alias("size"),
+                       text_quality(text).alias("weight"),
                        (-F.ln(uniform(F.col(id_col), text)) / text_quality(text)).alias("key"))
-    rows = stored(rows, "mix")  # five narrow columns; texts are read once
-    # exp(-key) falls in (0, 1) and runs against the key: slice 0 holds the smallest keys.
-    sliced = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * slices))
+    rows = stored(rows, "mix")  # six narrow columns; texts are read once
+    sliced = sliced_keys(rows, slices)
     per_slice = sliced.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     sizes = per_slice.groupBy("source").agg(F.sum("slice_size").alias("source_size"))
     goals = (targets(sizes, weights, most)
