@@ -121,10 +121,16 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     placed = narrow.withColumn("hash", F.xxhash64("text"))
     placed = placed.withColumn("bucket", _buckets(narrow.select("doc_id"), F.col("doc_id"), F.col("hash")))
     # The first row of each bucket, by (id, hash), and the bucket before it; the first of all follows the last.
-    firsts = (placed.groupBy("bucket").agg(F.min(F.struct("doc_id", "hash")).alias("first")))
-    before = F.lag("bucket").over(Window.orderBy("bucket"))
-    final = F.max("bucket").over(Window.partitionBy())
-    heads = stored(firsts.withColumn("before", F.coalesce(before, final))
+    firsts = stored(placed.groupBy("bucket").agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+                    .withColumn("part", F.shiftright("bucket", 32)), "fingerprint_firsts")
+    # The bucket before lies in the same part of the id range, or is the last one of the part before: at most
+    # ``COARSE`` parts and their null part are put in order as a whole.
+    in_part = Window.partitionBy("part").orderBy("bucket")
+    parts = firsts.groupBy("part").agg(F.max("bucket").alias("end"))
+    final = F.max("end").over(Window.partitionBy())
+    parts = parts.select(F.col("part"), F.coalesce(F.lag("end").over(Window.orderBy("part")), final).alias("part_before"))
+    heads = stored(firsts.withColumn("inside", F.lag("bucket").over(in_part)).join(parts, "part")
+                   .withColumn("before", F.coalesce("inside", "part_before"))
                    .select("before", F.col("first.doc_id").alias("head_id"), F.col("first.hash").alias("head_hash")),
                    "fingerprint_heads")
     texts = (narrow.withColumn("hash", F.xxhash64("text"))
