@@ -99,3 +99,10 @@ def test_odd_rows(spark):
     assert got[11] and not got[12] and not got[14] and not got[16] and not got[18]
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert T.dedup_lines(docs).columns == docs.columns and T.dedup_lines(docs).count() == 0
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "same line here", "x"), (2, "same line here", "y")], "doc_id long, text string, n_lines string")
+    got = T.dedup_lines(docs, marks=True)
+    assert got.columns == ["doc_id", "text", "n_lines", "n_lines_1", "n_dropped"]
+    assert sorted((r.doc_id, r.n_lines, r.n_lines_1, r.n_dropped) for r in got.collect()) == [(1, "x", 1, 0), (2, "y", 1, 1)]

@@ -76,3 +76,16 @@ def test_run_equals_the_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and got.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                                    "sequence_id", "offset"]
+
+
+def test_entry_works_whatever_is_missing(monkeypatch):
+    """A missing package or folder leaves the operators out and all other queries in."""
+    import builtins
+    real = builtins.__import__
+
+    def without(name, *args, **kwargs):
+        if name == "xxhash" or name.startswith("tributary.llm"):
+            raise ImportError(name)
+        return real(name, *args, **kwargs)
+    monkeypatch.setattr(builtins, "__import__", without)
+    assert entry._llm() == ({}, {}) and "sales_fact" in entry.queries()

@@ -75,3 +75,45 @@ def test_odd_rows(spark, learned):
     empty = X.learn(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.s for r in X.with_score(docs, empty, score_col="s").collect()} == {1 / (1 + math.exp(4.0))}
     assert X.without_toxic(docs.limit(0), lexicon).count() == 0
+
+
+def test_query_against_plain_search(spark, tmp_path):
+    """The registered query on whole tables: every score by looking up each word and each of its beginnings."""
+    from tributary.llm.queries import LLM_QUERIES
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    odd = spark.createDataFrame([(None, None), (-1, ""), (-2, "!!! 123"), (-3, None)], "doc_id long, text string")
+    for name, df in (("documents", docs.select("doc_id", "text").unionByName(odd)), ("labels", labels)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    lexicon = X.learn(docs, labels)
+    entries, exceptions = dict(lexicon.entries), {tuple(e.split()) for e in lexicon.exceptions}
+
+    def plain(text):
+        words = X.folded_words(text)
+        spared = {j for i in range(len(words) - 1) if (words[i], words[i + 1]) in exceptions for j in (i, i + 1)}
+        weights = [max((entries.get(e, 0.0) for e in (f" {w} ", *(f" {w[:n]}" for n in range(1, len(w) + 1)))), default=0.0)
+                   for i, w in enumerate(words) if i not in spared]
+        weights = [x for x in weights if x > 0]
+        n = len(words) + 10
+        x = sum(a * b for a, b in zip(lexicon.scale, (1.0, max(weights, default=0.0), sum(weights) / math.sqrt(n), 10 * sum(weights) / n)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+
+    want = sorted((str(r.doc_id), plain(r.text)) for r in docs.collect())
+    got = sorted((str(r.doc_id), r.score, r.predicted) for r in LLM_QUERIES["op4_toxicity"](spark, str(tmp_path)).collect())
+    assert [g[0] for g in got] == [w[0] for w in want]
+    for (_, score, predicted), (_, expected) in zip(got, want):
+        assert score == pytest.approx(expected, abs=1e-9) and predicted == int(score >= 0.3)
+    assert entries and any(g[1] > 0.5 for g in got)
+
+
+def test_sample_bounds_rows(spark):
+    """Rows that repeat a labelled id are one row of the sample; a column named score stays."""
+    docs = spark.createDataFrame([(1, f"nasty word {i}") for i in range(400)] + [(i, "plain text") for i in range(2, 40)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 40)], "doc_id long, toxic int")
+    lexicon = X.learn(docs, labels)          # one toxic row is too little for an entry, four hundred copies are not more
+    assert lexicon.entries == ()
+    named = docs.limit(3).withColumn("score", F.lit("kept"))
+    got = X.with_score(named, lexicon)
+    assert got.columns == ["doc_id", "text", "score", "score_1"] and {r.score for r in got.collect()} == {"kept"}

@@ -63,6 +63,13 @@ def small_batches(batches, rows: int = 128):
             yield batch.slice(at, rows)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with the first number behind it that no taken name has; case counts as Spark reads names, not at all."""
+    used = {t.lower() for t in taken}
+    names = [name, *(f"{name}_{i}" for i in range(1, len(used) + 2))]
+    return next(n for n in names if n.lower() not in used)
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import ship_package, small_batches, stored
+from .common import free_name, ship_package, small_batches, stored
 from .toxicity import fit_logistic, held_out
 
 #: Labelled documents that the classifiers see, at most; drawn by hash of the id.
@@ -143,49 +143,6 @@ def _clip(x: float) -> float:
     return max(-8.0, min(8.0, x))
 
 
-# ------------------------------------------------------------------ fitting
-
-def _gradient_logistic(x: np.ndarray, y: np.ndarray, steps: int = 150, ridge: float = 1e-4) -> np.ndarray:
-    """Logistic regression on dense rows by gradient steps with momentum; constant first."""
-    x = np.hstack([np.ones((len(x), 1), x.dtype), x])
-    w, move = np.zeros(x.shape[1], x.dtype), np.zeros(x.shape[1], x.dtype)
-    rate = np.where(y > 0.5, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum())).astype(x.dtype)  # classes weigh the same
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        move = 0.9 * move - 4.0 * (x.T @ (rate * (p - y)) + ridge * w)
-        w = w + move
-    return w
-
-
-def _predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return w[0] + x @ w[1:]
-
-
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = ROUNDS) -> tuple:
-    """Weights of both views; ``label`` is 0, 1, or -1 for the unlabelled pool."""
-    given = [label.copy(), label.copy()]  # what the text and the metadata classifier train on
-    views = (text, meta)
-    weights: list = [None, None]
-    for r in range(rounds + 1):
-        for v in (0, 1):
-            rows = given[v] >= 0
-            weights[v] = _gradient_logistic(views[v][rows], given[v][rows].astype(np.float32))
-        if r == rounds:
-            break
-        for v in (0, 1):  # view v teaches the other
-            open_ = np.flatnonzero(given[1 - v] < 0)
-            if not len(open_):
-                continue
-            odds = _predict(views[v][open_], weights[v])
-            limit = np.log(SURE / (1 - SURE))
-            many = max(1, int(SHARE * len(open_)))
-            order = np.argsort(odds, kind="stable")
-            for chosen, value in ((order[-many:], 1), (order[:many], 0)):
-                sure = chosen[odds[chosen] >= limit] if value else chosen[odds[chosen] <= -limit]
-                given[1 - v][open_[sure]] = value
-    return tuple(weights)
-
-
 # ------------------------------------------------------------------ the corpus as stored features
 
 FEATURES = "doc_id long, label int, calibrate int, places binary, vals binary, meta binary"
@@ -211,7 +168,10 @@ def featured(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_c
     """Stored features of every row of ``docs``; label is 0 or 1 in the sample, -1 without label, -2 for all others.
 
     Held out are ids whose crc32 (as text) leaves 2 when divided by 4; their
-    labels are not read.  Null ids are neither labelled nor unlabelled.
+    labels are not read.  Null ids are neither labelled nor unlabelled.  Null
+    texts, sources and languages are kinds of their own, an empty text has no
+    tokens.  Repeated rows get features each; of repeated labels of an id the
+    largest counts.  Other columns are not read.  An empty table gives none.
     """
     ship_package(docs.sparkSession)
     draw = F.xxhash64("doc_id", F.lit("cotraining"))
@@ -260,15 +220,34 @@ class _Rows:
                                                   TEXT_DIMENSIONS)])
 
 
+#: Partial sums that one task of the tree adds up, and that the driver gets at most.
+FAN_IN = 16
+
+
 def _summed(rows: DataFrame, of_batch, width: int) -> np.ndarray:
-    """Sum over all rows of ``of_batch`` (a batch to ``width`` whole numbers)."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum over all rows of ``of_batch`` (a batch to ``width`` whole numbers, so the order does not matter).
+
+    One vector per task, added up by a tree of tasks: the driver gets at most
+    ``FAN_IN`` vectors however many tasks there are.
+    """
+    def added(vectors: Iterator[np.ndarray]) -> pa.RecordBatch:
         total = np.zeros(width)
-        for batch in small_batches(batches, 2048):
-            total += of_batch(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+        for v in vectors:
+            total += v
+        return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield added(of_batch(b) for b in small_batches(batches, 2048))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield added(np.frombuffer(x.as_py()) for b in batches for x in b.column("total"))
+
+    sums, n = rows.mapInArrow(task, "total binary"), rows.rdd.getNumPartitions()
+    while n > FAN_IN:
+        n = -(-n // FAN_IN)
+        sums = sums.repartition(n).mapInArrow(join, "total binary")
     total = np.zeros(width)
-    for r in rows.mapInArrow(task, "total binary").collect():
+    for r in sums.collect():
         total += np.frombuffer(r["total"])
     return total
 
@@ -404,12 +383,25 @@ def _handed_over(batches: Iterator[pa.RecordBatch], before: list[_Round], now: _
 TAUGHT = "given0 int, given1 int, places binary, vals binary, meta binary"
 
 
+def _one_per_id(sample: DataFrame) -> DataFrame:
+    """One row of each labelled id, so that the sample's bound holds for rows: that of the smallest hash."""
+    row = ["label", "calibrate", "places", "vals", "meta"]
+    return (sample.groupBy("doc_id").agg(F.min_by(F.struct(*row), F.xxhash64("places", "vals", "meta")).alias("r"))
+            .select("doc_id", *[f"r.{c}" for c in row]))
+
+
 def learn_from(features: DataFrame) -> Model:
-    """A model from stored features: the labelled sample, and all unlabelled documents as the pool."""
+    """A model from stored features: the labelled sample, and all unlabelled documents as the pool.
+
+    Repeated rows of a labelled id count once, unlabelled ones each.  Without
+    rows of both labels, or in an empty table, both views are silent and every
+    score is a half.
+    """
     silent = Model(*((0.0,) * n for n in WIDTHS), (0.0, 0.0, 0.0))
     few = lambda df: df.repartition(max(2, features.rdd.getNumPartitions() // 8))
     pool = features.filter("label = -1").select("places", "vals", "meta")
-    train = stored(few(features.filter("label >= 0 and calibrate = 0").select(
+    sample = stored(_one_per_id(features.filter("label >= 0")), "cotraining_sample")
+    train = stored(few(sample.filter("calibrate = 0").select(
         F.col("label").alias("given0"), F.col("label").alias("given1"), "places", "vals", "meta")), "cotraining_rows")
     weights = _fit(train, [np.zeros(n) for n in WIDTHS])
     if weights is None:
@@ -428,7 +420,7 @@ def learn_from(features: DataFrame) -> Model:
         before = [*before, now]
         weights = _fit(train, weights)
     w, m = (np.round(x, 6) for x in weights)
-    kept = features.filter("calibrate = 1").select("label", "places", "vals", "meta").toArrow()
+    kept = sample.filter("calibrate = 1").select("label", "places", "vals", "meta").toArrow()
     combine, parts = (0.0, 0.5, 0.5), [(_Rows.of(b), b.column("label").to_numpy()) for b in kept.to_batches() if len(b)]
     if parts:
         x = np.concatenate([np.stack([np.ones(len(y)), np.clip(r.odds(0, w), -8, 8), np.clip(r.odds(1, m), -8, 8)], axis=1)
@@ -450,7 +442,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 
 
 def scored(features: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row of stored features."""
+    """(doc_id, score) of every row of stored features, repeated rows and null ids included."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, m = _arrays(model)
         for batch in small_batches(batches, 2048):
@@ -471,6 +463,10 @@ def score_column(model: Model, text: Column, source: Column, lang: Column) -> Co
 
 
 def with_quality(docs: DataFrame, model: Model, score_col: str = "quality_score") -> DataFrame:
-    """``docs`` with the chance that each row is of good quality; every column may be null, texts empty or long."""
+    """``docs`` with the chance that each row is of good quality; every column may be null, texts empty or long.
+
+    Rows and columns stay as they are; a column that is called ``score_col``
+    already stays too, and the chance gets the first free name with a number.
+    """
     ship_package(docs.sparkSession)
-    return docs.withColumn(score_col, score_column(model, F.col("text"), F.col("source"), F.col("lang")))
+    return docs.withColumn(free_name(score_col, docs.columns), score_column(model, F.col("text"), F.col("source"), F.col("lang")))

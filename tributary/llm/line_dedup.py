@@ -19,9 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_CLASS, stored, text_or_empty
-from .line_templates import LEADING, NO_ID, masked_tokens, without_lines
+from .common import BLANK_CLASS, free_name, stored, text_or_empty
 
+#: Leading tokens that the tree branches on.
+LEADING = 3
+#: Documents without an id count as one, after all others.
+NO_ID = (1 << 63) - 1
 #: Tokens from which one position, and from which half of the positions may vary.
 LEAST_VARIED, HALF_VARIES = 4, 16
 #: Tokens, and least and most lines, of a block; larger leaves are dealt out as pairs of blocks.
@@ -30,6 +33,12 @@ BLOCK_TOKENS, BLOCK_LEAST, BLOCK_MOST = 100_000, 32, 1000
 LEAF_BITS = 1 << 24
 
 
+def masked_tokens(line: Column) -> Column:
+    tokens = F.filter(F.split(line, BLANK_CLASS + "+"), lambda t: t != "")
+    return F.when(line.rlike("[0-9@]"), F.transform(
+        tokens, lambda t: F.when(t.rlike("[0-9@]"), F.lit("<*>")).otherwise(t))).otherwise(tokens)
+
+
 def line_tokens(line: Column) -> Column:
     tokens = F.filter(F.split(line, BLANK_CLASS + "+"), lambda t: t != "")
     fixed = F.exists(tokens, lambda t: ~t.rlike("[0-9@]"))
@@ -114,10 +123,29 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` without the lines of templates that recur in an earlier document.
 
     All rows and columns stay; a document may be left with an empty text.  With
-    ``marks`` the columns n_lines and n_dropped are added.  Rows equal in id and
+    ``marks`` the columns n_lines and n_dropped are added, under the first free
+    name with a number if ``docs`` has such a column.  Rows equal in id and
     text are one document, so are rows of one id as to what counts as several
     documents; rows without an id count as one document after all others.  Null
     and empty texts have one empty line and stay as they are.  An empty table
     gives an empty result.
     """
     return without_lines(docs, dropped_lines(docs, id_col, text_col), id_col, text_col, marks)
+
+
+def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str, marks: bool) -> DataFrame:
+    """``docs`` without the places of ``dropped`` (doc, text_hash, dropped)."""
+    found = dropped.select(
+        F.col("doc").alias("__line_doc"), F.col("text_hash").alias("__line_hash"), F.col("dropped").alias("__dropped"))
+    joined = docs.join(found, (F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == found["__line_doc"])
+                       & (F.xxhash64(docs[text_col]) == found["__line_hash"]), "left")
+    parts = F.split(F.col(text_col), "\n")
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__dropped")),
+                                    lambda i: F.get(F.col("__parts"), i)), "\n")
+    out = (joined.withColumn("__parts", F.when(F.col("__dropped").isNotNull(), parts))
+           .withColumn("__n", F.size(F.split(text_or_empty(text_col), "\n")).cast("long"))
+           .withColumn(text_col, F.when(F.col("__dropped").isNotNull(), kept).otherwise(F.col(text_col))))
+    names = [free_name(n, docs.columns) for n in ("n_lines", "n_dropped")]
+    extra = [F.col("__n").alias(names[0]),
+             F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped")).cast("long").alias(names[1])]
+    return out.select(*docs.columns, *(extra if marks else []))

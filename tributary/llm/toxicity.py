@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import ship_package
+from .common import free_name, ship_package
 
 # Letters of other alphabets that look like Latin ones (fixed values).
 HOMOGLYPHS = str.maketrans({
@@ -203,12 +203,20 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Lexicon:
-    """A lexicon from the texts of labelled documents.  Without both labels it is empty and scores alike."""
+    """A lexicon from the texts of at most ``sample`` labelled documents.
+
+    Null texts are empty ones; null ids are in no sample.  Of rows that repeat
+    an id one text counts, that of the smallest hash, so that ``sample`` bounds
+    rows.  Terms of equal evidence are taken in alphabetical order.  Other
+    columns are not read.  Without both labels, or with an empty table, the
+    lexicon is empty and scores all texts alike.
+    """
     ship_package(docs.sparkSession)
     chosen = learning_rows(labels, id_col, label_col, sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # At most ``sample`` ids and labels, 16 bytes each; the texts stay where they are read.
-    rows = texts.join(F.broadcast(chosen), "doc_id").withColumn(
+    # At most ``sample`` ids and labels, 16 bytes each; only the texts of these move, one per id.
+    rows = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+            .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))).withColumn(
         "scale", F.pmod(F.xxhash64("doc_id", F.lit("scale")), F.lit(10)) < SCALE_SHARE).cache()
     try:
         entries_from, scale_from = rows.filter("not scale"), rows.filter("scale")
@@ -273,12 +281,23 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
 
 
 def with_score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the score of every whole text; null and empty texts get the score of no words."""
+    """``docs`` with the score of every whole text; null and empty texts get the score of no words.
+
+    Rows and columns stay as they are, repeated rows get the same score each.
+    A column that is called ``score_col`` already stays too: the score is then
+    called ``score_1`` (or the next number that is free).  An empty table stays
+    empty.
+    """
     ship_package(docs.sparkSession)
-    return docs.withColumn(score_col, score_column(lexicon, F.col(text_col)))
+    return docs.withColumn(free_name(score_col, docs.columns), score_column(lexicon, F.col(text_col)))
 
 
 def without_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, columns as they were."""
+    """The rows of ``docs`` that score below ``threshold``, columns as they were.
+
+    Null and empty texts score as no words do and stay with the default
+    threshold; repeated rows stay or go together; no column is added, so no
+    name clashes; an empty table stays empty.
+    """
     ship_package(docs.sparkSession)
     return docs.filter(score_column(lexicon, F.col(text_col)) < threshold)
