@@ -26,7 +26,7 @@ class Shop:
 
     def __init__(self, spark):
         self.spark, self.rnd, self.extra = spark, random.Random(4), False
-        self.sales, self.items = {}, {}
+        self.sales, self.items, self.products, self.customers = {}, {}, [], []
         for i in range(1, 61):
             self.put(i, T(2024, 1, 1), month=1 + i % 6)
 
@@ -46,8 +46,8 @@ class Shop:
         now = T(2024, 1, 1)
         frames = {
             "lojas": ([(1, "A", "X", "SP", "S", now), (2, "B", "Y", "PR", "S", now)], ()),
-            "produtos": ([(1, "S1", "P", "Móveis", 1, 2, now)], (4, 5)),
-            "clientes": ([(1, "Ana", "a@x", "R", "PE", now, now), (2, "Bia", "b@x", "M", "AM", now, now)], ()),
+            "produtos": ([(1, "S1", "P", "Móveis", 1, 2, now), *self.products], (4, 5)),
+            "clientes": ([(1, "Ana", "a@x", "R", "PE", now, now), (2, "Bia", "b@x", "M", "AM", now, now), *self.customers], ()),
             "vendas": (list(self.sales.values()), (5,)), "itens_venda": (list(self.items.values()), (4, 5))}
         out = {k: self.spark.createDataFrame(money(rows, at), ERP_SOURCE[k]) for k, (rows, at) in frames.items()}
         if self.extra:
@@ -85,12 +85,16 @@ def test_later_runs_equal_a_full_build(spark, scratch):
             shop.put(1, now, month=2, status="cancelada")
             shop.put(7, now, month=2)
             shop.items[133] = (133, 13, 1, 9, 5, 45, now)
+            shop.items[9990] = (9990, 61, 1, 1, 5, 5, now)            # an item before its sale
+            shop.products += [(2, "S1", "Q", "Móveis", 1, 2, now)]    # a second product of that SKU
         elif day == 3:     # from March to February, the last sales of a month go, a new column
             shop.put(8, now, month=2)
             for i in [i for i, s in shop.sales.items() if s[3].month == 6]:
                 shop.put(i, now, month=6, status="cancelada")
             shop.extra = True
             shop.put(61, now, month=2)
+            shop.customers.append((99, "Caio", "c@x", "R", "PE", now, now))  # a customer after its sales
+            shop.products += [(3, "S3", "R", "Móveis", 1, 2, now)]
             touched |= {("ano=2023", "mes=3"), ("ano=2023", "mes=6")}
         moved = {("ano=2023", f"mes={s[3].month}") for i, s in shop.sales.items() if i in (1, 7, 8, 13)}
         build = run(day)

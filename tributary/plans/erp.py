@@ -23,7 +23,7 @@ from tributary.operators.staging import (CUSTOMERS_SPEC, ITEMS_SPEC, PRODUCTS_SP
 from tributary.sources.rest_series import SERIES
 from tributary.sources.schemas import BRONZE
 from tributary.storage.tables import Table, read_table, was_loaded
-from tributary.streaming.upsert import KeyedState
+from tributary.streaming.upsert import KeyedState, within
 
 # Fixed value: the status of a completed sale.
 COMPLETED = "concluida"
@@ -102,6 +102,35 @@ class ErpBinding:
                 out[name] = number
         return out
 
+    def spec_of(self, name: str, spec) -> tuple:
+        """The staging spec of a table with the columns its source has gained."""
+        return _with_extras(spec, self.table(name), BRONZE[name])
+
+    def changes_of(self, name: str, version: int) -> DataFrame | None:
+        """Old and new rows (``id``, ``old``, ``new``) of a table since one of its versions; None if not known.
+
+        A stored log has a feed of them.  The other logs keep every row, so
+        their changes are the rows appended since; rows that compaction moved
+        are told by the stamp of their load.
+        """
+        if self._stored(name):
+            return log_state(self.spark, self.root, name).changes(version)
+        log = Table(self.spark, f"{self.root}/{name}")
+        if version not in log.log.numbers():
+            return None
+        seen = [p["stats"].get("_loaded_at") for p in log.log.entry(version)["parts"]]
+        if None in seen:
+            return None
+        rows = log.appended_since(version).where(F.col("_loaded_at") > F.lit(max((x[1] for x in seen), default="")))
+        row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+        return rows.select("id", F.when(F.lit(False), row).alias("old"), row.alias("new"))
+
+    def known_ids(self, name: str, ids: DataFrame) -> DataFrame:
+        """Which of some ids a table has."""
+        if self._stored(name):
+            return log_state(self.spark, self.root, name).lookup(ids).select("id")
+        return within(self.table(name).select("id"), ids, ["id"]).distinct()
+
     def changed_sales(self, made_from: dict[str, int]) -> tuple[DataFrame, DataFrame] | None:
         """(sale ids, months) of the fact rows that may differ since the given versions of sales and items.
 

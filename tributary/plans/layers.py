@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tributary.operators.facts import (ATTAINMENT_KEYS, FACT_COLUMNS, attainment_of_sums, sums_as_sales)
 from tributary.operators.marts import kpi_of_detail, months_of_sums, months_vs_indicator, store_ranking
-from tributary.plans.quality import quality_checks
+from tributary.plans.quality import CHECKS, quality_checks, refresh_checks
 from tributary.storage.tables import NULL_PARTITION, Table, partition_values
 from tributary.streaming.sums import MaintainedSums
 from tributary.streaming.upsert import refresh_partitions
@@ -205,6 +205,9 @@ def _marts(sums: DataFrame, gold: dict[str, DataFrame], silver: dict[str, DataFr
 
 
 def _checks(binding, silver: dict[str, DataFrame], root: str, threads: int, register: bool) -> dict[str, DataFrame]:
+    if getattr(binding, "stored_state", False):
+        refresh_checks(binding, silver, lambda name: layer_path(root, QUALITY, name))
+        return {name: stored_model(binding.spark, root, QUALITY, name, register) for name in CHECKS}
     found = quality_checks(silver, binding.sale_ids())
     return _materialize_all({n: (df, (), {}) for n, df in found.items()}, root, threads, register, QUALITY)
 
