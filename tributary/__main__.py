@@ -33,6 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--jdbc-partitions", type=int, default=16)
     ap.add_argument("--watermark-on-cursor", action="store_true",
                     help="compare with the newest loaded cursor, not the last run's clock")
+    ap.add_argument("--late-hours", type=float, help="look again this far behind the watermark for late rows")
+    ap.add_argument("--most-rejected", type=float, default=0.0,
+                    help="share of a landed file's records that may be malformed")
     ap.add_argument("--key-mode", choices=["first_two", "all"], default="first_two")
     args = ap.parse_args(argv)
 
@@ -48,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     build = run_daily(spark, DailyRun(
         run_date=args.run_date, bronze_root=args.bronze, warehouse_root=args.warehouse,
         erp_source=source, landing_dir=args.landing, series_url=args.series_url,
-        watermark_on_cursor=args.watermark_on_cursor, key_mode=args.key_mode))
+        watermark_on_cursor=args.watermark_on_cursor,
+        late=None if args.late_hours is None else dt.timedelta(hours=args.late_hours), most_rejected=args.most_rejected, key_mode=args.key_mode))
     for name, df in build.gold.items():
         print(f"{name}: {df.count()} rows")
     return 0

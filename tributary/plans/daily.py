@@ -51,6 +51,8 @@ class DailyRun:
     watermark_on_cursor: bool = False
     # Look again this far behind the watermark for rows that were committed late.
     late: dt.timedelta | None = None
+    # Share of a landed file's records that may be malformed; they go to a table of rejects.
+    most_rejected: float = 0.0
     # Dates of the aligned series: "first_two" or "all" (see operators.series).
     key_mode: str = "first_two"
     # Calendar range; days of sales beyond it are added unless switched off.
@@ -71,7 +73,7 @@ def run_daily(spark: SparkSession, run: DailyRun) -> Build:
         ingest_incremental(spark, run.erp_source, bronze, loaded_at, ERP_TABLES,
                            watermark_on_cursor=run.watermark_on_cursor, late=run.late)
     if run.landing_dir:
-        ingest_files(spark, run.landing_dir, bronze, loaded_at)
+        ingest_files(spark, run.landing_dir, bronze, loaded_at, most_rejected=run.most_rejected)
     if path_exists(spark, bronze):
         size_shuffle_partitions(spark, [bronze])
         if run.stored_state:

@@ -341,6 +341,15 @@ from events
 """
 
 ORACLE_SQL["csv_roundtrip"] = ORACLE_SQL["stage_targets"]
+ORACLE_SQL["csv_rejects"] = "with " + _TARGETS + """
+select loja_id, count(*) filter (where loja_id is distinct from 3) as n_loaded,
+       count(*) filter (where loja_id is distinct from 3) as n_whole,
+       count(*) filter (where loja_id = 3) as n_rejected,
+       case when loja_id = 3 then 'meta_valor: not a double' end as reason
+from targets group by loja_id
+"""
+# The series as ingested lie within the loaded window, so the alignment is that of all of them.
+ORACLE_SQL["daily_indicators"] = ORACLE_SQL["indicator_align"]
 # The loaded window: 1,095 days up to the newest event.
 ORACLE_SQL["rest_series_source"] = f"""
 select * from ({ORACLE_SQL["series_parse"]}) parsed

@@ -22,6 +22,7 @@ from tributary.operators import (attainment, calendar_covering, kpi_overview,
                                  target_plan, unique_violations)
 from tributary.plans import domain as D
 from tributary.plans.daily import DailyRun, run_daily
+from tributary.plans.erp import ErpBinding
 from tributary.plans.layers import build_gold
 from tributary.session import configure, scratch_path
 from tributary.sources.bronze import coerce_cells, normalise_types, with_audit, write_append
@@ -213,6 +214,24 @@ def q_csv_roundtrip(spark, sf_dir):
     return stage_targets(bronze.withColumn("categoria", F.regexp_replace("categoria", '^a "b", ', "")))
 
 
+def q_csv_rejects(spark, sf_dir):
+    """Targets land with line breaks inside cells and, for store 3, no number: per store rows loaded and rejected."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "csv_rejects")
+    landed = D.targets_log(t).select(
+        "ano", "mes", "loja_id", F.concat("categoria", F.lit('\nsegunda "linha"')).alias("categoria"),
+        F.when(F.col("loja_id") == 3, F.lit("n/d")).otherwise(F.col("meta_valor").cast("string")).alias("meta_valor"))
+    write_csv(landed, f"{root}/landing/metas_vendas.csv")
+    ingest_files(spark, f"{root}/landing", f"{root}/bronze", D.RUN_TS, most_rejected=0.5)
+    good = read_table(spark, f"{root}/bronze/files_metas_vendas").groupBy("loja_id").agg(
+        F.count(F.lit(1)).alias("n_loaded"), F.count_if(F.col("categoria").endswith('\nsegunda "linha"')).alias("n_whole"))
+    bad = read_table(spark, f"{root}/bronze/_rejects/files_metas_vendas").groupBy(
+        F.lit(3).cast("long").alias("loja_id"), "reason").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return good.join(bad, "loja_id", "full_outer").select(
+        "loja_id", F.coalesce("n_loaded", F.lit(0)).alias("n_loaded"), F.coalesce("n_whole", F.lit(0)).alias("n_whole"),
+        F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"), "reason")
+
+
 def q_rest_series_source(spark, sf_dir):
     """Series API replayed from recorded responses through the data source.
 
@@ -233,6 +252,16 @@ def q_rest_series_source(spark, sf_dir):
         "serie", codes[F.col("serie")].cast("bigint").alias("codigo"), "data", "valor")
 
 
+def q_daily_indicators(spark, sf_dir):
+    """The indicators as the daily run builds them: series ingested, parsed one by one, joined in a chain."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "daily_indicators")
+    D.series_api_long(t).select("codigo", "data", "valor").write.partitionBy("codigo").json(f"{root}/api")
+    run_date = t.events.agg(F.max(F.to_date("ts"))).first()[0]
+    ingest_series(spark, D.SERIES, run_date, f"{root}/api/codigo={{code}}", f"{root}/bronze/series", D.RUN_TS)
+    return ErpBinding(spark, f"{root}/bronze", series=D.SERIES).indicators()
+
+
 # The source table as seen by four daily runs (orders placed
 # before each date) and each run's stamp; the fourth run finds nothing new.
 APPEND_RUNS = (("1997-01-01", "2024-02-01T06:00:00"), ("1999-01-01", "2024-02-02T06:00:00"),
@@ -359,6 +388,8 @@ QUERIES: dict[str, Query] = {
     "numeric_coercion": q_numeric_coercion,
     "normalise_types": q_normalise_types,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_rejects": q_csv_rejects,
+    "daily_indicators": q_daily_indicators,
     "rest_series_source": q_rest_series_source,
     "bronze_append": q_bronze_append,
     "layered_build": q_layered_build,

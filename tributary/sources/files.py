@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.session import path_exists
-from tributary.sources.bronze import LoadResult, coerce_cells, with_audit, write_truncate
+from tributary.session import path_exists, scratch_path
+from tributary.sources.bronze import LoadResult, coerce_cells, with_audit, write_append, write_truncate
+from tributary.sources.csv_records import TooManyRejects, read_records, split_rejects, typed_records
 
 log = logging.getLogger(__name__)
 
@@ -41,6 +42,8 @@ LANDING_FILES = {
     "lojas.csv": ("files_lojas", STORES_CSV_SCHEMA),
 }
 FILES_SOURCE_TAG = "landing_files"
+# Folder of the tables of records that did not fit.
+REJECTS = "_rejects"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -88,13 +91,16 @@ def find_files(spark: SparkSession, landing: str, names: list[str]) -> dict[str,
 
 
 def ingest_files(spark: SparkSession, landing: str, bronze_root: str, loaded_at: str,
-                 files: dict[str, tuple[str, T.StructType | None]] | None = None
-                 ) -> dict[str, LoadResult | None]:
+                 files: dict[str, tuple[str, T.StructType | None]] | None = None,
+                 most_rejected: float = 0.0) -> dict[str, LoadResult | None]:
     """Truncate-load every landed file into ``<bronze_root>/<table>``.
 
     Missing files are skipped (``None`` in the result, old table kept);
     empty files write nothing.  A file listed without a schema is undeclared:
-    its cells are coerced one by one.
+    its cells are coerced one by one.  With ``most_rejected`` above 0 up to that
+    share of a declared file's records may be wrong: they go to
+    ``<bronze_root>/_rejects/<table>`` and the rest is loaded; cells may then
+    hold line breaks, and the file is still split among tasks.
     """
     files = LANDING_FILES if files is None else files
     present = find_files(spark, landing, list(files))
@@ -104,7 +110,28 @@ def ingest_files(spark: SparkSession, landing: str, bronze_root: str, loaded_at:
             log.warning("%s not found in %s - skipped", name, landing)
             results[name] = None
             continue
-        rows = with_audit(read_csv(spark, present[name], schema), loaded_at, FILES_SOURCE_TAG)
-        results[name] = write_truncate(rows, f"{bronze_root.rstrip('/')}/{table}",
+        root = bronze_root.rstrip("/")
+        if schema is not None and most_rejected > 0:
+            rows = _accepted(spark, present[name], schema, loaded_at, f"{root}/{REJECTS}/{table}", most_rejected)
+        else:
+            rows = read_csv(spark, present[name], schema)
+        results[name] = write_truncate(with_audit(rows, loaded_at, FILES_SOURCE_TAG), f"{root}/{table}",
                                        skip_empty=True)
     return results
+
+
+def _accepted(spark: SparkSession, path: str, schema: T.StructType, loaded_at: str, rejects: str,
+              most_rejected: float) -> DataFrame:
+    """The records of a file that fit; the others are appended to the table ``rejects``.
+
+    Raises ``TooManyRejects`` beyond the allowed share, before any table changes.
+    """
+    scratch = scratch_path(spark, "csv_records")
+    typed = typed_records(read_records(spark, path, schema.names), schema)
+    typed.write.parquet(scratch)
+    good, bad = split_rejects(spark.read.schema(typed.schema).parquet(scratch), schema)
+    n_good, n_bad = good.count(), bad.count()
+    if n_bad > most_rejected * (n_good + n_bad):
+        raise TooManyRejects(f"{path}: {n_bad} of {n_good + n_bad} records do not fit")
+    write_append(with_audit(bad, loaded_at, FILES_SOURCE_TAG), rejects)
+    return good
