@@ -178,6 +178,35 @@ def test_series_http_answer_is_taken_whole(monkeypatch):
     assert asked == ["https://x/1?from=01/01/2021&to=01/01/2024"]
 
 
+def test_requests_are_made_again(monkeypatch):
+    import io
+    import urllib.error
+    import pytest
+    from tributary.sources import rest_series as R
+    waited, answers = [], []
+
+    def opener(url, timeout):
+        answer = answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return io.BytesIO(answer)
+
+    def refused(code):
+        return urllib.error.HTTPError("https://x", code, "no", None, None)
+
+    monkeypatch.setattr(R.urllib.request, "urlopen", opener)
+    monkeypatch.setattr(R.time, "sleep", waited.append)
+    answers[:] = [refused(503), TimeoutError(), b"[]"]
+    assert R._get("https://x", 1) == b"[]" and waited == [5.0, 10.0]
+    answers[:] = [refused(429)] * 4
+    with pytest.raises(urllib.error.HTTPError):
+        R._get("https://x", 1)
+    answers[:] = [refused(404), b"[]"]
+    with pytest.raises(urllib.error.HTTPError):
+        R._get("https://x", 1)
+    assert answers == [b"[]"]
+
+
 def test_indicator_mean_is_not_rounded(spark):
     from tributary.operators import monthly_vs_indicator
     sales = spark.createDataFrame([(dt.date(2024, 1, 5), 10.0)], "data date, total double")

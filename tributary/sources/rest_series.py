@@ -19,8 +19,10 @@ Spark (``tributary.sources.bronze.normalise_series_rows``).
 from __future__ import annotations
 
 import datetime as dt
+import http.client
 import json
 import sys
+import time
 import urllib.parse
 import urllib.request
 
@@ -65,8 +67,26 @@ def _records(body: str) -> list[dict]:
     return [json.loads(line) for line in body.splitlines() if line.strip()]
 
 
+# A request is made again so often, after so many seconds that double each time.
+RETRIES, WAIT_SECONDS = 3, 5.0
+
+
+def _get(url: str, timeout: float, retries: int = RETRIES, wait: float = WAIT_SECONDS) -> bytes:
+    """GET ``url``; network failures and answers that say "later" (429, 5xx) are tried again, others raise at once."""
+    for attempt in range(retries + 1):
+        try:
+            with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310
+                return resp.read()
+        except (OSError, http.client.HTTPException) as error:  # urllib's errors and time-outs are OSErrors
+            code = getattr(error, "code", None)
+            if attempt == retries or code is not None and code != 429 and code < 500:
+                raise
+            time.sleep(wait * 2 ** attempt)
+    raise AssertionError("unreachable")
+
+
 def _fetch(url: str, timeout: float) -> list[dict]:
-    """GET ``url`` and return its records; raises on HTTP errors.
+    """GET ``url`` and return its records; raises on HTTP errors that stay.
 
     Non-HTTP locations (local paths, ``file:``, ``hdfs://``, ``s3://`` ...)
     are read with ``pyarrow.fs``; a folder yields all its ``*.json`` files
@@ -74,8 +94,7 @@ def _fetch(url: str, timeout: float) -> list[dict]:
     """
     scheme = urllib.parse.urlparse(url).scheme
     if scheme in ("http", "https"):
-        with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310
-            return _records(resp.read().decode("utf-8"))
+        return _records(_get(url, timeout).decode("utf-8"))
     from pyarrow import fs as pafs
     if scheme == "file" or not scheme:
         filesystem, path = pafs.LocalFileSystem(), urllib.parse.urlparse(url).path or url
