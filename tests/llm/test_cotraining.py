@@ -107,7 +107,7 @@ def test_rounds_against_plain_arrays(spark):
 
 
 def test_sums_reach_the_driver_as_few_vectors(spark):
-    rows = spark.range(2000).selectExpr("cast(id as int) as given0").repartition(60)
+    rows = spark.range(2000).selectExpr("cast(id as int) as given0").repartition(200)
     seen = []
     collect = type(rows).collect
 

@@ -221,7 +221,7 @@ class _Rows:
 
 
 #: Partial sums that one task of the tree adds up, and that the driver gets at most.
-FAN_IN = 16
+FAN_IN = 64
 
 
 def _summed(rows: DataFrame, of_batch, width: int) -> np.ndarray:
