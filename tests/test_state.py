@@ -142,7 +142,7 @@ SALE = st.tuples(st.integers(0, 12), st.sampled_from([None, 1, 2]), st.sampled_f
                  st.sampled_from([None, "0.10", "-5.55", "9999999.99", "0.00"]))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(SALE, max_size=8), min_size=2, max_size=4))
 def test_maintained_sums_equal_the_aggregate(spark, scratch, rounds):
     """Sales come, change month, store or amount and are cancelled (left out of a round): subtract old, add new."""

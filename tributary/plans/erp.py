@@ -9,6 +9,7 @@ Bronze layout under one root (what ``plans.daily.run_daily`` writes):
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,16 +45,20 @@ def merge_logs(spark: SparkSession, bronze_root: str) -> None:
     nothing else has to be kept, and a state that is lost is made anew.
     """
     root = bronze_root.rstrip("/")
-    for name in STATE_TABLES:
+
+    def one(name: str) -> None:
         log = Table(spark, f"{root}/{name}")
         if not log.exists():
-            continue
+            return
         state = log_state(spark, root, name)
         entry = state.head()[1]
         done, now = entry["meta"].get("log", -1) if entry else -1, log.log.newest()
         if now > done:
             state.merge(log.appended_since(done), {"log": now})
 
+    with ThreadPoolExecutor(max_workers=len(STATE_TABLES)) as pool:
+        list(pool.map(one, STATE_TABLES))
+
 
 def _with_extras(spec, bronze: DataFrame, declared) -> tuple:
     """The spec and, under their own names, the columns that the source has gained since it was declared."""
@@ -125,6 +130,10 @@ class ErpBinding:
         row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
         return rows.select("id", F.when(F.lit(False), row).alias("old"), row.alias("new"))
 
+    def rows_now(self, name: str, ids: DataFrame) -> DataFrame:
+        """The present rows of some ids of a stored log."""
+        return log_state(self.spark, self.root, name).lookup(ids)
+
     def known_ids(self, name: str, ids: DataFrame) -> DataFrame:
         """Which of some ids a table has."""
         if self._stored(name):

@@ -8,6 +8,8 @@ stored states later runs look only at the keys that changed (``streaming.checks`
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tributary.operators.checks import orphan_rows, unique_violations
 from tributary.operators.staging import ITEMS_SPEC, SALES_SPEC, project
 from tributary.storage.tables import Table
 from tributary.streaming.checks import OrphanCheck, UniqueCheck
+from tributary.streaming.upsert import within
 
 # Table -> the sources whose versions it is made from.
 CHECKS = {
@@ -55,31 +58,39 @@ def _orphans(binding, path, name: str) -> OrphanCheck:
     return OrphanCheck(binding.spark, path(name), *ORPHANS[name])
 
 
-def refresh_checks(binding, silver: dict[str, DataFrame], path) -> None:
+def refresh_checks(binding, silver: dict[str, DataFrame], path, threads: int = 4) -> None:
     """Bring the stored checks up to date; ``path(name)`` is where each lies.
 
     Checks that were never stored, or whose changes are not known any more, are
     made whole; those whose sources are unchanged are left as they are.
     """
     sources = binding.sources()
-    for name, needs in CHECKS.items():
+
+    def one(name: str) -> None:
+        needs = CHECKS[name]
         meta = {s: sources[s] for s in needs if s in sources}
         entry = Table(binding.spark, path(name)).head()[1]
         if entry is not None and entry["meta"] == meta:
-            continue
+            return
         feeds = None
-        if entry is not None and set(entry["meta"]) == set(meta):
+        if entry is not None and set(entry["meta"]) == set(meta) == set(needs):
             feeds = {s: binding.changes_of(s, entry["meta"][s]) for s in needs}
         if feeds is None or any(f is None for f in feeds.values()):
             _whole(binding, silver, path, name, meta)
         else:
             _changed(binding, path, name, feeds, meta)
 
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        list(pool.map(one, CHECKS))
+
 
 def _whole(binding, silver: dict[str, DataFrame], path, name: str, meta: dict) -> None:
     tables = {"dq_sku_duplicado": "stg_erp_produtos", "dq_venda_duplicada": "stg_erp_vendas",
               "dq_itens_sem_venda": "stg_erp_itens_venda"}
     rows = silver[tables.get(name, "stg_erp_vendas")]
+    if name == "dq_venda_duplicada":
+        Table(binding.spark, path(name)).replace(unique_violations(rows, DUPLICATES[name]), meta=meta)
+        return
     if name in DUPLICATES:
         _unique(binding, path, name).rebuild(rows, meta)
         return
@@ -100,7 +111,12 @@ def _changed(binding, path, name: str, feeds: dict[str, DataFrame], meta: dict)
         _unique(binding, path, name).apply(side("erp_produtos", "old"), side("erp_produtos", "new"), meta)
         return
     if name == "dq_venda_duplicada":
-        _unique(binding, path, name).apply(completed(side("erp_vendas", "old")), completed(side("erp_vendas", "new")), meta)
+        # All rows of a changed key are looked up, so no counts are kept.
+        changed = feeds["erp_vendas"].select(F.col("id").alias("venda_id"))
+        now = completed(binding.rows_now("erp_vendas", feeds["erp_vendas"].select("id")))
+        table = Table(binding.spark, path(name))
+        found = unique_violations(now, DUPLICATES[name])
+        table.replace(within(table.read(), changed, DUPLICATES[name], "left_anti").unionByName(found), meta=meta)
         return
     check = _orphans(binding, path, name)
     if name == "dq_itens_sem_venda":

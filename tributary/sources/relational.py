@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import inspect
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -178,7 +179,7 @@ def jdbc_source(spark: SparkSession, url: str, properties: dict[str, str] | None
 def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
                        loaded_at: str, tables=ERP_TABLES, source_prefix: str = "erp",
                        watermark_on_cursor: bool = False,
-                       late: dt.timedelta | None = None) -> dict[str, LoadResult]:
+                       late: dt.timedelta | None = None, threads: int = 4) -> dict[str, LoadResult]:
     """Load every table's new rows into ``<bronze_root>/erp_<table>`` (append).
 
     ``read_source(spec) -> DataFrame`` returns the source table (JDBC, files,
@@ -192,8 +193,7 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
     lies up to that far behind the watermark are looked at again, and those
     that are not in the log yet are loaded (``late_rows``).
     """
-    results = {}
-    for spec in tables:
+    def one(spec: TableSpec) -> LoadResult:
         path = f"{bronze_root.rstrip('/')}/erp_{spec.name}"
         since = watermark_or_epoch(spark, path,
                                    spec.cursor if watermark_on_cursor else "_loaded_at")
@@ -205,8 +205,11 @@ def ingest_incremental(spark: SparkSession, read_source, bronze_root: str,
             batch = late_rows(source, spec, since, late, loaded_at, tag, Table(spark, path))
         else:
             batch = incremental_extract(source, spec.cursor, since, loaded_at, tag)
-        results[spec.name] = write_append(batch, path, cluster_by=[spec.cursor], stats=list(spec.stats))
-    return results
+        return write_append(batch, path, cluster_by=[spec.cursor], stats=list(spec.stats))
+
+    # The tables do not depend on each other: their jobs are submitted side by side.
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return dict(zip([spec.name for spec in tables], pool.map(one, tables)))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000,

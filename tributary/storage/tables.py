@@ -200,7 +200,7 @@ class Table:
         found = fs.globStatus(make(pattern)) or []
         base = str(fs.makeQualified(make(self.root)).toUri().getPath()).rstrip("/") + "/"
         paths = sorted(str(x.getPath().toUri().getPath()).removeprefix(base) for x in found)
-        return [{"path": p, "bytes": input_bytes(self.spark, [f"{self.root}/{p}"]), "stats": {}} for p in paths], rows
+        return [{"path": p, "stats": {}} for p in paths], rows
 
     def _commit(self, build: Callable[[int, dict | None], dict | None], tries: int = 20) -> int | None:
         """Commit what ``build`` makes of the newest commit; anew if another writer was first."""

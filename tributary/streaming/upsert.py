@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -40,7 +40,7 @@ LEAST_BUCKET_BYTES = 1 << 20
 TIER_RATIO = 4
 #: Layers that are merged at least, unless the oldest one is among them.
 TIER_LAYERS = 4
-#: Share of the state's bytes that the merging of layers may write per batch.
+#: Merging layers may write as many bytes as the batches did and, per batch, this share of the state's.
 BUDGET = 0.01
 #: Merging in a small state costs little; so many bytes may be written whatever the share.
 LEAST_BUDGET = 2 << 20
@@ -144,8 +144,10 @@ class KeyedState:
     def rows_of(self, keys: DataFrame, entry: dict, buckets: Sequence[str]) -> DataFrame:
         """The stored rows of some keys, reading the given buckets only."""
         chosen = set(buckets)
-        found = self._files([x for x in entry["layers"] if x["bucket"] in chosen])
-        return self._newest(within(found, keys, self.keys)).drop(VERSION)
+        layers = [x for x in entry["layers"] if x["bucket"] in chosen]
+        found = within(self._files(layers), keys, self.keys)
+        # A bucket of one layer has a key once.
+        return (self._newest(found) if len(layers) > len(chosen & {x["bucket"] for x in layers}) else found).drop(VERSION)
 
     def changes(self, after: int) -> DataFrame | None:
         """What changed since version ``after``: key columns, ``old`` and ``new`` row (structs; old is NULL for new keys).
@@ -216,34 +218,39 @@ class KeyedState:
         self.schema = merge_schema(self.schema, batch.schema)
         work = scratch_path(self.spark, "upsert")
         candidates = latest_version(aligned(batch, self.schema), self.keys, self.order_by, self.tiebreak)
-        candidates.write.parquet(f"{work}/candidates")
+        given = Observation()
+        candidates.observe(given, F.count(F.lit(1)).alias("rows")).write.parquet(f"{work}/candidates")
         candidates = self.spark.read.schema(self.schema).parquet(f"{work}/candidates")
         for _ in range(tries):
             number, entry = self.head()
-            feed = None
+            feed, changed = None, int(given.get["rows"])
             if entry is None:
                 directory = self._first_directory(input_bytes(self.spark, [f"{work}/candidates"]))
                 rows = self._with_bucket(candidates, directory)
             else:
                 self.schema = merge_schema(StructType.fromJson(json.loads(entry["schema"])), self.schema)
                 directory = entry["directory"]
-                feed = f"feed/{uuid.uuid4().hex}"
-                self._changed(candidates, entry).withColumn(VERSION, F.lit(number + 1).cast("long")).write.parquet(
-                    f"{self.root}/{feed}")
+                feed, seen = f"feed/{uuid.uuid4().hex}", Observation()
+                (self._changed(candidates, entry).withColumn(VERSION, F.lit(number + 1).cast("long"))
+                 .observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{feed}"))
+                changed = int(seen.get["rows"])
                 rows = self.spark.read.schema(StructType([*self._feed_schema().fields, StructField(BUCKET, StringType())])
                                               ).parquet(f"{self.root}/{feed}").select("new.*", BUCKET)
-            counts = {r[0]: r[1] for r in rows.groupBy(BUCKET).count().collect()}  # one row per bucket
-            if not counts:
+            if not changed:
                 if feed:
                     delete_folder(self.spark, f"{self.root}/{feed}")
                 if entry is not None and (not meta or meta == entry["meta"]):
                     delete_folder(self.spark, work)
                     return Merged(None, 0, [])
             layers = self._write(rows.withColumn(VERSION, F.lit(number + 1).cast("long")), f"data/{uuid.uuid4().hex}",
-                                 sorted(counts), number + 1) if counts else []
+                                 directory, number + 1) if changed else []
+            # Upkeep may write as much as the batches did, and a share of the state's bytes for each of them.
+            total = sum(x["bytes"] for x in [*(entry["layers"] if entry else []), *layers])
+            written = sum(x["bytes"] for x in layers)
+            credit = 0 if entry is None else entry["credit"] + written + max(LEAST_BUDGET, int(BUDGET * total))
             made = {"op": "merge", "first": entry is None, "schema": self.schema.json(), "directory": directory,
-                    "feed": feed if counts else None,
-                    "content": number + 1 if counts or entry is None else entry["content"], "layers": (entry["layers"] if entry else []) + layers,
+                    "feed": feed if changed else None, "credit": credit,
+                    "content": number + 1 if changed or entry is None else entry["content"], "layers": (entry["layers"] if entry else []) + layers,
                     "meta": meta or (entry or {}).get("meta", {})}
             try:
                 self.log.put(number + 1, made)
@@ -253,8 +260,8 @@ class KeyedState:
                     delete_folder(self.spark, f"{self.root}/{path}")
                 continue
             delete_folder(self.spark, work)
-            self._upkeep(sum(x["bytes"] for x in layers))
-            return Merged(number + 1, sum(counts.values()), sorted(counts))
+            self._upkeep(written)
+            return Merged(number + 1, changed, sorted(x["bucket"] for x in layers))
         raise CommitConflict(f"{self.root}: other writers kept committing")
 
     def _changed(self, candidates: DataFrame, entry: dict) -> DataFrame:
@@ -278,7 +285,7 @@ class KeyedState:
         """Merge layers and split buckets within the budget of a batch, then forget old commits."""
         number, entry = self.head()
         total = sum(x["bytes"] for x in entry["layers"])
-        budget = max(LEAST_BUDGET, int(BUDGET * total), 2 * written)
+        budget = min(entry["credit"], max(LEAST_BUDGET, int(BUDGET * total), 2 * written))
         runs: dict[str, list[dict]] = {}
         cost = 0
         for bucket, run in sorted(_tiers(entry["layers"], self._limit(total)).items(), key=lambda kv: (-len(kv[1]), kv[0])):
@@ -311,7 +318,8 @@ class KeyedState:
             # A merged layer stands where its run stood: before layers that came later.
             kept = [x for x in now["layers"] if x["path"] not in taken]
             try:
-                self.log.put(number + 1, {**now, "op": "compact", "feed": None, "directory": names, "layers": made + kept})
+                self.log.put(number + 1, {**now, "op": "compact", "feed": None, "directory": names, "layers": made + kept,
+                                          "credit": now["credit"] - sum(x["bytes"] for run in runs.values() for x in run)})
                 return
             except CommitConflict:
                 continue
