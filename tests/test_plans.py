@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 # Queries that write intermediate tables when called; their plans are
 # checked through the operators they use.
 WRITES = {"csv_roundtrip", "rest_series_source", "bronze_append", "layered_build",
-          "incremental_upsert", "stream_upsert", "partition_refresh", "daily_run"}
+          "incremental_upsert", "stream_upsert", "partition_refresh", "daily_run", "csv_rejects", "daily_indicators"}
 
 
 def plan_text(df):

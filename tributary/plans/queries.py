@@ -223,13 +223,14 @@ def q_csv_rejects(spark, sf_dir):
         F.when(F.col("loja_id") == 3, F.lit("n/d")).otherwise(F.col("meta_valor").cast("string")).alias("meta_valor"))
     write_csv(landed, f"{root}/landing/metas_vendas.csv")
     ingest_files(spark, f"{root}/landing", f"{root}/bronze", D.RUN_TS, most_rejected=0.5)
-    good = read_table(spark, f"{root}/bronze/files_metas_vendas").groupBy("loja_id").agg(
-        F.count(F.lit(1)).alias("n_loaded"), F.count_if(F.col("categoria").endswith('\nsegunda "linha"')).alias("n_whole"))
-    bad = read_table(spark, f"{root}/bronze/_rejects/files_metas_vendas").groupBy(
-        F.lit(3).cast("long").alias("loja_id"), "reason").agg(F.count(F.lit(1)).alias("n_rejected"))
-    return good.join(bad, "loja_id", "full_outer").select(
-        "loja_id", F.coalesce("n_loaded", F.lit(0)).alias("n_loaded"), F.coalesce("n_whole", F.lit(0)).alias("n_whole"),
-        F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"), "reason")
+    whole = F.col("categoria").endswith('\nsegunda "linha"').cast("long")
+    good = read_table(spark, f"{root}/bronze/files_metas_vendas").select(
+        "loja_id", F.lit(1).alias("loaded"), whole.alias("whole"), F.lit(0).alias("rejected"), F.lit(None).cast("string").alias("reason"))
+    bad = read_table(spark, f"{root}/bronze/_rejects/files_metas_vendas").select(
+        F.lit(3).cast("long").alias("loja_id"), F.lit(0).alias("loaded"), F.lit(0).cast("long").alias("whole"),
+        F.lit(1).alias("rejected"), "reason")
+    return good.unionByName(bad).groupBy("loja_id", "reason").agg(
+        F.sum("loaded").alias("n_loaded"), F.sum("whole").alias("n_whole"), F.sum("rejected").alias("n_rejected"))
 
 
 def q_rest_series_source(spark, sf_dir):
