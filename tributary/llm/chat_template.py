@@ -517,6 +517,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
     Parts of a conversation must lie together in order, as they come out of
     ``format_conversations``; parts read from storage need
     ``repartition("conv_id").sortWithinPartitions("conv_id", "part")`` first.
+    Null and empty texts were written as empty turns and count as such, repeated
+    rows as turns of their own; rows without a conversation id are one
+    conversation.  Other columns are not read.  An empty table gives none.
     """
     return formatted.mapInArrow(
         _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -41,6 +42,7 @@ def ship_package(spark: SparkSession) -> None:
                         path = os.path.join(folder, name)
                         out.write(path, os.path.relpath(path, os.path.dirname(package)))
         sc.addPyFile(target)
+        atexit.register(lambda: os.path.exists(target) and os.remove(target))
     sc._tributary_shipped = True
 
 

@@ -295,6 +295,10 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files that the manifest names.
 
     start counts the ids of all documents before, over all files in order.
+    Rows come back as they were written: repeated ones each, null ids as null,
+    null and empty texts with the end id alone, rows of one id in order of their
+    text hash.  Column names of the documents play no part.  A folder whose
+    manifest names no file gives an empty result.
     Nothing but the files is read: each is decoded block by block in a task.
     """
     ship_package(spark)
