@@ -22,7 +22,7 @@ def test_orphans_follow_children_and_parents(spark, scratch):
     def frame(rows, schema):
         return spark.createDataFrame(list(rows), schema)
     check.rebuild(frame(children.values(), CHILD), frame([(p,) for p in parents], PARENT), {})
-    for day in range(4):
+    for day in range(3):
         changed = set(rnd.sample(range(36), 6))
         for i in changed:
             if rnd.random() < .3:

@@ -98,12 +98,14 @@ def test_later_runs_equal_a_full_build(spark, scratch):
             touched |= {("ano=2023", "mes=3"), ("ano=2023", "mes=6")}
         moved = {("ano=2023", f"mes={s[3].month}") for i, s in shop.sales.items() if i in (1, 7, 8, 13)}
         build = run(day)
-        assert fact.head()[1]["op"] == ("partitions" if day < 4 else "partitions")
+        assert fact.head()[1]["op"] == "partitions"
         after = _files(f"{root}/lake")
         kept = {f: t for f, t in before.items() if _month(f) not in touched | moved}
         assert kept and kept.items() <= after.items()
         if day == 4:       # nothing changed: no file of the fact either
             assert after == before
+        if day == 3:
+            continue   # the fourth run's tables are the third's
         whole = build_gold(ErpBinding(spark, f"{root}/bronze"), f"{root}/whole{day}", marts=True, checks=True).gold
         assert set(build.gold) == set(whole)
         for name, df in whole.items():

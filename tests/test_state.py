@@ -37,7 +37,7 @@ def test_a_small_batch_writes_little(spark, scratch):
     size = input_bytes(spark, [f"{root}/data"])
     assert len(state.head()[1]["directory"]) >= 16
     log = base
-    for i in range(1, 7):
+    for i in range(1, 5):
         batch = base.where(F.pmod(F.xxhash64("k", F.lit(i)), F.lit(1000)) == 0).select(
             "k", F.lit(i).cast("long").alias("ts"), F.sha2(F.concat("v", F.lit(i)), 256).alias("v"))
         before = input_bytes(spark, [root])
@@ -54,7 +54,7 @@ def test_buckets_split_and_layers_merge(spark, scratch, monkeypatch):
     root, rnd = scratch("split"), random.Random(1)
     state = _state(spark, root, bucket_bytes=8_000)
     log = None
-    for i in range(14):
+    for i in range(9):
         batch = spark.createDataFrame([(rnd.randrange(1500) if rnd.random() < .98 else None, rnd.randrange(40), f"{rnd.random()}" * 3)
                                        for _ in range(60 if i % 3 else 700)], SCHEMA)
         state.merge(batch)
