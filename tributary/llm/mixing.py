@@ -111,8 +111,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
                        text_quality(text).alias("weight"),
                        (-F.ln(uniform(F.col(id_col), text)) / text_quality(text)).alias("key"))
     rows = stored(rows, "mix")  # six narrow columns; texts are read once
-    sliced = sliced_keys(rows, slices)
-    per_slice = sliced.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
+    # Each step reads the files of the one before: plans stay short, and nothing is worked out twice.
+    sliced = stored(sliced_keys(rows, slices), "mix_sliced")
+    per_slice = stored(sliced.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), "mix_slices")
     sizes = per_slice.groupBy("source").agg(F.sum("slice_size").alias("source_size"))
     goals = (targets(sizes, weights, most)
              .withColumn("full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
@@ -126,6 +127,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
             .groupBy("goal_source", "source_size", "target", "full", "budget")
             .agg(F.min(F.when(F.col("before") + F.col("slice_size") > F.col("budget"),
                               F.struct("slice", "before"))).alias("end")))
+    ends = stored(ends, "mix_ends")
     placed = (sliced.join(ends, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
               .withColumn("at", F.when(F.col("end").isNull() | (F.col("slice") < F.col("end.slice")), F.lit(-1))
                           .when(F.col("slice") > F.col("end.slice"), F.lit(1)).otherwise(F.lit(0))))
@@ -154,6 +156,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
               .agg(F.count(F.lit(1)).alias("__mix_rows"), F.sum("epochs").alias("__mix_taken"))
               .select(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"),
                       F.col("text_hash").alias("__mix_hash"), "__mix_rows", "__mix_taken"))
+    totals = stored(totals, "mix_totals")
     joined = docs.join(totals, docs[id_col].eqNullSafe(totals["__mix_id"]) & docs[source_col].eqNullSafe(totals["__mix_source"])
                        & (F.xxhash64(docs[text_col]) == totals["__mix_hash"]))
     single = joined.filter("__mix_rows = 1").withColumn("__mix_times", F.col("__mix_taken"))
