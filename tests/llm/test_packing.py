@@ -108,3 +108,16 @@ def test_odd_rows(spark):
                                  "doc_id long, text string, source string, chunk int, `at` int, n_tokens int")
     check(spark, docs, 64)
     assert P.pack(spark.createDataFrame([], docs.schema)).count() == 0
+
+
+def test_new_words_of_many_texts_are_encoded_together(monkeypatch):
+    from tributary.llm import tokens as T
+    monkeypatch.setattr(T, "TOGETHER", 200)
+    texts = [None, "", "a <|b", "é".join("xyz") + "́", *(f"wort{'abcdefgh'[i % 8] * (i % 11)} zz{'qrst'[i % 4] * i}!, 7{i}." for i in range(120)), " \n"]
+    mine, calls = T.WordTokenizer(default_vocabulary(), 50), []
+    learn = mine._learn
+    monkeypatch.setattr(mine, "_learn", lambda words: (calls.append(len(words)), learn(words)))
+    model = Tokenizer.from_file(default_vocabulary())
+    want = [np.array(model.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert mine.encode_all(texts) == want and len(calls) < 6
+    assert [mine.encode(t) for t in texts] == want

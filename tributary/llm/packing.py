@@ -140,14 +140,14 @@ def _tokens_of(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         chunk = TaskContext.get().partitionId()
-        encode = tokenizer(vocabulary).encode
+        encode_all = tokenizer(vocabulary).encode_all
         end = np.array([end_id], "<u4").tobytes()
         seen: dict = {}
         for batch in small_batches(batches):
             sources = batch.column("source").to_pylist()
             counts, before, ids = [], [], []
-            for source, text in zip(sources, batch.column("text")):
-                raw = encode(text.as_py()) + end
+            for source, raw in zip(sources, encode_all(batch.column("text").to_pylist())):
+                raw += end
                 n = len(raw) // 4
                 found = np.frombuffer(raw, "<u4")
                 # Two bytes an id where that is enough; the reader sees which by the length.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import threading
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -14,7 +15,9 @@ _SIMPLE = re.compile("[a-zß-öø-ÿα-ωа-я]+")
 #: ASCII marks; a run of them at a word's end is one piece.
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words kept per worker process in each of two generations.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
+#: Words of texts that wait until what is new in them is encoded.
+TOGETHER = 50_000
 
 _models: dict = {}
 _lock = threading.Lock()
@@ -66,20 +69,24 @@ class WordTokenizer:
 
     def _learn_new(self, new: list[bytes]) -> None:
         # Letters with marks behind them are a piece of letters and one of marks.
-        cut = {}
+        simple, cut, others = [], {}, []
         for word in new:
+            if _SIMPLE.fullmatch(word.decode()):
+                simple.append(word)
+                continue
             letters = word.rstrip(_MARKS)
             if letters and letters != word and _SIMPLE.fullmatch(letters.decode()):
                 cut[word] = letters, word[len(letters):]
-        parts = dict.fromkeys(p for pair in cut.values() for p in pair)
-        unknown = [w for w in dict.fromkeys([*(w for w in new if w not in cut), *parts]) if w not in self.ids_of]
-        simple = [w for w in unknown if _SIMPLE.fullmatch(w.decode())]
+            else:
+                others.append(word)
+        simple = [w for w in dict.fromkeys([*simple, *(letters for letters, _ in cut.values())]) if w not in self.ids_of]
+        others = [w for w in dict.fromkeys([*others, *(marks for _, marks in cut.values())]) if w not in self.ids_of]
         for at in range(0, len(simple), 512):
             self._learn_plain(simple[at:at + 512], self.bare)
-        plain = [w for w in unknown if w not in self.ids_of and w.decode().isalpha()]
+        plain = [w for w in [*simple, *others] if w not in self.ids_of and w.decode().isalpha()]
         for at in range(0, len(plain), 512):
             self._learn_plain(plain[at:at + 512], self.model)
-        left = [w for w in unknown if w not in self.ids_of]
+        left = [w for w in [*simple, *others] if w not in self.ids_of]
         for at in range(0, len(left), 4096):
             self._learn_by_offsets(left[at:at + 4096])
         for word, (letters, marks) in cut.items():
@@ -107,18 +114,42 @@ class WordTokenizer:
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if "<|" in text or not text.isascii() and _COMPOSING.search(text):
-            return self._whole(text)
-        words = _parts(text)
-        found = list(map(self.ids_of.get, words))
-        if None in found:
-            at = [i for i, ids in enumerate(found) if ids is None]
-            self._learn([words[i] for i in at])
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[bytes]:
+        """``encode`` of each text; the words that are new in some thousand words of texts are encoded together."""
+        out: list[bytes] = []
+        waiting: list[tuple[int, list[bytes], list[bytes | None]]] = []
+        held = 0
+        for text in texts:
+            if not text:
+                out.append(b"")
+            elif "<|" in text or not text.isascii() and _COMPOSING.search(text):
+                out.append(self._whole(text))
+            else:
+                words = _parts(text)
+                found = list(map(self.ids_of.get, words))
+                if None in found:
+                    waiting.append((len(out), words, found))
+                    held += len(words)
+                    out.append(b"")
+                    if held > TOGETHER:
+                        self._fill(out, waiting)
+                        held = 0
+                else:
+                    out.append(b"".join(found))
+        self._fill(out, waiting)
+        return out
+
+    def _fill(self, out: list[bytes], waiting: list) -> None:
+        """Learn what the ``waiting`` texts lack, and put their ids into ``out``."""
+        gaps = [[i for i, ids in enumerate(found) if ids is None] for _, _, found in waiting]
+        self._learn([words[i] for (_, words, _), at in zip(waiting, gaps) for i in at])
+        for (place, words, found), at in zip(waiting, gaps):
             for i in at:
                 found[i] = self.ids_of[words[i]]
-        return b"".join(found)
+            out[place] = b"".join(found)
+        waiting.clear()
 
 
 #: Characters after which a full stop or comma begins a piece of its own: blanks, and letters and digits that stay one
