@@ -166,3 +166,23 @@ def test_sums_refuse_a_gap(spark, scratch):
     sums.rebuild(rows, 3)
     with pytest.raises(ValueError):
         sums.apply(rows, rows, 4, 5)
+
+
+def test_a_large_load_is_dealt_out_once(spark, scratch):
+    """Rows find their bucket without a shuffle, large loads alike in size are not merged at once, hot keys are reduced first."""
+    import contextlib
+    import io
+    state = _state(spark, scratch("large"))
+    rows = spark.range(60_000).select(F.when(F.col("id") % 20 == 0, None).otherwise(F.col("id") % 50_000).alias("k"), F.col("id").alias("ts"),
+                                      F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    loads = [rows.where("ts < 30000"), rows.where("ts between 30000 and 49999"), rows.where("ts >= 50000 or ts < 100")]
+    for load in loads:
+        state.merge(load)
+    entry = state.head()[1]
+    assert max(len(g) for g in U._by_bucket(entry["layers"]).values()) == 3
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        state._with_bucket(rows, ["0", "10", "11"]).explain()
+    assert "Exchange hashpartitioning" not in plan.getvalue()
+    assert _rows(state.read()) == _rows(latest_version(rows, ["k"], ["ts"], ["v"]))
+    got = {r.k: (r.old and r.old.ts, r.new.ts) for r in state.changes(0).collect()}
+    assert got[None] == (29_980, 59_980) and got[1] == (1, 50_001) and got[49_999] == (None, 49_999)

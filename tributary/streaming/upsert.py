@@ -2,8 +2,8 @@
 
 ``KeyedState`` stores the newest row of each key in buckets of the key's hash.
 The directory of buckets is that of extendible hashing: a bucket is named by
-the leading bits of the hash, and one whose files pass ``bucket_bytes`` is
-split by the next bit.  A batch is compared with the stored rows of its keys;
+the leading bits of the hash, and one whose files pass twice ``bucket_bytes``
+is split by the next bit.  A batch is compared with the stored rows of its keys;
 only rows that change are written, as one more layer of their bucket, and the
 newest layer that has a key holds its row.  Layers are merged by size tiers,
 within a budget per batch, so that a batch writes in proportion to itself
@@ -28,18 +28,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tributary.operators.dedup import latest_version, version_order
+from tributary.operators.dedup import latest_version, top_one_per_key, version_order
 from tributary.session import delete_folder, input_bytes, list_folder, scratch_path
 from tributary.storage.commits import CommitConflict, CommitLog
 from tributary.storage.tables import NULL_PARTITION, Table, Written, aligned, merge_schema
 
-#: A bucket whose files pass this size is split; in states of less than 128 such buckets, a 128th of the state's size.
+#: The size of a bucket's files; in states of less than 128 such buckets, a 128th of the state's size.
 BUCKET_BYTES = 64 << 20
 LEAST_BUCKET_BYTES = 1 << 20
 #: A layer is merged with those after it when it is at most so many times their size.
 TIER_RATIO = 4
-#: Layers that are merged at least, unless the oldest one is among them.
+#: Layers that are merged at least, unless their bucket is split.
 TIER_LAYERS = 4
+#: A bucket is split when it is so many times its size, so that both halves have about that size.
+SPLIT_AT = 2
+#: A batch of less than this fraction of the bytes in its buckets is few beside them.
+FEW = 4
+#: So many rows of one key in a batch are reduced to the newest before they are dealt out.
+OFTEN = 1000
 #: Merging layers may write as many bytes as the batches did and, per batch, this share of the state's.
 BUDGET = 0.01
 #: Merging in a small state costs little; so many bytes may be written whatever the share.
@@ -112,13 +118,16 @@ class KeyedState:
         """The state as of ``version`` (default: the newest); empty if there is none.
 
         Rows of the oldest layers are taken where no later layer has their
-        key; the later layers, a fraction of the state, are ranked by version.
+        key, if the later layers are a fraction of the state, and these are
+        ranked by version; else all layers are.
         """
         number = self.log.newest() if version is None else version
         if number < 0:
             return self.spark.createDataFrame([], self.schema)
         layers = self.log.entry(number)["layers"]
         oldest, later = _split_layers(layers)
+        if _bytes(later) * FEW >= _bytes(oldest):
+            return self._newest(self._files(layers)).drop(VERSION)
         rows = self._files(oldest)
         if later:
             newest = self._newest(self._files(later))
@@ -187,7 +196,7 @@ class KeyedState:
             [(i, name) for name in directory
              for i in range(int(name or "0", 2) << (depth - len(name)), (int(name or "0", 2) + 1) << (depth - len(name)))],
             StructType([StructField(SLOT, LongType()), StructField(BUCKET, StringType())]))
-        return df.withColumn(SLOT, slot).join(slots, SLOT).drop(SLOT)
+        return df.withColumn(SLOT, slot).join(F.broadcast(slots), SLOT).drop(SLOT)
 
     def _limit(self, total: int) -> int:
         return min(self.bucket_bytes, max(LEAST_BUCKET_BYTES, total // 128))
@@ -197,10 +206,9 @@ class KeyedState:
         return [format(i, f"0{depth}b") if depth else "" for i in range(1 << depth)]
 
     def _write(self, rows: DataFrame, folder: str, buckets: Sequence[str], since: int) -> list[dict]:
-        """One file set per bucket under ``folder``; their layers."""
+        """One file set per bucket under ``folder``; their layers.  ``rows`` were dealt out by bucket before."""
         path = f"{self.root}/{folder}"
-        (rows.select(*self.schema.names, VERSION, BUCKET).hint("rebalance", BUCKET)
-         .write.partitionBy(BUCKET).parquet(path))
+        rows.select(*self.schema.names, VERSION, BUCKET).write.partitionBy(BUCKET).parquet(path)
         have = {n.split("=", 1)[1] for n in list_folder(self.spark, path) if n.startswith(f"{BUCKET}=")}
         out = []
         for b in buckets:
@@ -217,21 +225,23 @@ class KeyedState:
         """
         self.schema = merge_schema(self.schema, batch.schema)
         work = scratch_path(self.spark, "upsert")
-        candidates = latest_version(aligned(batch, self.schema), self.keys, self.order_by, self.tiebreak)
         given = Observation()
-        candidates.observe(given, F.count(F.lit(1)).alias("rows")).write.parquet(f"{work}/candidates")
+        aligned(batch, self.schema).observe(given, F.count(F.lit(1)).alias("rows")).write.parquet(f"{work}/candidates")
+        size = input_bytes(self.spark, [f"{work}/candidates"])
         candidates = self.spark.read.schema(self.schema).parquet(f"{work}/candidates")
         for _ in range(tries):
             number, entry = self.head()
             feed, changed = None, int(given.get["rows"])
             if entry is None:
-                directory = self._first_directory(input_bytes(self.spark, [f"{work}/candidates"]))
-                rows = self._with_bucket(candidates, directory)
+                directory = self._first_directory(size)
+                seen = Observation()
+                rows = self._latest(self._with_bucket(self._few_a_key(candidates), directory).repartition(BUCKET), BUCKET
+                                    ).observe(seen, F.count(F.lit(1)).alias("rows"))
             else:
                 self.schema = merge_schema(StructType.fromJson(json.loads(entry["schema"])), self.schema)
                 directory = entry["directory"]
                 feed, seen = f"feed/{uuid.uuid4().hex}", Observation()
-                (self._changed(candidates, entry).withColumn(VERSION, F.lit(number + 1).cast("long"))
+                (self._changed(aligned(candidates, self.schema), size, entry).withColumn(VERSION, F.lit(number + 1).cast("long"))
                  .observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{feed}"))
                 changed = int(seen.get["rows"])
                 rows = self.spark.read.schema(StructType([*self._feed_schema().fields, StructField(BUCKET, StringType())])
@@ -244,6 +254,8 @@ class KeyedState:
                     return Merged(None, 0, [])
             layers = self._write(rows.withColumn(VERSION, F.lit(number + 1).cast("long")), f"data/{uuid.uuid4().hex}",
                                  directory, number + 1) if changed else []
+            if entry is None and changed:
+                changed = int(seen.get["rows"])
             # Upkeep may write as much as the batches did, and a share of the state's bytes for each of them.
             total = sum(x["bytes"] for x in [*(entry["layers"] if entry else []), *layers])
             written = sum(x["bytes"] for x in layers)
@@ -264,20 +276,43 @@ class KeyedState:
             return Merged(number + 1, changed, sorted(x["bucket"] for x in layers))
         raise CommitConflict(f"{self.root}: other writers kept committing")
 
-    def _changed(self, candidates: DataFrame, entry: dict) -> DataFrame:
-        """The candidates that are newer than the stored rows of their keys: (keys, old, new, bucket)."""
-        held = self._with_bucket(candidates, entry["directory"])
+    def _latest(self, rows: DataFrame, *dealt_by: str) -> DataFrame:
+        order = version_order(rows.drop(*dealt_by), self.keys, self.order_by, self.tiebreak)
+        return top_one_per_key(rows, [*self.keys, *dealt_by], order)
+
+    def _few_a_key(self, candidates: DataFrame) -> DataFrame:
+        """The candidates, reduced to the newest of each key if any has so many that they should not meet in one task."""
+        often = candidates.groupBy(*self.keys).count().agg(F.max("count")).first()[0] or 0
+        return self._latest(candidates) if often > OFTEN else candidates
+
+    def _changed(self, candidates: DataFrame, size: int, entry: dict) -> DataFrame:
+        """The newest candidates that are newer than the stored rows of their keys: (keys, old, new, bucket).
+
+        ``size`` are the candidates' bytes.  If they are few beside what their
+        buckets hold, the stored rows of their keys are picked out first; else
+        that would cost more than it saves, and all rows of these buckets are
+        dealt out by bucket, once, with the candidates.
+        """
+        held = self._with_bucket(candidates.select(*self.keys), entry["directory"])
         touched = [r[0] for r in held.select(BUCKET).distinct().collect()]  # one name per bucket
+        layers = [x for x in entry["layers"] if x["bucket"] in set(touched)]
+        if size * FEW < _bytes(layers):
+            candidates = self._latest(candidates)
+            stored = self.rows_of(candidates, entry, touched).withColumn(VERSION, F.lit(0).cast("long"))
+        else:
+            candidates, stored = self._few_a_key(candidates), self._files(layers)
         row = F.struct(*[F.col(f"`{n}`") for n in self.schema.names])
-        stored = self.rows_of(candidates, entry, touched).withColumn("__given", F.lit(0))
-        union = stored.unionByName(candidates.withColumn("__given", F.lit(1)))
-        order = version_order(union.drop("__given"), self.keys, self.order_by, self.tiebreak)
-        # Two rows a key at most; of equal rows the stored one is first, so a repeated batch changes nothing.
-        w = Window.partitionBy(*self.keys)
-        newer = (union.withColumn("old", F.first(F.when(F.col("__given") == 0, row), ignorenulls=True).over(w))
-                 .withColumn("__rn", F.row_number().over(w.orderBy(*order, "__given")))
-                 .where((F.col("__rn") == 1) & (F.col("__given") == 1)).drop("__rn", "__given"))
-        return self._with_bucket(newer.select(*self.keys, "old", row.alias("new")), entry["directory"])
+        union = stored.withColumn("__given", F.lit(0)).unionByName(
+            candidates.withColumn(VERSION, F.lit(None).cast("long")).withColumn("__given", F.lit(1)))
+        order = version_order(union.drop("__given", VERSION), self.keys, self.order_by, self.tiebreak)
+        # Of equal rows the stored one is first, so a repeated batch changes nothing; only stored rows have a version.
+        w = Window.partitionBy(*self.keys, BUCKET).orderBy(*order, "__given")
+        group = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # in the same order: one sort
+        newer = (self._with_bucket(union, entry["directory"]).repartition(BUCKET)
+                 .withColumn("old", F.max_by(F.when(F.col("__given") == 0, row), VERSION).over(group))
+                 .withColumn("__rn", F.row_number().over(w))
+                 .where((F.col("__rn") == 1) & (F.col("__given") == 1)))
+        return newer.select(*self.keys, "old", row.alias("new"), BUCKET)
 
     # ------------------------------------------------------------------ upkeep
 
@@ -300,12 +335,12 @@ class KeyedState:
         """Replace the layers of each run by one; a bucket that is too large by those of its two halves."""
         by_bucket = _by_bucket(entry["layers"])
         names = list(entry["directory"])
-        split = {b for b, run in runs.items() if len(run) == len(by_bucket[b]) and sum(x["bytes"] for x in run) > limit}
+        split = {b for b, run in runs.items() if len(run) == len(by_bucket[b]) and sum(x["bytes"] for x in run) > SPLIT_AT * limit}
         for b in split:
             names.remove(b)
             names += [b + "0", b + "1"]
-        rows = self._newest(self._files([x for run in runs.values() for x in run]))
-        made = self._write(self._with_bucket(rows, names), f"data/{uuid.uuid4().hex}", sorted(names),
+        rows = self._with_bucket(self._files([x for run in runs.values() for x in run]), names).repartition(BUCKET)
+        made = self._write(latest_version(rows, [*self.keys, BUCKET], [VERSION], []), f"data/{uuid.uuid4().hex}", sorted(names),
                            max(x["since"] for run in runs.values() for x in run))
         taken = {x["path"] for run in runs.values() for x in run}
         for _ in range(20):
@@ -337,6 +372,10 @@ class KeyedState:
         self.log.drop(kept[0])
 
 
+def _bytes(layers: Sequence[dict]) -> int:
+    return sum(x["bytes"] for x in layers)
+
+
 def _by_bucket(layers: Sequence[dict]) -> dict[str, list[dict]]:
     """Layers per bucket, oldest first."""
     out: dict[str, list[dict]] = {}
@@ -362,7 +401,7 @@ def _tiers(layers: Sequence[dict], bucket_bytes: int) -> dict[str, list[dict]]:
             run.append(x)
             size += x["bytes"]
         whole = len(run) == len(group)
-        if len(run) >= TIER_LAYERS or whole and (len(run) > 1 or size > bucket_bytes):
+        if len(run) >= TIER_LAYERS or whole and size > SPLIT_AT * bucket_bytes:
             out[bucket] = run
     return out
 
