@@ -78,8 +78,10 @@ def iso_text(c: ColumnOrName) -> Column:
     ``2024-01-01T00:00:07.179575``; the fraction is left out when it is zero
     (``1998-10-03T00:00:00``).
     """
-    full = F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.regexp_replace(full, r"\.000000$", "")
+    moment = _col(c)
+    whole = F.unix_micros(moment.cast("timestamp")) % 1_000_000 == 0
+    return F.when(whole, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
 def iso_date_text(c: ColumnOrName) -> Column:

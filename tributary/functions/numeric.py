@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ ColumnOrName = Column | str
 # exact decimal type and are turned into double only at the edge, so the
 # result does not depend on the order in which partitions are combined.
 MONEY_TYPE = "decimal(18,2)"
+# Amounts below this are summed as whole cents: 2^63 cents are reached by no fewer than 9e10 of them.
+CENTS_BELOW = 1e6
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -22,9 +26,36 @@ def money(c: ColumnOrName) -> Column:
     return _col(c).cast(MONEY_TYPE)
 
 
+def _cents(c: ColumnOrName) -> tuple[Column, Column]:
+    """(cents of an amount as a long, whether it is a whole number of them and not large).
+
+    A double that is the one nearest to a whole number of cents reads as that
+    number of cents.  Others (more digits, large amounts) have to be cast to a
+    decimal type, which costs a conversion by text.
+    """
+    value = _col(c).cast("double")
+    cents = F.rint(value * 100)
+    return cents.cast("bigint"), (cents / 100 == value) & (F.abs(value) < CENTS_BELOW)
+
+
+def money_of(c: ColumnOrName, digits: int) -> Column:
+    """``cast(c as decimal(digits, 2))``, without a conversion by text for whole cents."""
+    kind = f"decimal({digits},2)"
+    cents, whole = _cents(c)
+    return F.when(whole, (cents.cast(f"decimal({digits},0)") * F.lit(Decimal("0.01"))).cast(kind)).otherwise(_col(c).cast(kind))
+
+
 def money_sum(c: ColumnOrName) -> Column:
-    """Exact sum of a money column, returned as double."""
-    return F.sum(money(c)).cast("double")
+    """Exact sum of a money column, returned as double; NULL if it has no value.
+
+    Whole cents are added up as longs, other amounts as decimals.
+    """
+    cents, whole = _cents(c)
+    in_cents = F.sum(F.when(whole, cents))
+    others = F.sum(F.when(~whole, money(c)))
+    nothing = F.lit(0).cast("decimal(18,2)")
+    total = F.coalesce(in_cents.cast("decimal(19,0)") * F.lit(Decimal("0.01")), nothing) + F.coalesce(others, nothing)
+    return F.when(in_cents.isNotNull() | others.isNotNull(), total.cast("double"))
 
 
 def safe_ratio_pct(numerator: ColumnOrName, denominator: ColumnOrName,

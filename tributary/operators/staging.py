@@ -89,6 +89,9 @@ def project(df: DataFrame, spec: Spec) -> DataFrame:
 
 def _dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
            tiebreak: Sequence[str] | None) -> DataFrame:
+    """The newest version per key; without ``keys`` the rows are that already, as a stored state's are."""
+    if not keys:
+        return df
     order = [c for c in order_by if c in df.columns]
     return latest_version(df, keys, order, tiebreak)
 

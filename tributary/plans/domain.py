@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.dates import series_date_text
-from tributary.functions.numeric import decimal_comma_text, money_sum
+from tributary.functions.numeric import decimal_comma_text, money_of, money_sum
 from tributary.operators.calendar import calendar_covering
 from tributary.operators.dedup import conform_dimension
 from tributary.operators.facts import FACT_COLUMNS, sales_fact
@@ -216,14 +216,14 @@ def erp_source(t: Tables, placed_before: str | None = None):
             F.col("c_nationkey").alias("loja_id"), F.col("o_orderdate").alias("data_venda"),
             F.when(F.col("o_orderstatus") == COMPLETED_ORDER, F.lit("concluida"))
             .otherwise(F.lit("cancelada")).alias("status"),
-            F.col("o_totalprice").cast(money).alias("total"), F.col("o_orderdate").alias("created_at"),
+            money_of("o_totalprice", 10).alias("total"), F.col("o_orderdate").alias("created_at"),
             F.col("o_orderdate").alias("updated_at")),
         "itens_venda": lines.select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
             F.col("l_orderkey").alias("venda_id"), F.col("l_partkey").alias("produto_id"),
             F.col("l_quantity").cast("int").alias("quantidade"),
-            F.try_divide("l_extendedprice", "l_quantity").cast(money).alias("preco_unit"),
-            F.col("l_extendedprice").cast(money).alias("subtotal"), F.col("l_shipdate").alias("created_at")),
+            money_of(F.try_divide("l_extendedprice", "l_quantity"), 10).alias("preco_unit"),
+            money_of("l_extendedprice", 10).alias("subtotal"), F.col("l_shipdate").alias("created_at")),
         "clientes": t.customer.select(
             F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"), F.lit(None).cast("string").alias("email"),
             F.lit(None).cast("string").alias("cidade"), F.lit(None).cast("string").alias("uf"),

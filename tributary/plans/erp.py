@@ -54,7 +54,7 @@ def merge_logs(spark: SparkSession, bronze_root: str) -> None:
         entry = state.head()[1]
         done, now = entry["meta"].get("log", -1) if entry else -1, log.log.newest()
         if now > done:
-            state.merge(log.appended_since(done), {"log": now})
+            state.merge(log.appended_since(done), {"log": now}, stored=log.size_since(done))
 
     with ThreadPoolExecutor(max_workers=len(STATE_TABLES)) as pool:
         list(pool.map(one, STATE_TABLES))
@@ -168,7 +168,9 @@ class ErpBinding:
         """The fact rows of some sales: their stored rows are looked up, only their items are joined."""
         sales = log_state(self.spark, self.root, "erp_vendas").lookup(ids.select(F.col("venda_id").alias("id")))
         items = self.table("erp_itens_venda").join(ids, "venda_id", "left_semi")
-        return sales_fact(stage_sales(sales, completed=self.completed), stage_items(items)).select(*FACT_COLUMNS)
+        return sales_fact(stage_sales(sales, completed=self.completed, keys=()),
+                          stage_items(items, keys=()) if self._stored("erp_itens_venda") else stage_items(items)
+                          ).select(*FACT_COLUMNS)
 
     def indicators(self) -> DataFrame:
         bronze = self.table("series")
@@ -177,9 +179,14 @@ class ErpBinding:
         return align_series(parsed, key_mode=self.key_mode)
 
     def silver(self) -> dict[str, DataFrame]:
-        """Every silver model as a lazy chain ``bronze.transform(stager)``."""
+        """Every silver model as a lazy chain ``bronze.transform(stager)``.
+
+        A stored log was ranked when its loads were merged and is not ranked again.
+        """
         def staged(name: str, stager, spec, **options) -> DataFrame:
             bronze = self.table(name)
+            if self._stored(name):
+                options["keys"] = ()
             return bronze.transform(stager, spec=_with_extras(spec, bronze, BRONZE[name]), **options)
 
         return {

@@ -111,11 +111,12 @@ def write_truncate(df: DataFrame, path: str, partition_by: list[str] | None = No
 
 
 def write_append(df: DataFrame, path: str, cluster_by: list[str] | None = None,
-                 stats: list[str] | None = None, compact: bool = True) -> LoadResult:
+                 stats: list[str] | None = None, compact: bool = True, in_order: bool = False) -> LoadResult:
     """Append a batch to the log published at ``path``; an empty batch writes nothing.
 
     ``cluster_by`` sorts rows within each written file (the extraction's
-    ``ORDER BY cursor`` becomes file clustering; a table keeps no order); its
+    ``ORDER BY cursor`` becomes file clustering; a table keeps no order), unless
+    the batch comes ``in_order`` of it; its
     first column, the load stamp and ``stats`` are kept as smallest and largest
     value per load, so that reads above a cursor skip whole loads.  Small loads
     are put together once there are some.  A column that is new in the batch
@@ -123,7 +124,7 @@ def write_append(df: DataFrame, path: str, cluster_by: list[str] | None = None,
     """
     table = Table(df.sparkSession, path)
     columns = [c for c in dict.fromkeys([*(cluster_by or [])[:1], AUDIT_COLUMNS[0], *(stats or [])]) if c in df.columns]
-    done = table.append(_clustered(df, cluster_by), stats=columns)
+    done = table.append(df if in_order else _clustered(df, cluster_by), stats=columns)
     if compact and cluster_by and done.number is not None:
         table.compact(cluster_by[0], least=COMPACT_LOADS)
     return _result(path, done, "append")

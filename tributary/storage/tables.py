@@ -157,6 +157,12 @@ class Table:
         _, entry = self.head()
         return self.read(parts=[p for p in (entry["parts"] if entry else []) if p["since"] > number])
 
+    def size_since(self, number: int) -> tuple[int, int]:
+        """(bytes, rows) of the folders that ``appended_since`` reads."""
+        _, entry = self.head()
+        parts = [p for p in (entry["parts"] if entry else []) if p["since"] > number]
+        return sum(p["bytes"] for p in parts), sum(p["rows"] for p in parts)
+
     def extremes(self, column: str) -> tuple | None:
         """(smallest, largest) value of a column from the statistics of the commit; None without rows or statistics."""
         _, entry = self.head()
